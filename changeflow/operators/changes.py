@@ -11,7 +11,7 @@ from changeflow.functions.scalars import cast_to_spec, ms_to_ntz, op_label, root
 from changeflow.schema import TableSpec, prefix_map
 
 # Columns a folded change carries beside the data columns.
-FOLD_COLUMNS = ("_OP", "_UNSET", "_COMMIT_LSN", "_LSN", "_SEQ")
+FOLD_COLUMNS = ("_OP", "_UNSET", "_COMMIT_LSN", "_LSN", "_SEQ", "_N", "_LOADED_AT")
 
 
 def mapped_only(changes: DataFrame, specs: dict[str, TableSpec]) -> DataFrame:
@@ -28,20 +28,23 @@ def deletes(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("op") == "d")
 
 
-def image_value(image: str, name: str, part: str = "text") -> Column:
-    """One value of a row image by source column name; NULL when the image lacks it."""
-    names = F.transform(image, lambda v: v["name"])
-    position = F.array_position(names, name).cast("int")
-    return F.get(F.col(image), position - 1)[part]
+def image_values(rows: DataFrame, image: str, names: list[str], prefix: str) -> DataFrame:
+    """One struct column `<prefix><name>` (kind, text, bin) per source column name, NULL where
+    the image lacks it. The list of names in the image is made once per row."""
+    listed = f"{prefix}names"
+    rows = rows.withColumn(listed, F.transform(image, lambda v: v["name"]))
+    place = lambda n: F.array_position(listed, n).cast("int") - 1
+    return rows.withColumns({f"{prefix}{n}": F.get(F.col(image), place(n)) for n in names})
 
 
 def project_row(changes: DataFrame, spec: TableSpec, image: str, strict: bool = True) -> DataFrame:
     """The data columns of the target, typed, taken from one image."""
+    picked = image_values(changes, image, list(spec.columns), "_i_")
     typed = {
-        spec.targets[c]: cast_to_spec(image_value(image, c), t, strict)
+        spec.targets[c]: cast_to_spec(F.col(f"_i_{c}.text"), t, strict)
         for c, t in spec.columns.items()
     }
-    return changes.withColumns(typed)
+    return picked.withColumns(typed).select(*changes.columns, *typed)
 
 
 def history_image(changes: DataFrame) -> DataFrame:
@@ -105,26 +108,30 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     column goes to `_UNSET`. An update that moves the key also deletes the old key. Rows keep
     `_BAD`, the names of the columns whose text could not be cast (never in strict mode).
     """
+    columns, target = list(spec.columns), spec.targets
+    rows = image_values(changes, "after", columns, "_a_")
+    rows = image_values(rows, "before", columns, "_b_")
 
-    def value(c: str) -> Column:
-        new = image_value("after", c)
-        unchanged = image_value("after", c, "kind") == "u"
-        return F.when(unchanged, image_value("before", c)).otherwise(new)
-
-    def row(texts: dict[str, Column], op: str, tick: int, unset: Column) -> Column:
-        typed = {
-            spec.targets[c]: cast_to_spec(texts[c], t, strict) for c, t in spec.columns.items()
+    unchanged = {c: F.coalesce(F.col(f"_a_{c}.kind") == "u", F.lit(False)) for c in columns}
+    rows = rows.withColumns(
+        {
+            f"_v_{c}": F.when(unchanged[c], F.col(f"_b_{c}.text")).otherwise(F.col(f"_a_{c}.text"))
+            for c in columns
         }
-        bad = F.array_compact(
-            F.array(
-                *[
-                    F.when(texts[c].isNotNull() & typed[spec.targets[c]].isNull(), spec.targets[c])
-                    for c in spec.columns
-                ]
-            )
-        )
+    )
+    new = {c: F.col(f"_v_{c}") for c in columns}
+    old = {c: F.col(f"_b_{c}.text") for c in spec.pk}
+    typed = {f"_t_{c}": cast_to_spec(new[c], t, strict) for c, t in spec.columns.items()}
+    typed |= {f"_o_{c}": cast_to_spec(old[c], spec.columns[c], strict) for c in spec.pk}
+    rows = rows.withColumns(typed)
+
+    def names_where(conditions: dict[str, Column]) -> Column:
+        hits = [F.when(cond, F.lit(target[c])) for c, cond in conditions.items()]
+        return F.array_compact(F.array(*hits))
+
+    def row(op: str, tick: int, values: dict[str, Column], unset: Column, bad: Column) -> Column:
         return F.struct(
-            *[v.alias(c) for c, v in typed.items()],
+            *[values[c].alias(target[c]) for c in columns],
             F.lit(op).alias("_OP"),
             unset.alias("_UNSET"),
             F.col("commit_lsn").alias("_COMMIT_LSN"),
@@ -133,32 +140,36 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
             bad.alias("_BAD"),
         )
 
-    none = F.lit(None).cast("string")
-    old_key = {c: image_value("before", c) if c in spec.pk else none for c in spec.columns}
-    new = {c: value(c) for c in spec.columns}
-    unset = F.array_compact(
-        F.array(
-            *[
-                F.when((image_value("after", c, "kind") == "u") & new[c].isNull(), spec.targets[c])
-                for c in spec.columns
-            ]
-        )
+    upsert = row(
+        "U",
+        1,
+        {c: F.col(f"_t_{c}") for c in columns},
+        names_where({c: unchanged[c] & new[c].isNull() for c in columns}),
+        names_where({c: new[c].isNotNull() & F.col(f"_t_{c}").isNull() for c in columns}),
     )
-    nothing = F.array().cast("array<string>")
-    moved = reduce(
-        lambda a, b: a | b, [old_key[c].isNotNull() & (old_key[c] != new[c]) for c in spec.pk]
+    delete = row(
+        "D",
+        0,
+        {
+            c: F.col(f"_o_{c}") if c in spec.pk else F.lit(None).cast(t)
+            for c, t in spec.columns.items()
+        },
+        F.array().cast("array<string>"),
+        names_where({c: old[c].isNotNull() & F.col(f"_o_{c}").isNull() for c in spec.pk}),
     )
-    whole_key = reduce(lambda a, b: a & b, [old_key[c].isNotNull() for c in spec.pk])
+    all_of = lambda conditions: reduce(lambda a, b: a & b, conditions)
+    same_key = all_of([old[c] == new[c] for c in spec.pk])
+    moved = (F.col("op") == "u") & all_of([old[c].isNotNull() for c in spec.pk]) & ~same_key
     is_upsert = F.col("op").isin("c", "u") & (F.size("after") > 0)
-    drop_old = (F.col("op") == "d") | (is_upsert & (F.col("op") == "u") & whole_key & moved)
-    rows = F.array_compact(
+    applied = F.array_compact(
         F.array(
-            F.when(drop_old, row(old_key, "D", 0, nothing)),
-            F.when(is_upsert, row(new, "U", 1, unset)),
+            F.when((F.col("op") == "d") | (is_upsert & moved), delete),
+            F.when(is_upsert, upsert),
         )
     )
-    meta = [c for c in ("session_id", "seq") if c in changes.columns]
-    return changes.select(*meta, F.explode(rows).alias("_r")).select(*meta, "_r.*")
+    return rows.select("session_id", "seq", F.explode(applied).alias("_r")).select(
+        "session_id", "seq", "_r.*"
+    )
 
 
 def split_bad(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:

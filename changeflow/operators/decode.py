@@ -63,41 +63,66 @@ def count_ignored(raw: DataFrame) -> DataFrame:
     )
 
 
+def _begin_columns(messages: DataFrame) -> DataFrame:
+    is_begin = F.col("msg_type") == "B"
+    lsn, micros = F.expr(wire.unsigned64("data", "2L")), F.expr(wire.signed64("data", "10L"))
+    return messages.withColumns(
+        {
+            "commit_lsn": F.when(is_begin, lsn),
+            "ts_ms": F.when(is_begin, pg_micros_to_ms(micros)),
+        }
+    )
+
+
+def _begin_error() -> Column:
+    return F.when(F.octet_length("data") < 17, "begin message cut short").when(
+        F.col("ts_ms").isNull(), "commit time out of range"
+    )
+
+
 def decode_begin(messages: DataFrame) -> DataFrame:
     """Begin messages -> commit position and commit time; `error` set when cut short."""
+    begins = _begin_columns(messages.filter(F.col("msg_type") == "B"))
+    return begins.withColumn("error", _begin_error())
+
+
+def _relation_columns(messages: DataFrame) -> DataFrame:
+    def only(expression: str) -> Column:
+        return F.when(F.col("msg_type") == "R", F.expr(expression))
+
     return (
-        messages.filter(F.col("msg_type") == "B")
-        .withColumn("commit_lsn", F.expr(wire.unsigned64("data", "2L")))
-        .withColumn("ts_ms", pg_micros_to_ms(F.expr(wire.signed64("data", "10L"))))
-        .withColumn(
-            "error",
-            F.when(F.octet_length("data") < 17, "begin message cut short").when(
-                F.col("ts_ms").isNull(), "commit time out of range"
-            ),
-        )
+        messages.withColumn("oid", only(wire.unsigned("data", "2L", 4)))
+        .withColumn("namespace", only(wire.cstring("data", "6L")))
+        .withColumn("_t", only("7L + octet_length(namespace)"))
+        .withColumn("table_name", only(wire.cstring("data", "_t")))
+        .withColumn("_c", only("_t + octet_length(table_name) + 2"))
+        .withColumn("_fold", only(wire.relation_columns("data", "_c")))
+        .drop("_t", "_c")
     )
 
 
+def _relation_error() -> Column:
+    text = F.expr("is_valid_utf8(namespace) and is_valid_utf8(table_name) and _fold.ok")
+    cut = F.expr(wire.overrun("data", "_fold.off"))
+    return F.when(cut, "relation message cut short").when(~text, "relation name is not text")
+
+
 def decode_relation(messages: DataFrame) -> DataFrame:
     """Relation messages -> oid, namespace, table and columns; `error` set on broken ones."""
-    heads = messages.filter(F.col("msg_type") == "R")
-    heads = heads.withColumn("oid", F.expr(wire.unsigned("data", "2L", 4)))
-    heads = heads.withColumn("namespace", F.expr(wire.cstring("data", "6L")))
-    heads = heads.withColumn("_t", F.expr("7L + octet_length(namespace)"))
-    heads = heads.withColumn("table_name", F.expr(wire.cstring("data", "_t")))
-    heads = heads.withColumn("_c", F.expr("_t + octet_length(table_name) + 2"))
-    heads = heads.withColumn("_fold", F.expr(wire.relation_columns("data", "_c")))
-    return (
-        heads.withColumn("columns", F.col("_fold.cols"))
-        .withColumn(
-            "error",
-            F.when(F.expr(wire.overrun("data", "_fold.off")), "relation message cut short").when(
-                ~(F.expr("is_valid_utf8(namespace) and is_valid_utf8(table_name)") & F.col("_fold.ok")),
-                "relation name is not text",
-            ),
-        )
-        .drop("_t", "_c", "_fold")
-    )
+    relations = _relation_columns(messages.filter(F.col("msg_type") == "R"))
+    return relations.select("*", F.col("_fold.cols").alias("columns"), _relation_error().alias("error")).drop("_fold")
+
+
+def decode_control(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Begin and relation messages, decoded in one pass over the log and kept."""
+    control = messages.filter(F.col("msg_type").isin("B", "R"))
+    control = settle(_relation_columns(_begin_columns(control)))
+    begins = control.filter(F.col("msg_type") == "B").withColumn("error", _begin_error())
+    relations = control.filter(F.col("msg_type") == "R").withColumn("error", _relation_error())
+    begins = begins.select(*messages.columns, "commit_lsn", "ts_ms", "error")
+    names = ("oid", "namespace", "table_name")
+    columns = F.col("_fold.cols").alias("columns")
+    return begins, relations.select(*messages.columns, *names, columns, "error")
 
 
 def relation_versions(relations: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -260,14 +285,15 @@ def decode_wal(
     fan_in: int = FAN_IN,
     broadcast_bytes: int = RELATION_BROADCAST_BYTES,
 ) -> Decoded:
-    """Decode a batch. `relations` and `transactions` are what earlier batches left open."""
+    """Decode a batch. `relations` and `transactions` are what earlier batches left open.
+
+    The decoded rows are kept in the shared folder, one folder per table: whoever needs the
+    changes of one table reads only those, and nothing is decoded twice.
+    """
     messages = classify(raw)
-    control = settle(messages.filter(F.col("msg_type").isin("B", "R")))
-    begins = decode_begin(control)
-    announced = decode_relation(control)
+    begins, announced = decode_control(messages)
     versions = relation_versions(announced.filter(F.col("error").isNull()), relations)
-
-    size = control.filter(F.col("msg_type") == "R").agg(F.sum(F.octet_length("data"))).first()[0]
+    size = announced.agg(F.sum(F.octet_length("data"))).first()[0]
     # Carried-over versions are the open ones of one session: no more than the tables of a source.
     small = (size or 0) <= broadcast_bytes
 
@@ -279,8 +305,8 @@ def decode_wal(
         block,
         fan_in,
     )
-    rows = decode_rows(resolve_relation(stamped, versions, small))
-    control_dead = dead_rows(begins.drop("commit_lsn", "ts_ms")).unionByName(dead_rows(announced))
+    rows = settle(decode_rows(resolve_relation(stamped, versions, small)), "table_name")
+    control_dead = dead_rows(begins).unionByName(dead_rows(announced))
     return Decoded(rows, control_dead, versions, _open_transactions(begins, transactions))
 
 

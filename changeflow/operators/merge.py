@@ -28,46 +28,45 @@ def _resolved(c: str, old: Column, new: Column, unset: Column) -> Column:
     return F.when(F.array_contains(unset, c), old).otherwise(new).alias(c)
 
 
-def _upsert_columns(columns: list[str], keys: list[str], at: Column) -> list[Column]:
-    """The new row: keys, values (unset ones from the old row) and load time."""
+def _upsert_columns(columns: list[str], keys: list[str]) -> list[Column]:
+    """The new row: keys, values (unset ones from the old row) and load time of the change."""
     out = []
     for c in columns:
         if c in keys:
             out.append(F.col(c))
         elif c == "_LOADED_AT":
-            out.append(at.cast("timestamp_ntz").alias(c))
+            out.append(F.col("_s")[c].alias(c))
         else:
             out.append(_resolved(c, F.col("_t")[c], F.col("_s")[c], F.col("_s._UNSET")))
     return out
 
 
 def apply_changes(
-    target: DataFrame, changes: DataFrame, keys: list[str], at: Column, small: bool = False
+    target: DataFrame, changes: DataFrame, keys: list[str], small: bool = False
 ) -> DataFrame:
-    """Target after the changes (one folded row per key, see `fold_changes`).
+    """Target after the changes (one folded row per key with its load time, see `fold_changes`).
 
     Matched rows are replaced or, for `_OP` = D, dropped; unmatched upserts are inserted. With
-    `small` (the caller has checked the size of the changes) they are broadcast and the target
-    is neither shuffled nor sorted; otherwise one full outer join does it.
+    `small` (the caller has checked the size of the changes) the changed keys are broadcast and
+    the target is neither shuffled nor sorted; otherwise one full outer join does it.
     """
     columns = target.columns
     if small:
-        drop = F.broadcast(changes.select(*keys))
-        untouched = target.join(drop, keys, "left_anti")
+        touched = F.broadcast(changes.select(*keys))
+        untouched = target.join(touched, keys, "left_anti")
         # At most one old row per change is needed, for the values the change leaves open.
-        old = target.join(drop, keys, "left_semi").select(*keys, F.struct(*columns).alias("_t"))
+        old = target.join(touched, keys, "left_semi").select(*keys, F.struct(*columns).alias("_t"))
         live = changes.filter("_OP <> 'D'").select(*keys, F.struct(*changes.columns).alias("_s"))
-        new = live.join(old, keys, "left").select(*_upsert_columns(columns, keys, at))
+        new = live.join(old, keys, "left").select(*_upsert_columns(columns, keys))
         return untouched.unionByName(new)
     joined = merge_join(target, changes, keys).filter("_s is null or _s._OP <> 'D'")
     kept = F.col("_s").isNull()
     rows = []
-    for c, new in zip(columns, _upsert_columns(columns, keys, at)):
+    for c, new in zip(columns, _upsert_columns(columns, keys)):
         rows.append(new if c in keys else F.when(kept, F.col("_t")[c]).otherwise(new).alias(c))
     return joined.select(*rows)
 
 
-def first_state(changes: DataFrame, columns: list[str], at: Column) -> DataFrame:
+def first_state(changes: DataFrame, columns: list[str]) -> DataFrame:
     """State of an empty table after the changes."""
-    rows = changes.filter("_OP <> 'D'").withColumn("_LOADED_AT", at.cast("timestamp_ntz"))
-    return rows.select(*columns)
+    return changes.filter("_OP <> 'D'").select(*columns)

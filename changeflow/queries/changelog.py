@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.schema import RAW_WAL, TableSpec
-from changeflow.session import scratch_path
+from changeflow.session import scratch_path, settle
 
 EVENTS = TableSpec(
     source="events",
@@ -233,11 +233,15 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     )
 
 
-def landed_wal(spark: SparkSession, sf_dir: str, damaged: bool = False, files: int = 8) -> str:
-    """Write the messages to a landing folder, in arrival order over the files."""
+def landed_wal(spark: SparkSession, sf_dir: str, damaged: bool = False, files: int = 4) -> str:
+    """Land the messages in arrival order, one segment of the positions after the other."""
     path = scratch_path(spark, "landing")
-    messages = wal(spark, sf_dir, damaged)
-    messages.repartitionByRange(files, "seq").sortWithinPartitions("seq").write.parquet(path)
+    messages = settle(wal(spark, sf_dir, damaged))
+    low, high = messages.agg(F.min("seq"), F.max("seq")).first()
+    step = (high - low) // files + 1
+    for start in range(low, high + 1, step):
+        segment = messages.filter((F.col("seq") >= start) & (F.col("seq") < start + step))
+        segment.write.mode("append").parquet(path)
     return path
 
 

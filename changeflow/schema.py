@@ -41,9 +41,8 @@ RELATION_DDL = (
 
 TX_DDL = "session_id bigint, commit_lsn decimal(20,0), ts_ms bigint"
 
-METRIC_DDL = (
-    "metric string, table_name string, op string, value double, batch_id bigint, at timestamp_ntz"
-)
+# Stored below a folder per batch, which gives it the column batch_id.
+METRIC_DDL = "metric string, table_name string, op string, value double, at timestamp_ntz"
 
 # Audit columns of a history table, after its data columns.
 HISTORY_AUDIT = {
