@@ -163,8 +163,9 @@ def carry_transactions(
         .agg(F.max_by("tx", F.when(F.col("tx").isNotNull(), F.col("seq"))).alias("tx"))
     )
     events = rows.withColumn("tx", empty).unionByName(starts, allowMissingColumns=True)
+    # The ends of the blocks are read on two levels: written once, not computed twice.
     filled = fill_forward(
-        events.withColumn("block", by_block), ends, "session_id", "seq", "tx", fan_in
+        events.withColumn("block", by_block), settle(ends), "session_id", "seq", "tx", fan_in
     )
     return (
         filled.filter(F.col("msg_type").isNotNull())
