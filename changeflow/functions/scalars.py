@@ -80,9 +80,10 @@ def to_variant(c: Column, strict: bool = True) -> Column:
 
 
 def json_text(c: Column, type_name: str) -> Column:
-    """JSON text of a struct, array, map or variant column; any other column as it is."""
+    """JSON text of a struct, array, map or variant column, NULL fields included; any other
+    column as it is."""
     nested = type_name.split("<")[0].split("(")[0] in ("struct", "array", "map", "variant")
-    return F.to_json(c) if nested else c
+    return F.to_json(c, {"ignoreNullFields": "false"}) if nested else c
 
 
 def cast_to_spec(c: Column, type_name: str, strict: bool = True) -> Column:

@@ -79,9 +79,9 @@ def stamp_loaded(df: DataFrame, at: Column | None = None) -> DataFrame:
     return df.withColumn("_LOADED_AT", now_utc() if at is None else at.cast("timestamp_ntz"))
 
 
-def pk_sample(df: DataFrame, pk: list[str], n: int = 10) -> DataFrame:
-    """A few keys of a batch, to trace records."""
-    return df.select(*pk).limit(n)
+def pk_sample(df: DataFrame, pk: list[str], order: str, n: int = 10) -> DataFrame:
+    """The first keys of a batch, to trace records."""
+    return df.select(*pk, order).orderBy(order).limit(n)
 
 
 def union_rows(frames: list[DataFrame]) -> DataFrame:

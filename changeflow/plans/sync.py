@@ -21,8 +21,8 @@ def count_or_none(name: str, rows: Rows) -> int | None:
     """Exact count; None when the table cannot be read, so that the others go on."""
     try:
         return rows().count()
-    except Exception:
-        log.exception("cannot count %s", name)
+    except Exception as error:
+        log.error("cannot count %s: %s", name, error)
         return None
 
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.schema import RAW_WAL, TableSpec
+from changeflow.schema import TableSpec
 from changeflow.session import scratch_path, settle
+from changeflow.sources.scans import wal_scan
 
 EVENTS = TableSpec(
     source="events",
@@ -31,10 +32,20 @@ EVENTS = TableSpec(
     prefixes=("events_",),
 )
 SPECS = {"events": EVENTS}
+AUDIT = TableSpec(
+    source="audit_log",
+    current="AUDIT_LOG",
+    columns=EVENTS.columns,
+    pk=EVENTS.pk,
+    json=EVENTS.json,
+    not_null=EVENTS.not_null,
+    ts_col="ts",
+)
+BOTH_SPECS = SPECS | {"audit_log": AUDIT}
 
 TX_EVENTS = 7  # events per transaction
 SESSION_EVENTS = 700  # events per connection lifetime
-AUDIT_VALUE = 40.0  # events from this value on belong to a table that is not replicated
+AUDIT_VALUE = 120.0  # events from this value on belong to a table that is not replicated
 CUT_VALUE = 1.0  # in the damaged log, messages below this value lose their last bytes
 PARTITIONS = 4
 
@@ -233,7 +244,12 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     )
 
 
-def landed_wal(spark: SparkSession, sf_dir: str, damaged: bool = False, files: int = 4) -> str:
+LANDED_FILES = 4
+
+
+def landed_wal(
+    spark: SparkSession, sf_dir: str, damaged: bool = False, files: int = LANDED_FILES
+) -> str:
     """Land the messages in arrival order, one segment of the positions after the other."""
     path = scratch_path(spark, "landing")
     messages = settle(wal(spark, sf_dir, damaged))
@@ -245,5 +261,16 @@ def landed_wal(spark: SparkSession, sf_dir: str, damaged: bool = False, files: i
     return path
 
 
-def landed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_WAL).parquet(path)
+_LANDED: dict[tuple, str] = {}
+
+
+def landing(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
+    """The landing folder of this session; written once."""
+    key = (spark.sparkContext.applicationId, sf_dir, damaged)
+    if key not in _LANDED:
+        _LANDED[key] = landed_wal(spark, sf_dir, damaged)
+    return _LANDED[key]
+
+
+def landed(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    return wal_scan(spark, landing(spark, sf_dir, damaged))
