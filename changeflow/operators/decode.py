@@ -113,10 +113,10 @@ def decode_relation(messages: DataFrame) -> DataFrame:
     return relations.select("*", F.col("_fold.cols").alias("columns"), _relation_error().alias("error")).drop("_fold")
 
 
-def decode_control(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def decode_control(messages: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Begin and relation messages, decoded in one pass over the log and kept."""
     control = messages.filter(F.col("msg_type").isin("B", "R"))
-    control = settle(_relation_columns(_begin_columns(control)))
+    control = settle(_relation_columns(_begin_columns(control)), folder)
     begins = control.filter(F.col("msg_type") == "B").withColumn("error", _begin_error())
     relations = control.filter(F.col("msg_type") == "R").withColumn("error", _relation_error())
     begins = begins.select(*messages.columns, "commit_lsn", "ts_ms", "error")
@@ -145,6 +145,7 @@ def carry_transactions(
     earlier: DataFrame | None = None,
     block: int = BLOCK,
     fan_in: int = FAN_IN,
+    folder: str | None = None,
 ) -> DataFrame:
     """Stamp each row message with the newest earlier begin of its session, 0 and 0 before the
     first one. `positions` lists (session_id, seq) of all messages, read without their bytes."""
@@ -164,8 +165,9 @@ def carry_transactions(
     )
     events = rows.withColumn("tx", empty).unionByName(starts, allowMissingColumns=True)
     # The ends of the blocks are read on two levels: written once, not computed twice.
+    ends = settle(ends, folder)
     filled = fill_forward(
-        events.withColumn("block", by_block), settle(ends), "session_id", "seq", "tx", fan_in
+        events.withColumn("block", by_block), ends, "session_id", "seq", "tx", fan_in
     )
     return (
         filled.filter(F.col("msg_type").isNotNull())
@@ -247,10 +249,13 @@ def decode_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def op_of_message() -> Column:
+    return F.coalesce(*[F.when(F.col("msg_type") == k, F.lit(v)) for k, v in OPS.items()])
+
+
 def good_changes(rows: DataFrame) -> DataFrame:
-    op = F.coalesce(*[F.when(F.col("msg_type") == k, F.lit(v)) for k, v in OPS.items()])
     return rows.filter(F.col("error").isNull()).select(
-        op.alias("op"),
+        op_of_message().alias("op"),
         "schema_name",
         "table_name",
         "before",
@@ -285,14 +290,17 @@ def decode_wal(
     block: int = BLOCK,
     fan_in: int = FAN_IN,
     broadcast_bytes: int = RELATION_BROADCAST_BYTES,
+    folder: str | None = None,
 ) -> Decoded:
     """Decode a batch. `relations` and `transactions` are what earlier batches left open.
 
     The decoded rows are kept in the shared folder, one folder per table: whoever needs the
-    changes of one table reads only those, and nothing is decoded twice.
+    changes of one table reads only those, and nothing is decoded twice. With `folder` the
+    intermediate data goes there, for the caller to remove.
     """
+    place = lambda name: f"{folder}/{name}" if folder else None
     messages = classify(raw)
-    begins, announced = decode_control(messages)
+    begins, announced = decode_control(messages, place("control"))
     versions = relation_versions(announced.filter(F.col("error").isNull()), relations)
     size = announced.agg(F.sum(F.octet_length("data"))).first()[0]
     # Carried-over versions are the open ones of one session: no more than the tables of a source.
@@ -305,8 +313,10 @@ def decode_wal(
         transactions,
         block,
         fan_in,
+        place("ends"),
     )
-    rows = settle(decode_rows(resolve_relation(stamped, versions, small)), "table_name")
+    decoded = decode_rows(resolve_relation(stamped, versions, small))
+    rows = settle(decoded, place("rows"), by="table_name")
     control_dead = dead_rows(begins).unionByName(dead_rows(announced))
     return Decoded(rows, control_dead, versions, _open_transactions(begins, transactions))
 

@@ -46,11 +46,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def settle(df: DataFrame, by: str | None = None) -> DataFrame:
+def settle(df: DataFrame, folder: str | None = None, by: str | None = None) -> DataFrame:
     """Cut the lineage: compute once, keep the rows in the shared folder as Parquet, if wanted
-    in one folder per value of a column."""
-    path = scratch_path(df.sparkSession, "settled")
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    in one folder per value of a column. With `folder` they go there, for the caller to remove."""
+    path = folder or scratch_path(df.sparkSession, "settled")
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     return kept.select(*df.columns)

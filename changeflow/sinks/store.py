@@ -65,8 +65,8 @@ class TableStore:
                 return json.loads(self.spark.read.text(f"{folder}/{name}").first()[0])
         return {"n": 0, "writers": {}, "tables": {}, "position": None, "state": None}
 
-    def done(self, writer: str, batch_id: int) -> bool:
-        return self.head()["writers"].get(writer, -1) >= batch_id
+    def done(self, writer: str, batch_id: int, head: dict | None = None) -> bool:
+        return (head or self.head())["writers"].get(writer, -1) >= batch_id
 
     def _record(self, head: dict, **changed) -> None:
         """Publish the next record. Fails if another writer has taken the number."""
@@ -137,15 +137,17 @@ class TableStore:
     def metrics(self) -> DataFrame:
         return self._committed("_metrics", METRIC_DDL)
 
-    def state(self) -> tuple[DataFrame, DataFrame] | tuple[None, None]:
+    def state(self, head: dict | None = None) -> tuple[DataFrame, DataFrame] | tuple[None, None]:
         """Relations and transactions the last stream batch left open."""
-        path = self.head()["state"]
+        path = (head or self.head())["state"]
         if not path:
             return None, None
-        read = self.spark.read
+        relation, tx = StructType.fromDDL(RELATION_DDL), StructType.fromDDL(TX_DDL)
+        both = StructType([*relation, *[f for f in tx if f.name != "session_id"]])
+        rows = self.spark.read.schema(both).parquet(path)
         return (
-            read.schema(RELATION_DDL).parquet(f"{path}/relations"),
-            read.schema(TX_DDL).parquet(f"{path}/transactions"),
+            rows.filter(F.col("oid").isNotNull()).select(*relation.names),
+            rows.filter(F.col("oid").isNull()).select(*tx.names),
         )
 
     def position(self) -> dict | None:
@@ -161,14 +163,16 @@ class TableStore:
         changes: dict[str, DataFrame],
         history: dict[str, DataFrame] | None = None,
         extra: dict[str, DataFrame] | None = None,
-        state: tuple[DataFrame, DataFrame] | None = None,
+        state: DataFrame | None = None,
         position: dict | None = None,
         at: Column | None = None,
+        head: dict | None = None,
     ) -> bool:
         """Write a batch and make all of it valid at once. A batch this writer has committed
-        already is left alone. `changes` holds folded changes per source table."""
-        head = self.head()
-        if head["writers"].get(writer, -1) >= batch_id:
+        already is left alone. `changes` holds folded changes per source table; `head` is the
+        record the batch was computed from, if not the newest."""
+        head = head or self.head()
+        if self.done(writer, batch_id, head):
             return False
         part = f"writer={writer}/batch_id={batch_id}"
         tables = dict(head["tables"])
@@ -190,8 +194,7 @@ class TableStore:
         open_state = head["state"]
         if state is not None:
             open_state = f"{self.root}/_state/{writer}-{batch_id}"
-            for df, name in zip(state, ("relations", "transactions")):
-                df.write.mode("overwrite").parquet(f"{open_state}/{name}")
+            state.coalesce(1).write.mode("overwrite").parquet(open_state)
         self._record(
             head,
             writers=head["writers"] | {writer: batch_id},
