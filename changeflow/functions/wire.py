@@ -8,8 +8,7 @@ empty slices instead of an error and is recognised afterwards by its final offse
 from __future__ import annotations
 
 _MAX_INT = 2147483647
-
-NO_VALUES = "cast(array() as array<struct<kind:string,text:string,bin:binary>>)"
+_PAST_END = 1 << 40  # added to an offset whose length field is missing
 NO_COLUMNS = "cast(array() as array<struct<name:string,type_oid:bigint,is_key:boolean>>)"
 
 
@@ -39,13 +38,16 @@ def tag(data: str, off: str) -> str:
 
 
 def cstring(data: str, off: str) -> str:
-    """Text from `off` up to the next zero byte."""
-    return f"split_part(cast({_slice(data, off, f'{_MAX_INT}L')} as string), '\\0', 1)"
+    """The bytes from `off` up to the next zero byte. Latin-1 maps every byte to one character
+    and back, so the zero is found whatever the bytes are."""
+    rest = _slice(data, off, f"{_MAX_INT}L")
+    first = f"split_part(decode({rest}, 'ISO-8859-1'), '\\0', 1)"
+    return f"encode({first}, 'ISO-8859-1')"
 
 
 def overrun(data: str, off: str) -> str:
     """True when reading ran past the end of the message."""
-    return f"({off} is null or {off} > octet_length({data}) + 1)"
+    return f"{off} > octet_length({data}) + 1"
 
 
 def row_values(data: str, off: str) -> str:
@@ -57,7 +59,8 @@ def row_values(data: str, off: str) -> str:
     """
     count = unsigned(data, off, 2)
     kind = tag(data, "acc.off")
-    size = unsigned(data, "acc.off + 1", 4)
+    # Never NULL: the type of the fold is that of its start, where the offset is not nullable.
+    size = f"coalesce({unsigned(data, 'acc.off + 1', 4)}, {_PAST_END}L)"
     content = _slice(data, "acc.off + 5", "f.size")
     value = f"""named_struct(
         'kind', f.kind,
@@ -94,5 +97,6 @@ def relation_columns(data: str, off: str) -> str:
                 f -> named_struct(
                     'off', acc.off + 1 + octet_length(f.name) + 1 + 8,
                     'cols', array_append(acc.cols, named_struct(
-                        'name', f.name, 'type_oid', {oid}, 'is_key', (f.flags & 1) = 1)),
-                    'ok', acc.ok and is_valid_utf8(f.name))), 1)))"""
+                        'name', cast(f.name as string), 'type_oid', {oid},
+                        'is_key', (f.flags & 1) = 1)),
+                    'ok', acc.ok and is_valid_utf8(cast(f.name as string)))), 1)))"""

@@ -92,12 +92,14 @@ def _relation_columns(messages: DataFrame) -> DataFrame:
 
     return (
         messages.withColumn("oid", only(wire.unsigned("data", "2L", 4)))
-        .withColumn("namespace", only(wire.cstring("data", "6L")))
-        .withColumn("_t", only("7L + octet_length(namespace)"))
-        .withColumn("table_name", only(wire.cstring("data", "_t")))
-        .withColumn("_c", only("_t + octet_length(table_name) + 2"))
+        .withColumn("_ns", only(wire.cstring("data", "6L")))
+        .withColumn("_t", only("7L + octet_length(_ns)"))
+        .withColumn("_tb", only(wire.cstring("data", "_t")))
+        .withColumn("_c", only("_t + octet_length(_tb) + 2"))
         .withColumn("_fold", only(wire.relation_columns("data", "_c")))
-        .drop("_t", "_c")
+        .withColumn("namespace", F.col("_ns").cast("string"))
+        .withColumn("table_name", F.col("_tb").cast("string"))
+        .drop("_t", "_c", "_ns", "_tb")
     )
 
 

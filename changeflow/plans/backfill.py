@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from changeflow.operators.changes import stamp_loaded
 from changeflow.plans.snapshot import typed_snapshot
 from changeflow.schema import TableSpec
+from changeflow.session import one_line
 from changeflow.sinks import files
 from changeflow.sinks.store import TableStore
 from changeflow.sources.scans import Source, key_range, open_source, snapshot_scan
@@ -29,8 +30,7 @@ def _plan(store: TableStore, folder: str, src: DataFrame, key: str, chunks: int)
         low, high = src.agg(F.min(key), F.max(key)).first()
         ranges = [] if low is None else chunk_bounds(int(low), int(high), chunks)
         plan = {"since": store.head()["n"], "ranges": ranges}
-        line = store.spark.createDataFrame([(json.dumps(plan),)], "value string")
-        line.coalesce(1).write.mode("overwrite").text(path)
+        one_line(store.spark, json.dumps(plan)).write.mode("overwrite").text(path)
     return json.loads(store.spark.read.text(path).first()[0])
 
 

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+T = TypeVar("T")
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -54,3 +60,15 @@ def settle(df: DataFrame, folder: str | None = None, by: str | None = None) -> D
     (writer.partitionBy(by) if by else writer).parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     return kept.select(*df.columns)
+
+
+def one_line(spark: SparkSession, text: str) -> DataFrame:
+    """A single line of text, for records written next to the data."""
+    return spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
+
+
+def run_together(actions: list[Callable[[], T]], at_once: int = 8) -> list[T]:
+    """Run independent Spark actions from a few threads; the cluster shares its cores between
+    their jobs. The first failure is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda action: action(), actions))

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 from changeflow.operators.changes import fold_changes, now_utc
 from changeflow.operators.merge import apply_changes, first_state
 from changeflow.schema import DEAD_DDL, METRIC_DDL, RELATION_DDL, TX_DDL, TableSpec
+from changeflow.session import one_line, run_together
 from changeflow.sinks import files
 
 # Keys of up to this many changed rows are broadcast when the state is built.
@@ -39,12 +40,10 @@ _FOLD_DDL = (
 )
 
 
-def write_counted(df: DataFrame, path: str, sort: list[str] | None = None) -> int:
+def write_counted(df: DataFrame, path: str) -> int:
     """Write a folder and return its number of rows, counted while writing."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if sort:
-        counted = counted.sortWithinPartitions(*sort)
     counted.write.mode("overwrite").parquet(path)
     return int(seen.get["rows"])
 
@@ -71,8 +70,8 @@ class TableStore:
     def _record(self, head: dict, **changed) -> None:
         """Publish the next record. Fails if another writer has taken the number."""
         record = head | changed | {"n": head["n"] + 1}
-        line = self.spark.createDataFrame([(json.dumps(record),)], "value string")
-        line.coalesce(1).write.mode("error").text(f"{self.root}/_commits/{record['n']:012d}")
+        line = one_line(self.spark, json.dumps(record))
+        line.write.mode("error").text(f"{self.root}/_commits/{record['n']:012d}")
 
     def _table(self, head: dict, name: str) -> dict:
         return head["tables"].get(name, {"base": None, "rows": 0, "buckets": 0, "deltas": []})
@@ -175,26 +174,32 @@ class TableStore:
         if self.done(writer, batch_id, head):
             return False
         part = f"writer={writer}/batch_id={batch_id}"
-        tables = dict(head["tables"])
         at = now_utc() if at is None else at.cast("timestamp_ntz")
-        for source, rows in (history or {}).items():
-            path = f"{self.root}/{self.specs[source].history}/{part}"
-            rows.sortWithinPartitions("_CDC_TS").write.mode("overwrite").parquet(path)
-        for folder, rows in (extra or {}).items():
-            rows.write.mode("overwrite").parquet(f"{self.root}/{folder}/{part}")
-        for source, rows in changes.items():
+        open_state = head["state"] if state is None else f"{self.root}/_state/{writer}-{batch_id}"
+
+        def write_change(source: str, rows: DataFrame) -> tuple[str, dict]:
             name = self.specs[source].current
             path = f"{self.root}/{name}/changes/{writer}-{batch_id}"
             stamped = rows.withColumn("_N", F.lit(head["n"] + 1).cast("bigint"))
             count = write_counted(stamped.withColumn("_LOADED_AT", at), path)
-            table = self._table(head, name)
-            if count:
-                deltas = [*table["deltas"], {"path": path, "rows": count, "n": head["n"] + 1}]
-                tables[name] = table | {"deltas": deltas}
-        open_state = head["state"]
+            return name, {"path": path, "rows": count, "n": head["n"] + 1}
+
+        def write_rows(folder: str, rows: DataFrame, sort: str | None = None) -> None:
+            rows = rows.sortWithinPartitions(sort) if sort else rows
+            rows.write.mode("overwrite").parquet(f"{self.root}/{folder}/{part}")
+
+        history = {self.specs[t].history: rows for t, rows in (history or {}).items()}
+        deltas = [partial(write_change, t, rows) for t, rows in changes.items()]
+        others = [partial(write_rows, t, rows, "_CDC_TS") for t, rows in history.items()]
+        others += [partial(write_rows, name, rows) for name, rows in (extra or {}).items()]
         if state is not None:
-            open_state = f"{self.root}/_state/{writer}-{batch_id}"
-            state.coalesce(1).write.mode("overwrite").parquet(open_state)
+            others.append(lambda: state.coalesce(1).write.mode("overwrite").parquet(open_state))
+        done = run_together([*deltas, *others])
+        tables = dict(head["tables"])
+        for name, delta in done[: len(deltas)]:
+            if delta["rows"]:
+                table = self._table(head, name)
+                tables[name] = table | {"deltas": [*table["deltas"], delta]}
         self._record(
             head,
             writers=head["writers"] | {writer: batch_id},
