@@ -1,46 +1,42 @@
 """Expressions that read big-endian fields out of a binary log message.
 
-Offsets are 1-based byte positions as in `substring`. They are kept as bigint because a
-length field can hold up to 2^32-1; `_slice` clamps them, so a broken message yields short or
-empty slices instead of an error and is recognised afterwards by its final offset.
+Offsets are 1-based byte positions as in `substring`. A broken message yields short or empty
+slices instead of an error and is recognised afterwards by its final offset. A length field can
+hold up to 2^32-1, more than any message has bytes: it is cut to `_MAX_SIZE`, so that offsets
+stay ints and still end up behind the message.
 """
 
 from __future__ import annotations
 
-_MAX_INT = 2147483647
-_PAST_END = 1 << 40  # added to an offset whose length field is missing
-NO_COLUMNS = "cast(array() as array<struct<name:string,type_oid:bigint,is_key:boolean>>)"
-
+_MAX_SIZE = 1 << 30
+_REST = 2147483647
 
-def _slice(data: str, off: str, size: str) -> str:
-    return (
-        f"substring({data}, cast(least({off}, {_MAX_INT}L) as int), "
-        f"cast(least({size}, {_MAX_INT}L) as int))"
-    )
+NO_VALUES = "cast(array() as array<struct<name:string,kind:string,text:string,bin:binary>>)"
+NO_COLUMNS = "cast(array() as array<struct<name:string,type_oid:bigint,is_key:boolean>>)"
 
 
 def unsigned(data: str, off: str, size: int) -> str:
     """Unsigned field of 1, 2 or 4 bytes as bigint."""
-    return f"cast(conv(hex({_slice(data, off, f'{size}L')}), 16, 10) as bigint)"
+    return f"cast(conv(hex(substring({data}, {off}, {size})), 16, 10) as bigint)"
 
 
 def unsigned64(data: str, off: str) -> str:
-    return f"cast(conv(hex({_slice(data, off, '8L')}), 16, 10) as decimal(20,0))"
+    return f"cast(conv(hex(substring({data}, {off}, 8)), 16, 10) as decimal(20,0))"
 
 
 def signed64(data: str, off: str) -> str:
-    return f"cast(conv(hex({_slice(data, off, '8L')}), 16, -10) as bigint)"
+    return f"cast(conv(hex(substring({data}, {off}, 8)), 16, -10) as bigint)"
 
 
 def tag(data: str, off: str) -> str:
-    """One byte as a character; NULL past the end."""
-    return f"nullif(cast({_slice(data, off, '1L')} as string), '')"
+    """One byte as a character; empty past the end."""
+    return f"cast(substring({data}, {off}, 1) as string)"
 
 
 def cstring(data: str, off: str) -> str:
     """The bytes from `off` up to the next zero byte. Latin-1 maps every byte to one character
     and back, so the zero is found whatever the bytes are."""
-    rest = _slice(data, off, f"{_MAX_INT}L")
+    rest = f"substring({data}, {off}, {_REST})"
     first = f"split_part(decode({rest}, 'ISO-8859-1'), '\\0', 1)"
     return f"encode({first}, 'ISO-8859-1')"
 
@@ -50,53 +46,55 @@ def overrun(data: str, off: str) -> str:
     return f"{off} > octet_length({data}) + 1"
 
 
-def row_values(data: str, off: str) -> str:
-    """Struct (off, vals) of the column values that start at `off`.
+def _items(count: str) -> str:
+    """1..count; `sequence` itself would count down to 0."""
+    return f"if({count} > 0, sequence(1, cast({count} as int)), cast(array() as array<int>))"
+
+
+def row_values(data: str, off: str, columns: str) -> str:
+    """Struct (off, vals): the named values that start at `off`, and where they end.
 
     Each value is a kind byte, followed for `t` (text) and `b` (bytes) by a 4-byte length
-    and the content. Any other byte than t, b, n, u takes one byte and gives no column.
-    The fold stops as soon as it leaves the message.
+    and the content. Any other byte than t, b, n, u takes one byte and gives no column. A value
+    beyond the announced columns is called col_<index>. The fold stops when it leaves the
+    message. Its type is that of its start, where nothing but the value fields can be NULL.
     """
-    count = unsigned(data, off, 2)
     kind = tag(data, "acc.off")
-    # Never NULL: the type of the fold is that of its start, where the offset is not nullable.
-    size = f"coalesce({unsigned(data, 'acc.off + 1', 4)}, {_PAST_END}L)"
-    content = _slice(data, "acc.off + 5", "f.size")
+    size = f"coalesce(least({unsigned(data, 'acc.off + 1', 4)}, {_MAX_SIZE}L), {_MAX_SIZE}L)"
+    content = f"substring({data}, acc.off + 5, f.size)"
     value = f"""named_struct(
+        'name', coalesce(get({columns}, i - 1).name, concat('col_', i - 1)),
         'kind', f.kind,
-        'text', if(f.kind = 't', make_valid_utf8(cast({content} as string)), cast(null as string)),
-        'bin', if(f.kind = 'b', {content}, cast(null as binary)),
-        'pos', i)"""
+        'text', if(f.kind = 't', make_valid_utf8(cast({content} as string)), null),
+        'bin', if(f.kind = 'b', {content}, null))"""
     # `f` binds kind and size once per value.
     return f"""aggregate(
-        if({count} > 0, sequence(1, cast({count} as int)), cast(array() as array<int>)),
-        named_struct('off', cast({off} as bigint) + 2,
-                     'vals', cast(array() as array<struct<kind:string,text:string,bin:binary,pos:int>>)),
+        {_items(unsigned(data, off, 2))},
+        named_struct('off', {off} + 2, 'vals', {NO_VALUES}),
         (acc, i) -> if({overrun(data, 'acc.off')}, acc,
-            element_at(transform(
+            transform(
                 array(named_struct('kind', {kind},
-                                   'size', if({kind} in ('t', 'b'), {size}, 0L))),
+                                   'size', if({kind} in ('t', 'b'), cast({size} as int), 0))),
                 f -> named_struct(
-                    'off', acc.off + if(f.kind in ('t', 'b'), 5L + f.size, 1L),
+                    'off', acc.off + if(f.kind in ('t', 'b'), 5 + f.size, 1),
                     'vals', if(f.kind in ('t', 'b', 'n', 'u'),
-                               array_append(acc.vals, {value}), acc.vals))), 1)))"""
+                               array_append(acc.vals, {value}), acc.vals)))[0]))"""
 
 
 def relation_columns(data: str, off: str) -> str:
     """Struct (off, cols, ok): per column flags byte, zero-ended name, 4-byte type, 4-byte modifier."""
-    count = unsigned(data, off, 2)
     flags = unsigned(data, "acc.off", 1)
     name = cstring(data, "acc.off + 1")
     oid = unsigned(data, "acc.off + 2 + octet_length(f.name)", 4)
     return f"""aggregate(
-        if({count} > 0, sequence(1, cast({count} as int)), cast(array() as array<int>)),
-        named_struct('off', cast({off} as bigint) + 2, 'cols', {NO_COLUMNS}, 'ok', true),
+        {_items(unsigned(data, off, 2))},
+        named_struct('off', {off} + 2, 'cols', {NO_COLUMNS}, 'ok', true),
         (acc, i) -> if({overrun(data, 'acc.off')}, acc,
-            element_at(transform(
+            transform(
                 array(named_struct('name', {name}, 'flags', {flags})),
                 f -> named_struct(
                     'off', acc.off + 1 + octet_length(f.name) + 1 + 8,
                     'cols', array_append(acc.cols, named_struct(
                         'name', cast(f.name as string), 'type_oid', {oid},
                         'is_key', (f.flags & 1) = 1)),
-                    'ok', acc.ok and is_valid_utf8(cast(f.name as string)))), 1)))"""
+                    'ok', acc.ok and is_valid_utf8(cast(f.name as string))))[0]))"""

@@ -49,7 +49,7 @@ class Decoded:
 def classify(raw: DataFrame) -> DataFrame:
     """Message type = first byte; empty messages carry nothing."""
     return raw.filter(F.octet_length("data") > 0).withColumn(
-        "msg_type", F.expr(wire.tag("data", "1L"))
+        "msg_type", F.expr(wire.tag("data", "1"))
     )
 
 
@@ -65,7 +65,7 @@ def count_ignored(raw: DataFrame) -> DataFrame:
 
 def _begin_columns(messages: DataFrame) -> DataFrame:
     is_begin = F.col("msg_type") == "B"
-    lsn, micros = F.expr(wire.unsigned64("data", "2L")), F.expr(wire.signed64("data", "10L"))
+    lsn, micros = F.expr(wire.unsigned64("data", "2")), F.expr(wire.signed64("data", "10"))
     return messages.withColumns(
         {
             "commit_lsn": F.when(is_begin, lsn),
@@ -91,9 +91,9 @@ def _relation_columns(messages: DataFrame) -> DataFrame:
         return F.when(F.col("msg_type") == "R", F.expr(expression))
 
     return (
-        messages.withColumn("oid", only(wire.unsigned("data", "2L", 4)))
-        .withColumn("_ns", only(wire.cstring("data", "6L")))
-        .withColumn("_t", only("7L + octet_length(_ns)"))
+        messages.withColumn("oid", only(wire.unsigned("data", "2", 4)))
+        .withColumn("_ns", only(wire.cstring("data", "6")))
+        .withColumn("_t", only("7 + octet_length(_ns)"))
         .withColumn("_tb", only(wire.cstring("data", "_t")))
         .withColumn("_c", only("_t + octet_length(_tb) + 2"))
         .withColumn("_fold", only(wire.relation_columns("data", "_c")))
@@ -193,7 +193,7 @@ def resolve_relation(rows: DataFrame, relations: DataFrame, small: bool) -> Data
     )
     if small:
         versions = F.broadcast(versions)
-    rows = rows.withColumn("oid", F.expr(wire.unsigned("data", "2L", 4)))
+    rows = rows.withColumn("oid", F.expr(wire.unsigned("data", "2", 4)))
     return rows.join(
         versions,
         (F.col("session_id") == F.col("_session"))
@@ -204,50 +204,54 @@ def resolve_relation(rows: DataFrame, relations: DataFrame, small: bool) -> Data
     ).drop("_session", "_oid", "valid_from", "valid_to")
 
 
-def image(values: str) -> Column:
-    """Name the decoded values; a value beyond the announced columns is called col_<index>."""
-    return F.expr(
-        f"""transform({values}, v -> named_struct(
-            'name', coalesce(get(columns, v.pos - 1).name, concat('col_', v.pos - 1)),
-            'kind', v.kind, 'text', v.text, 'bin', v.bin))"""
-    )
-
-
 def decode_rows(rows: DataFrame) -> DataFrame:
     """Tuple bytes -> before and after images; `error` set on cut messages and unknown oids.
 
     Insert: new tuple only. Update: optional old tuple (K or O), then the new one; without a new
-    tuple the event stays with after = NULL. Delete: old tuple if the tag is K or O.
+    tuple the event stays with after = NULL. Delete: old tuple if the tag is K or O. The message
+    itself is kept for bad rows only.
     """
     known = F.col("table_name").isNotNull()
-    rows = rows.withColumn("_tag", F.expr(wire.tag("data", "6L")))
-    has_old = F.col("_tag").isin("K", "O") & F.col("msg_type").isin("U", "D")
-    has_first = known & (has_old | ((F.col("_tag") == "N") & F.col("msg_type").isin("I", "U")))
-    rows = rows.withColumn("_one", F.when(has_first, F.expr(wire.row_values("data", "7L"))))
-    second_at = F.when(has_old & (F.col("msg_type") == "U"), F.col("_one.off"))
-    rows = rows.withColumn("_next", second_at)
-    rows = rows.withColumn("_tag2", F.expr(wire.tag("data", "_next")))
-    rows = rows.withColumn(
-        "_two", F.when(F.col("_tag2") == "N", F.expr(wire.row_values("data", "_next + 1")))
+    kind, tag = F.col("msg_type"), F.col("_tag")
+    has_old = tag.isin("K", "O") & kind.isin("U", "D")
+    has_new = (tag == "N") & kind.isin("I", "U")
+    then_new = has_old & (kind == "U")
+    first, second = (F.expr(wire.row_values("data", o, "columns")) for o in ("7", "_one.off + 1"))
+    next_tag = F.expr(wire.tag("data", "_one.off"))
+
+    rows = rows.withColumn("_tag", F.expr(wire.tag("data", "6")))
+    rows = rows.withColumn("_one", F.when(known & (has_old | has_new), first))
+    rows = rows.withColumn("_two", F.when(then_new & (next_tag == "N"), second))
+
+    length = F.octet_length("data")
+    cut = (
+        F.expr(wire.overrun("data", "_one.off"))
+        | F.coalesce(F.expr(wire.overrun("data", "_two.off")), F.lit(False))
+        | (then_new & (F.col("_one.off") > length))  # nothing left for the second tag
     )
-    cut = F.expr(wire.overrun("data", "_one.off")) & F.col("_one").isNotNull()
-    cut = cut | (F.expr(wire.overrun("data", "_two.off")) & F.col("_two").isNotNull())
-    cut = cut | (F.col("_next").isNotNull() & F.col("_tag2").isNull())
     # The oid is looked up before the tag is read: an unknown oid wins over a missing tag.
     error = (
-        F.when(F.octet_length("data") < 5, "row message cut short")
+        F.when(length < 5, "row message cut short")
         .when(~known, "unknown relation")
-        .when(F.col("_tag").isNull(), "row message cut short")
-        .when(cut, "row message cut short")
-        .when((F.col("msg_type") == "I") & (F.col("_tag") != "N"), "insert without new tuple")
+        .when((length < 6) | cut, "row message cut short")
+        .when((kind == "I") & (tag != "N"), "insert without new tuple")
     )
-    new_first = F.col("_tag") == "N"
-    return (
-        rows.withColumn("error", error)
-        .withColumn("before", F.when(has_old, image("_one.vals")))
-        .withColumn("after", F.when(new_first, image("_one.vals")).otherwise(image("_two.vals")))
-        .withColumn("after", F.when(F.col("msg_type") != "D", F.col("after")))
-        .drop("_tag", "_one", "_next", "_tag2", "_two", "columns")
+    after = F.when(has_new, F.col("_one.vals")).when(then_new, F.col("_two.vals"))
+    rows = rows.withColumn("error", error)
+    return rows.select(
+        "session_id",
+        "seq",
+        "lsn",
+        "msg_type",
+        length.alias("msg_len"),
+        "schema_name",
+        "table_name",
+        "commit_lsn",
+        "ts_ms",
+        F.when(has_old, F.col("_one.vals")).alias("before"),
+        after.alias("after"),
+        "error",
+        F.when(F.col("error").isNotNull(), F.col("data")).alias("data"),
     )
 
 
@@ -273,12 +277,13 @@ def good_changes(rows: DataFrame) -> DataFrame:
 def dead_rows(rows: DataFrame) -> DataFrame:
     """Messages that could not be used, kept with the reason."""
     table = F.col("table_name") if "table_name" in rows.columns else F.lit(None).cast("string")
+    length = F.col("msg_len") if "msg_len" in rows.columns else F.octet_length("data")
     return rows.filter(F.col("error").isNotNull()).select(
         "session_id",
         "seq",
         "lsn",
         "msg_type",
-        F.octet_length("data").alias("msg_len"),
+        length.alias("msg_len"),
         table.alias("table_name"),
         "error",
         "data",
