@@ -7,7 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.functions.scalars import cast_to_spec, ms_to_ntz, op_label, root_table
+from changeflow.functions.scalars import (
+    cast_to_spec_sql,
+    ident,
+    literal,
+    ms_to_ntz,
+    op_label,
+    root_table,
+)
 from changeflow.schema import TableSpec, prefix_map
 
 # Columns a folded change carries beside the data columns.
@@ -32,19 +39,20 @@ def image_values(rows: DataFrame, image: str, names: list[str], prefix: str) ->
     """One struct column `<prefix><name>` (kind, text, bin) per source column name, NULL where
     the image lacks it. The list of names in the image is made once per row."""
     listed = f"{prefix}names"
-    rows = rows.withColumn(listed, F.transform(image, lambda v: v["name"]))
-    place = lambda n: F.array_position(listed, n).cast("int") - 1
-    return rows.withColumns({f"{prefix}{n}": F.get(F.col(image), place(n)) for n in names})
+    rows = rows.selectExpr("*", f"transform({image}, v -> v.name) as {listed}")
+    place = lambda n: f"cast(array_position({listed}, {literal(n)}) as int) - 1"
+    picked = [f"get({image}, {place(n)}) as {ident(prefix + n)}" for n in names]
+    return rows.selectExpr("*", *picked)
 
 
 def project_row(changes: DataFrame, spec: TableSpec, image: str, strict: bool = True) -> DataFrame:
     """The data columns of the target, typed, taken from one image."""
     picked = image_values(changes, image, list(spec.columns), "_i_")
-    typed = {
-        spec.targets[c]: cast_to_spec(F.col(f"_i_{c}.text"), t, strict)
+    typed = [
+        f"{cast_to_spec_sql(f'{ident(f"_i_{c}")}.text', t, strict)} as {ident(spec.targets[c])}"
         for c, t in spec.columns.items()
-    }
-    return picked.withColumns(typed).select(*changes.columns, *typed)
+    ]
+    return picked.selectExpr(*map(ident, changes.columns), *typed)
 
 
 def history_image(changes: DataFrame) -> DataFrame:
@@ -112,64 +120,54 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     rows = image_values(changes, "after", columns, "_a_")
     rows = image_values(rows, "before", columns, "_b_")
 
-    unchanged = {c: F.coalesce(F.col(f"_a_{c}.kind") == "u", F.lit(False)) for c in columns}
-    rows = rows.withColumns(
-        {
-            f"_v_{c}": F.when(unchanged[c], F.col(f"_b_{c}.text")).otherwise(F.col(f"_a_{c}.text"))
-            for c in columns
-        }
-    )
-    new = {c: F.col(f"_v_{c}") for c in columns}
-    old = {c: F.col(f"_b_{c}.text") for c in spec.pk}
-    typed = {f"_t_{c}": cast_to_spec(new[c], t, strict) for c, t in spec.columns.items()}
-    typed |= {f"_o_{c}": cast_to_spec(old[c], spec.columns[c], strict) for c in spec.pk}
-    rows = rows.withColumns(typed)
-
-    def names_where(conditions: dict[str, Column]) -> Column:
-        hits = [F.when(cond, F.lit(target[c])) for c, cond in conditions.items()]
-        return F.array_compact(F.array(*hits))
-
-    def row(op: str, tick: int, values: dict[str, Column], unset: Column, bad: Column) -> Column:
-        return F.struct(
-            *[values[c].alias(target[c]) for c in columns],
-            F.lit(op).alias("_OP"),
-            unset.alias("_UNSET"),
-            F.col("commit_lsn").alias("_COMMIT_LSN"),
-            F.col("lsn").alias("_LSN"),
-            (F.col("seq") * 2 + tick).alias("_SEQ"),
-            bad.alias("_BAD"),
-        )
+    new = {c: ident(f"_v_{c}") for c in columns}
+    old = {c: f"{ident(f'_b_{c}')}.text" for c in spec.pk}
+    unchanged = {c: f"coalesce({ident(f'_a_{c}')}.kind = 'u', false)" for c in columns}
+    typed = {c: ident(f"_t_{c}") for c in columns}
+    typed_old = {c: ident(f"_o_{c}") for c in spec.pk}
+    texts = [
+        f"if({unchanged[c]}, {ident(f'_b_{c}')}.text, {ident(f'_a_{c}')}.text) as {new[c]}"
+        for c in columns
+    ]
+    casts = [
+        f"{cast_to_spec_sql(new[c], t, strict)} as {typed[c]}" for c, t in spec.columns.items()
+    ]
+    casts += [
+        f"{cast_to_spec_sql(old[c], spec.columns[c], strict)} as {typed_old[c]}" for c in spec.pk
+    ]
+    rows = rows.selectExpr("*", *texts).selectExpr("*", *casts)
+
+    def names_where(conditions: dict[str, str]) -> str:
+        hits = ", ".join(f"if({cond}, {literal(target[c])}, null)" for c, cond in conditions.items())
+        return f"array_compact(array({hits}))"
+
+    def row(op: str, tick: int, values: dict[str, str], unset: str, bad: str) -> str:
+        data = ", ".join(f"{values[c]} as {ident(target[c])}" for c in columns)
+        return f"""struct({data}, '{op}' as _OP, {unset} as _UNSET, commit_lsn as _COMMIT_LSN,
+            lsn as _LSN, seq * 2 + {tick} as _SEQ, {bad} as _BAD)"""
 
     upsert = row(
         "U",
         1,
-        {c: F.col(f"_t_{c}") for c in columns},
-        names_where({c: unchanged[c] & new[c].isNull() for c in columns}),
-        names_where({c: new[c].isNotNull() & F.col(f"_t_{c}").isNull() for c in columns}),
+        typed,
+        names_where({c: f"{unchanged[c]} and {new[c]} is null" for c in columns}),
+        names_where({c: f"{new[c]} is not null and {typed[c]} is null" for c in columns}),
     )
     delete = row(
         "D",
         0,
-        {
-            c: F.col(f"_o_{c}") if c in spec.pk else F.lit(None).cast(t)
-            for c, t in spec.columns.items()
-        },
-        F.array().cast("array<string>"),
-        names_where({c: old[c].isNotNull() & F.col(f"_o_{c}").isNull() for c in spec.pk}),
-    )
-    all_of = lambda conditions: reduce(lambda a, b: a & b, conditions)
-    same_key = all_of([old[c] == new[c] for c in spec.pk])
-    moved = (F.col("op") == "u") & all_of([old[c].isNotNull() for c in spec.pk]) & ~same_key
-    is_upsert = F.col("op").isin("c", "u") & (F.size("after") > 0)
-    applied = F.array_compact(
-        F.array(
-            F.when((F.col("op") == "d") | (is_upsert & moved), delete),
-            F.when(is_upsert, upsert),
-        )
-    )
-    return rows.select("session_id", "seq", F.explode(applied).alias("_r")).select(
-        "session_id", "seq", "_r.*"
+        {c: typed_old.get(c, f"cast(null as {t})") for c, t in spec.columns.items()},
+        "cast(array() as array<string>)",
+        names_where({c: f"{old[c]} is not null and {typed_old[c]} is null" for c in spec.pk}),
     )
+    is_upsert = "op in ('c', 'u') and size(after) > 0"
+    has_old_key = " and ".join(f"{old[c]} is not null" for c in spec.pk)
+    same_key = " and ".join(f"{old[c]} = {new[c]}" for c in spec.pk)
+    moved = f"op = 'u' and {has_old_key} and not ({same_key})"
+    applied = f"""array_compact(array(
+        if(op = 'd' or ({is_upsert} and {moved}), {delete}, null),
+        if({is_upsert}, {upsert}, null)))"""
+    return rows.selectExpr("session_id", "seq", f"inline({applied})")
 
 
 def split_bad(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
@@ -180,7 +178,7 @@ def split_bad(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
         no_key, "key is null"
     )
     bad = rows.withColumn("error", reason).filter(lost | no_key)
-    good = rows.filter(~lost & ~no_key).drop("_BAD")
+    good = rows.filter(~lost & ~no_key).drop("_BAD", "session_id", "seq")
     return good, bad
 
 
@@ -193,21 +191,20 @@ def fold_changes(rows: DataFrame, keys: list[str], order: str = "_SEQ") -> DataF
     """
     meta = [c for c in rows.columns if c in FOLD_COLUMNS]
     data = [c for c in rows.columns if c not in FOLD_COLUMNS and c not in keys]
-    is_set = lambda c: (F.col("_OP") == "D") | ~F.array_contains("_UNSET", c)
-    # A deleted row has NULL in every data column already.
-    last = F.max_by(F.struct(*meta), F.col(order)).alias("_last")
-    values = [
-        F.max_by(F.struct(c), F.when(is_set(c), F.col(order))).alias(c) for c in data
-    ]
-    folded = rows.groupBy(*keys).agg(last, *values)
-    unset = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in data]))
-    return folded.select(
-        *keys,
-        *[F.col(c)[c].alias(c) for c in data],
-        *[
-            (unset if c == "_UNSET" else F.col("_last")[c]).alias(c)
-            for c in meta
-        ],
+
+    def last_known(c: str) -> str:
+        # A deleted row has NULL in every data column already.
+        known = f"_OP = 'D' or not array_contains(_UNSET, {literal(c)})"
+        return f"max_by(struct({ident(c)}), if({known}, {order}, null)) as {ident(c)}"
+
+    last = f"max_by(struct({', '.join(meta)}), {order}) as _last"
+    folded = rows.groupBy(*keys).agg(F.expr(last), *[F.expr(last_known(c)) for c in data])
+    unknown = ", ".join(f"if({ident(c)} is null, {literal(c)}, null)" for c in data)
+    unset = f"array_compact(cast(array({unknown}) as array<string>))"
+    return folded.selectExpr(
+        *map(ident, keys),
+        *[f"{ident(c)}.{ident(c)} as {ident(c)}" for c in data],
+        *[f"{unset if c == '_UNSET' else f'_last.{c}'} as {c}" for c in meta],
     )
 
 

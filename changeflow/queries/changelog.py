@@ -7,7 +7,7 @@ the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.schema import TableSpec
@@ -71,13 +71,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` with the columns of the change log, before any image is made."""
-    e = read(spark, sf_dir, "events")
     tx = F.call_function("div", F.col("event_id"), F.lit(TX_EVENTS))
     # A commit time belongs to a transaction: the time of its first event.
-    commits = e.groupBy(tx.alias("tx")).agg(F.min_by("ts", "event_id").alias("commit_ts"))
+    first = F.min_by("ts", "event_id").over(Window.partitionBy("tx"))
     return (
-        e.withColumn("tx", tx)
-        .join(commits, "tx")
+        read(spark, sf_dir, "events")
+        .withColumn("tx", tx)
+        .withColumn("commit_ts", first)
         .select(
             F.col("event_id").alias("seq"),
             (F.col("event_id") * 100 + 16777216).cast("decimal(20,0)").alias("lsn"),
