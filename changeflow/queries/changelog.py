@@ -244,33 +244,42 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     )
 
 
-LANDED_FILES = 4
+LANDED_BATCHES = 4
+FILE_POSITIONS = 250_000  # positions a landed file spans at most
 
 
-def landed_wal(
-    spark: SparkSession, sf_dir: str, damaged: bool = False, files: int = LANDED_FILES
-) -> str:
-    """Land the messages in arrival order, one segment of the positions after the other."""
+def landed_wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> tuple[str, int]:
+    """Land the messages as a log writer does: one file after the other, in arrival order.
+    Returns the folder and the number of files per batch that makes four batches."""
     path = scratch_path(spark, "landing")
     messages = settle(wal(spark, sf_dir, damaged))
     low, high = messages.agg(F.min("seq"), F.max("seq")).first()
-    step = (high - low) // files + 1
+    per_batch = -(-(high - low + 1) // (LANDED_BATCHES * FILE_POSITIONS))
+    step = (high - low) // (LANDED_BATCHES * per_batch) + 1
     for start in range(low, high + 1, step):
         segment = messages.filter((F.col("seq") >= start) & (F.col("seq") < start + step))
-        segment.write.mode("append").parquet(path)
-    return path
+        segment.coalesce(1).write.mode("append").parquet(path)
+    return path, per_batch
 
 
-_LANDED: dict[tuple, str] = {}
+_LANDED: dict[tuple, tuple[str, int]] = {}
 
 
-def landing(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
-    """The landing folder of this session; written once."""
+def _landed(spark: SparkSession, sf_dir: str, damaged: bool) -> tuple[str, int]:
     key = (spark.sparkContext.applicationId, sf_dir, damaged)
     if key not in _LANDED:
         _LANDED[key] = landed_wal(spark, sf_dir, damaged)
     return _LANDED[key]
 
 
+def landing(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
+    """The landing folder of this session; written once."""
+    return _landed(spark, sf_dir, damaged)[0]
+
+
+def files_per_batch(spark: SparkSession, sf_dir: str, batches: int = LANDED_BATCHES) -> int:
+    return _landed(spark, sf_dir, False)[1] * LANDED_BATCHES // batches
+
+
 def landed(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     return wal_scan(spark, landing(spark, sf_dir, damaged))

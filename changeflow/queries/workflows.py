@@ -10,10 +10,12 @@ from changeflow.plans.reconcile import reconcile
 from changeflow.queries.changelog import (
     BOTH_SPECS,
     CL,
-    LANDED_FILES,
+    FILE_POSITIONS,
+    LANDED_BATCHES,
     MAPPED,
     SPECS,
     changelog,
+    files_per_batch,
     landing,
     read,
 )
@@ -168,7 +170,7 @@ def new_store(spark, specs=SPECS):
 
 
 def streamed(spark, sf_dir):
-    """One run over the landed log, a file per batch; shared by the queries that look at it."""
+    """One run over the landed log in four batches; shared by the queries that look at it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         store = new_store(spark)
@@ -177,7 +179,7 @@ def streamed(spark, sf_dir):
             landing(spark, sf_dir),
             store,
             scratch_path(spark, "checkpoint"),
-            max_files=1,
+            max_files=files_per_batch(spark, sf_dir),
             at=loaded_at(),
         )
         _RUNS[key] = (store, progress)
@@ -191,7 +193,9 @@ def start_cdc(spark, sf_dir):
 
 
 SEGMENTS = f"""{POS}, {MESSAGES}, span as (select min(event_id * 20 + k) as low, max(event_id * 20 + k) as high from msgs),
-  step as (select low, (high - low) // {LANDED_FILES} + 1 as size from span)"""
+  files as (select low, high,
+    (high - low + {LANDED_BATCHES * FILE_POSITIONS}) // {LANDED_BATCHES * FILE_POSITIONS} as per_batch from span),
+  step as (select low, ((high - low) // ({LANDED_BATCHES} * per_batch) + 1) * per_batch as size from files)"""
 
 
 @query(
@@ -202,7 +206,7 @@ SEGMENTS = f"""{POS}, {MESSAGES}, span as (select min(event_id * 20 + k) as low,
         from mapped, step group by all""",
 )
 def batch_bounds(spark, sf_dir):
-    """One landed file per batch: the counts of every batch."""
+    """A quarter of the landed files per batch: the counts of every batch."""
     counts = streamed(spark, sf_dir)[0].metrics().filter(F.col("metric") == M.PROCESSED)
     return counts.select("batch_id", "op", "value")
 
@@ -244,10 +248,10 @@ def replay_safe(spark, sf_dir):
     """The second batch fails before its record is there; a restart repeats it without doubling
     history."""
     store = FailingStore(spark, scratch_path(spark, "store"), SPECS)
-    checkpoint = scratch_path(spark, "checkpoint")
+    checkpoint, half = scratch_path(spark, "checkpoint"), files_per_batch(spark, sf_dir, 2)
     for _ in range(2):
         try:
-            T.drain(spark, landing(spark, sf_dir), store, checkpoint, max_files=2, at=loaded_at())
+            T.drain(spark, landing(spark, sf_dir), store, checkpoint, max_files=half, at=loaded_at())
         except Exception:
             if not store.failed:
                 raise
@@ -264,8 +268,9 @@ def stateful_context(spark, sf_dir):
 def drain(spark, sf_dir):
     """A second drain of the same folder finds nothing new; then the table is compacted."""
     store, checkpoint = new_store(spark), scratch_path(spark, "checkpoint")
+    half = files_per_batch(spark, sf_dir, 2)
     for _ in range(2):
-        T.drain(spark, landing(spark, sf_dir), store, checkpoint, max_files=2, at=loaded_at())
+        T.drain(spark, landing(spark, sf_dir), store, checkpoint, max_files=half, at=loaded_at())
     store.compact("events")
     return store.current("events").select(*typed_columns())
 
