@@ -170,15 +170,18 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     return rows.selectExpr("session_id", "seq", f"inline({applied})")
 
 
+def unusable(spec: TableSpec) -> Column:
+    """True for typed rows that cannot be applied: bad text or no key."""
+    no_key = " or ".join(f"{ident(c)} is null" for c in spec.pk_targets)
+    return F.expr(f"size(_BAD) > 0 or {no_key}")
+
+
 def split_bad(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and rows that cannot be applied (bad text or no key) with the reason."""
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.pk_targets])
-    lost = F.size("_BAD") > 0
-    reason = F.when(lost, F.concat(F.lit("bad value in "), F.array_join("_BAD", ","))).when(
-        no_key, "key is null"
-    )
-    bad = rows.withColumn("error", reason).filter(lost | no_key)
-    good = rows.filter(~lost & ~no_key).drop("_BAD", "session_id", "seq")
+    """Good rows, and rows that cannot be applied with the reason."""
+    lost = F.concat(F.lit("bad value in "), F.array_join("_BAD", ","))
+    reason = F.when(F.size("_BAD") > 0, lost).otherwise("key is null")
+    bad = rows.filter(unusable(spec)).withColumn("error", reason)
+    good = rows.filter(~unusable(spec)).drop("_BAD", "session_id", "seq")
     return good, bad
 
 

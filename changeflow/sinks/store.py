@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from collections.abc import Callable
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,8 +28,9 @@ from changeflow.schema import DEAD_DDL, METRIC_DDL, RELATION_DDL, TX_DDL, TableS
 from changeflow.session import one_line, run_together
 from changeflow.sinks import files
 
-# Keys of up to this many changed rows are broadcast when the state is built.
+# The changed keys are broadcast when the state is built, up to this many rows and bytes.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 100_000
 MAX_DELTAS = 32
@@ -40,12 +42,14 @@ _FOLD_DDL = (
 )
 
 
-def write_counted(df: DataFrame, path: str) -> int:
-    """Write a folder and return its number of rows, counted while writing."""
+def write_counted(df: DataFrame, path: str, keys: list[str]) -> dict:
+    """Write a folder; its number of rows and the bytes of its keys are counted on the way."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(path)
-    return int(seen.get["rows"])
+    width = sum((F.octet_length(F.col(k).cast("string")) + 16 for k in keys), F.lit(0))
+    totals = [F.count(F.lit(1)).alias("rows"), F.sum(width).alias("key_bytes")]
+    df.observe(seen, *totals).write.mode("overwrite").parquet(path)
+    found = seen.get
+    return {"path": path, "rows": int(found["rows"]), "key_bytes": int(found["key_bytes"] or 0)}
 
 
 class TableStore:
@@ -110,7 +114,8 @@ class TableStore:
         changes = self._changes(spec, table)
         if table["base"] is None:
             return first_state(changes, columns)
-        small = sum(d["rows"] for d in table["deltas"]) <= broadcast_rows
+        total = lambda field: sum(d[field] for d in table["deltas"])
+        small = total("rows") <= broadcast_rows and total("key_bytes") <= BROADCAST_BYTES
         return apply_changes(self._base(spec, table), changes, spec.pk_targets, small=small)
 
     def _committed(self, folder: str, schema: str) -> DataFrame:
@@ -161,15 +166,16 @@ class TableStore:
         batch_id: int,
         changes: dict[str, DataFrame],
         history: dict[str, DataFrame] | None = None,
-        extra: dict[str, DataFrame] | None = None,
+        extra: dict[str, DataFrame | Callable[[], DataFrame]] | None = None,
         state: DataFrame | None = None,
         position: dict | None = None,
         at: Column | None = None,
         head: dict | None = None,
     ) -> bool:
         """Write a batch and make all of it valid at once. A batch this writer has committed
-        already is left alone. `changes` holds folded changes per source table; `head` is the
-        record the batch was computed from, if not the newest."""
+        already is left alone. `changes` holds folded changes per source table. `extra` are
+        other folders; one given as a function is asked for after the tables are written. `head`
+        is the record the batch was computed from, if not the newest."""
         head = head or self.head()
         if self.done(writer, batch_id, head):
             return False
@@ -181,8 +187,9 @@ class TableStore:
             name = self.specs[source].current
             path = f"{self.root}/{name}/changes/{writer}-{batch_id}"
             stamped = rows.withColumn("_N", F.lit(head["n"] + 1).cast("bigint"))
-            count = write_counted(stamped.withColumn("_LOADED_AT", at), path)
-            return name, {"path": path, "rows": count, "n": head["n"] + 1}
+            stamped = stamped.withColumn("_LOADED_AT", at)
+            delta = write_counted(stamped, path, self.specs[source].pk_targets)
+            return name, delta | {"n": head["n"] + 1}
 
         def write_rows(folder: str, rows: DataFrame, sort: str | None = None) -> None:
             rows = rows.sortWithinPartitions(sort) if sort else rows
@@ -191,10 +198,13 @@ class TableStore:
         history = {self.specs[t].history: rows for t, rows in (history or {}).items()}
         deltas = [partial(write_change, t, rows) for t, rows in changes.items()]
         others = [partial(write_rows, t, rows, "_CDC_TS") for t, rows in history.items()]
-        others += [partial(write_rows, name, rows) for name, rows in (extra or {}).items()]
+        later = {name: rows for name, rows in (extra or {}).items() if callable(rows)}
+        now = {name: rows for name, rows in (extra or {}).items() if name not in later}
+        others += [partial(write_rows, name, rows) for name, rows in now.items()]
         if state is not None:
             others.append(lambda: state.coalesce(1).write.mode("overwrite").parquet(open_state))
         done = run_together([*deltas, *others])
+        run_together([partial(write_rows, name, rows()) for name, rows in later.items()])
         tables = dict(head["tables"])
         for name, delta in done[: len(deltas)]:
             if delta["rows"]:
@@ -232,8 +242,10 @@ class TableStore:
         table = self._table(head, spec.current)
         state = self.current(source, broadcast_rows=0)
         expected = table["rows"] + sum(d["rows"] for d in table["deltas"])
-        buckets = max(1, min(MAX_BUCKETS, math.ceil(expected / bucket_rows)))
-        if buckets != table["buckets"]:
+        buckets = table["buckets"]
+        # As long as the buckets are not twice too full, rows stay in theirs and nothing moves.
+        if not buckets or expected > 2 * buckets * bucket_rows:
+            buckets = max(1, min(MAX_BUCKETS, math.ceil(expected / bucket_rows)))
             state = state.repartition(buckets, *spec.pk_targets)
         path = f"{self.root}/{spec.current}/base/{uuid.uuid4().hex[:12]}"
         name = f"changeflow_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"

@@ -249,6 +249,20 @@ def test_stream_end_to_end(spark):
     assert not files.children(spark, f"{store.root}/_work")
 
 
+def test_messages_that_land_again(spark):
+    """A new checkpoint sees all files again: it fails, or goes on behind the position."""
+    folder, store = scratch_path(spark, "land"), TableStore(spark, scratch_path(spark, "s"), REGISTRY)
+    head = [m.begin(500, 0), m.relation(1, "customers", CUSTOMER_COLUMNS)]
+    n = land(spark, folder, [*head, m.insert(1, customer(1, "a"))], 0)
+    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
+    land(spark, folder, [m.insert(1, customer(2, "b"))], n)
+    with pytest.raises(Exception, match="resume=True"):
+        T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
+    assert store.history("customers").count() == 1
+    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"), resume=True)
+    assert store.history("customers").count() == store.current("customers").count() == 2
+
+
 def test_a_batch_without_messages(spark):
     store = TableStore(spark, scratch_path(spark, "s"), REGISTRY)
     empty = spark.createDataFrame([], RAW_WAL)
