@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -115,16 +115,22 @@ def decode_relation(messages: DataFrame) -> DataFrame:
     return relations.select("*", F.col("_fold.cols").alias("columns"), _relation_error().alias("error")).drop("_fold")
 
 
-def decode_control(messages: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Begin and relation messages, decoded in one pass over the log and kept."""
+def decode_control(
+    messages: DataFrame, folder: str | None = None
+) -> tuple[DataFrame, DataFrame, int]:
+    """Begin and relation messages, decoded in one pass over the log and kept; and the bytes of
+    all relation messages."""
     control = messages.filter(F.col("msg_type").isin("B", "R"))
-    control = settle(_relation_columns(_begin_columns(control)), folder)
+    seen = Observation()
+    size = F.sum(F.when(F.col("msg_type") == "R", F.octet_length("data"))).alias("bytes")
+    control = settle(_relation_columns(_begin_columns(control)), folder, seen=seen, totals=[size])
     begins = control.filter(F.col("msg_type") == "B").withColumn("error", _begin_error())
     relations = control.filter(F.col("msg_type") == "R").withColumn("error", _relation_error())
     begins = begins.select(*messages.columns, "commit_lsn", "ts_ms", "error")
     names = ("oid", "namespace", "table_name")
     columns = F.col("_fold.cols").alias("columns")
-    return begins, relations.select(*messages.columns, *names, columns, "error")
+    relations = relations.select(*messages.columns, *names, columns, "error")
+    return begins, relations, int(seen.get["bytes"] or 0)
 
 
 def relation_versions(relations: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -167,9 +173,11 @@ def carry_transactions(
     )
     events = rows.withColumn("tx", empty).unionByName(starts, allowMissingColumns=True)
     # The ends of the blocks are read on two levels: written once, not computed twice.
-    ends = settle(ends, folder)
+    seen = Observation()
+    ends = settle(ends, folder, seen=seen, totals=[F.count(F.lit(1)).alias("blocks")])
+    few = seen.get["blocks"] <= fan_in
     filled = fill_forward(
-        events.withColumn("block", by_block), ends, "session_id", "seq", "tx", fan_in
+        events.withColumn("block", by_block), ends, "session_id", "seq", "tx", fan_in, few
     )
     return (
         filled.filter(F.col("msg_type").isNotNull())
@@ -307,11 +315,10 @@ def decode_wal(
     """
     place = lambda name: f"{folder}/{name}" if folder else None
     messages = classify(raw)
-    begins, announced = decode_control(messages, place("control"))
+    begins, announced, size = decode_control(messages, place("control"))
     versions = relation_versions(announced.filter(F.col("error").isNull()), relations)
-    size = announced.agg(F.sum(F.octet_length("data"))).first()[0]
     # Carried-over versions are the open ones of one session: no more than the tables of a source.
-    small = (size or 0) <= broadcast_bytes
+    small = size <= broadcast_bytes
 
     stamped = carry_transactions(
         messages.filter(F.col("msg_type").isin(*ROW_TYPES)),

@@ -19,11 +19,17 @@ def block_of(position: Column, size: int) -> Column:
     return F.call_function("div", position, F.lit(size))
 
 
-def carry_in(ends: DataFrame, key: str, value: str, fan_in: int = FAN_IN) -> DataFrame:
+def carry_in(
+    ends: DataFrame, key: str, value: str, fan_in: int = FAN_IN, few: bool = False
+) -> DataFrame:
     """`ends` has one row (key, block, value or NULL) per block. Returns (key, block, carry):
-    the newest non-null value of an earlier block of the same key."""
-    upper = block_of(F.col("block"), fan_in)
+    the newest non-null value of an earlier block of the same key. `few` says that there are no
+    more than `fan_in` blocks in all, which one window per key can take."""
     earlier = (Window.unboundedPreceding, -1)
+    if few:
+        whole = Window.partitionBy(key).orderBy("block").rowsBetween(*earlier)
+        return ends.select(key, "block", F.last(value, ignorenulls=True).over(whole).alias("carry"))
+    upper = block_of(F.col("block"), fan_in)
     inside = Window.partitionBy(key, "upper").orderBy("block").rowsBetween(*earlier)
     ends = ends.withColumn("upper", upper)
     local = ends.withColumn("local", F.last(value, ignorenulls=True).over(inside))
@@ -38,7 +44,13 @@ def carry_in(ends: DataFrame, key: str, value: str, fan_in: int = FAN_IN) -> Dat
 
 
 def fill_forward(
-    rows: DataFrame, ends: DataFrame, key: str, position: str, value: str, fan_in: int = FAN_IN
+    rows: DataFrame,
+    ends: DataFrame,
+    key: str,
+    position: str,
+    value: str,
+    fan_in: int = FAN_IN,
+    few: bool = False,
 ) -> DataFrame:
     """Replace NULLs of `value` by the newest earlier value of the same key.
 
@@ -49,7 +61,7 @@ def fill_forward(
         Window.unboundedPreceding, Window.currentRow
     )
     filled = rows.withColumn(value, F.last(value, ignorenulls=True).over(inside))
-    carried = carry_in(ends, key, value, fan_in)
+    carried = carry_in(ends, key, value, fan_in, few)
     return (
         filled.join(carried, [key, "block"], "left")
         .withColumn(value, F.coalesce(value, "carry"))

@@ -96,7 +96,7 @@ def decode_relation(spark, sf_dir):
 def carry_tx(spark, sf_dir):
     raw = landed(spark, sf_dir)
     messages = D.classify(raw)
-    begins, _ = D.decode_control(messages)
+    begins, _, _ = D.decode_control(messages)
     rows = messages.filter(F.col("msg_type").isin(*D.ROW_TYPES))
     stamped = D.carry_transactions(rows, begins, raw.select("session_id", "seq"))
     return stamped.select("seq", F.col("commit_lsn").cast("bigint").alias("commit_lsn"), "ts_ms")
@@ -108,7 +108,7 @@ def carry_tx(spark, sf_dir):
 )
 def resolve_relation(spark, sf_dir):
     messages = D.classify(landed(spark, sf_dir))
-    _, announced = D.decode_control(messages)
+    _, announced, _ = D.decode_control(messages)
     rows = messages.filter(F.col("msg_type").isin(*D.ROW_TYPES))
     versions = D.relation_versions(announced)
     found = D.resolve_relation(rows, versions, small=False)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
@@ -52,11 +52,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def settle(df: DataFrame, folder: str | None = None, by: str | None = None) -> DataFrame:
+def settle(
+    df: DataFrame, folder: str | None = None, by: str | None = None, seen: Observation | None = None,
+    totals: list[Column] | None = None,
+) -> DataFrame:
     """Cut the lineage: compute once, keep the rows in the shared folder as Parquet, if wanted
-    in one folder per value of a column. With `folder` they go there, for the caller to remove."""
+    in one folder per value of a column. With `folder` they go there, for the caller to remove.
+    `seen` receives `totals` while the rows are written."""
     path = folder or scratch_path(df.sparkSession, "settled")
-    writer = df.write.mode("overwrite")
+    writer = (df.observe(seen, *totals) if seen else df).write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     return kept.select(*df.columns)

@@ -245,7 +245,7 @@ def test_context_does_not_depend_on_layout(spark, random_log, block, fan_in, par
     )
     raw = raw.repartition(parts).withColumn("lsn", F.col("lsn").cast("decimal(20,0)"))
     messages = D.classify(raw)
-    begins, _ = D.decode_control(messages)
+    begins, _, _ = D.decode_control(messages)
     stamped = D.carry_transactions(
         messages.filter("msg_type = 'I'"), begins, raw.select("session_id", "seq"), None, block, fan_in
     )
