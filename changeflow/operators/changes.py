@@ -37,10 +37,8 @@ def deletes(changes: DataFrame) -> DataFrame:
 
 def image_values(rows: DataFrame, image: str, names: list[str], prefix: str) -> DataFrame:
     """One struct column `<prefix><name>` (kind, text, bin) per source column name, NULL where
-    the image lacks it. The list of names in the image is made once per row."""
-    listed = f"{prefix}names"
-    rows = rows.selectExpr("*", f"transform({image}, v -> v.name) as {listed}")
-    place = lambda n: f"cast(array_position({listed}, {literal(n)}) as int) - 1"
+    the image lacks it. Only expressions that Spark compiles are used: no lambda."""
+    place = lambda n: f"cast(array_position({image}.name, {literal(n)}) as int) - 1"
     picked = [f"get({image}, {place(n)}) as {ident(prefix + n)}" for n in names]
     return rows.selectExpr("*", *picked)
 
@@ -138,8 +136,9 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     rows = rows.selectExpr("*", *texts).selectExpr("*", *casts)
 
     def names_where(conditions: dict[str, str]) -> str:
-        hits = ", ".join(f"if({cond}, {literal(target[c])}, null)" for c, cond in conditions.items())
-        return f"array_compact(array({hits}))"
+        none = "cast(array() as array<string>)"
+        hits = [f"if({w}, array({literal(target[c])}), {none})" for c, w in conditions.items()]
+        return f"concat({', '.join(hits)})"
 
     def row(op: str, tick: int, values: dict[str, str], unset: str, bad: str) -> str:
         data = ", ".join(f"{values[c]} as {ident(target[c])}" for c in columns)
@@ -164,10 +163,10 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     has_old_key = " and ".join(f"{old[c]} is not null" for c in spec.pk)
     same_key = " and ".join(f"{old[c]} = {new[c]}" for c in spec.pk)
     moved = f"op = 'u' and {has_old_key} and not ({same_key})"
-    applied = f"""array_compact(array(
+    applied = f"""array(
         if(op = 'd' or ({is_upsert} and {moved}), {delete}, null),
-        if({is_upsert}, {upsert}, null)))"""
-    return rows.selectExpr("session_id", "seq", f"inline({applied})")
+        if({is_upsert}, {upsert}, null))"""
+    return rows.selectExpr("session_id", "seq", f"inline({applied})").filter("_OP is not null")
 
 
 def unusable(spec: TableSpec) -> Column:

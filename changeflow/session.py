@@ -27,6 +27,8 @@ def local_session(cores: int = 8, name: str = "changeflow", **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small shuffles keep a task per core: decoding is work for the processor, not the disk.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
