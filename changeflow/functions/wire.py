@@ -51,19 +51,19 @@ def _items(count: str) -> str:
     return f"if({count} > 0, sequence(1, cast({count} as int)), cast(array() as array<int>))"
 
 
-def row_values(data: str, off: str, columns: str) -> str:
+def row_values(data: str, off: str, names: str) -> str:
     """Struct (off, vals): the named values that start at `off`, and where they end.
 
     Each value is a kind byte, followed for `t` (text) and `b` (bytes) by a 4-byte length
     and the content. Any other byte than t, b, n, u takes one byte and gives no column. A value
-    beyond the announced columns is called col_<index>. The fold stops when it leaves the
+    beyond the announced `names` is called col_<index>. The fold stops when it leaves the
     message. Its type is that of its start, where nothing but the value fields can be NULL.
     """
     kind = tag(data, "acc.off")
     size = f"coalesce(least({unsigned(data, 'acc.off + 1', 4)}, {_MAX_SIZE}L), {_MAX_SIZE}L)"
     content = f"substring({data}, acc.off + 5, f.size)"
     value = f"""named_struct(
-        'name', coalesce(get({columns}, i - 1).name, concat('col_', i - 1)),
+        'name', coalesce(get({names}, i - 1), concat('col_', i - 1)),
         'kind', f.kind,
         'text', if(f.kind = 't', make_valid_utf8(cast({content} as string)), null),
         'bin', if(f.kind = 'b', {content}, null))"""
@@ -73,8 +73,7 @@ def row_values(data: str, off: str, columns: str) -> str:
         named_struct('off', {off} + 2, 'vals', {NO_VALUES}),
         (acc, i) -> if({overrun(data, 'acc.off')}, acc,
             transform(
-                array(named_struct('kind', {kind},
-                                   'size', if({kind} in ('t', 'b'), cast({size} as int), 0))),
+                array(named_struct('kind', {kind}, 'size', cast({size} as int))),
                 f -> named_struct(
                     'off', acc.off + if(f.kind in ('t', 'b'), 5 + f.size, 1),
                     'vals', if(f.kind in ('t', 'b', 'n', 'u'),

@@ -195,7 +195,7 @@ def resolve_relation(rows: DataFrame, relations: DataFrame, small: bool) -> Data
         F.col("oid").alias("_oid"),
         F.col("namespace").alias("schema_name"),
         "table_name",
-        "columns",
+        F.col("columns.name").alias("names"),
         "valid_from",
         "valid_to",
     )
@@ -224,7 +224,7 @@ def decode_rows(rows: DataFrame) -> DataFrame:
     has_old = tag.isin("K", "O") & kind.isin("U", "D")
     has_new = (tag == "N") & kind.isin("I", "U")
     then_new = has_old & (kind == "U")
-    first, second = (F.expr(wire.row_values("data", o, "columns")) for o in ("7", "_one.off + 1"))
+    first, second = (F.expr(wire.row_values("data", o, "names")) for o in ("7", "_one.off + 1"))
     next_tag = F.expr(wire.tag("data", "_one.off"))
 
     rows = rows.withColumn("_tag", F.expr(wire.tag("data", "6")))

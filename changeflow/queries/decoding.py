@@ -112,7 +112,7 @@ def resolve_relation(spark, sf_dir):
     rows = messages.filter(F.col("msg_type").isin(*D.ROW_TYPES))
     versions = D.relation_versions(announced)
     found = D.resolve_relation(rows, versions, small=False)
-    return found.select("seq", "schema_name", "table_name", F.size("columns").alias("n_columns"))
+    return found.select("seq", "schema_name", "table_name", F.size("names").alias("n_columns"))
 
 
 def _typed(changes, image):

@@ -229,8 +229,8 @@ class TableStore:
         base = {"base": paths, "rows": rows, "buckets": 0, "deltas": later}
         self._record(head, tables=head["tables"] | {spec.current: base})
 
-    def compaction_due(self, source: str) -> bool:
-        table = self._table(self.head(), self.specs[source].current)
+    def compaction_due(self, source: str, head: dict | None = None) -> bool:
+        table = self._table(head or self.head(), self.specs[source].current)
         changed = sum(d["rows"] for d in table["deltas"])
         too_many = len(table["deltas"]) >= MAX_DELTAS
         return too_many or (table["rows"] > 0 and changed >= DELTA_SHARE * table["rows"])
@@ -266,7 +266,8 @@ class TableStore:
         """Remove all but the newest `keep` records, and change and base folders none of those
         names. Run it while no batch is being written."""
         folder = f"{self.root}/_commits"
-        names = files.children(self.spark, folder)
+        every = files.children(self.spark, folder)
+        names = [n for n in every if files.written(self.spark, f"{folder}/{n}")]
         kept = names[-keep:]
         live = set()
         for name in kept:
