@@ -1,0 +1,80 @@
+import json
+import random
+
+import public_tokenizers
+import pytest
+from fixtures import awkward, documents, empty
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from changeflow.llm import tokens
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ALPHABET = ["a", "b", "'ll", "'", "l", "s", " ", "  ", "\n", "\t", "é", "日本", "1", "23", "!", "...", "the",
+            " of", "<|endoftext|>", "<|endof", " ", "　", "\U0001f642", "-" * 12, "\r\n", "'T", "'s", "́"]
+
+
+@pytest.fixture(scope="module")
+def both():
+    with open(PATH, encoding="utf-8") as f:
+        return tokens.PrefixCounter(json.load(f)), Tokenizer.from_file(PATH)
+
+
+def encoded(library, text):
+    return len(library.encode(text, add_special_tokens=False).ids)
+
+
+def texts(n, longest):
+    rng = random.Random(3)
+    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, longest))) for _ in range(n)]
+
+
+def test_every_prefix_has_the_count_of_its_own_encoding(both):
+    counter, library = both
+    for text in texts(400, 14) + [None or "x" * 300, "ab" * 200]:
+        assert counter.counts(text).tolist() == [encoded(library, text[:i]) for i in range(1, len(text) + 1)], text
+
+
+def test_whole_counts_and_budgets(both):
+    counter, library = both
+    for text in texts(400, 40):
+        counts = [encoded(library, text[:i]) for i in range(1, len(text) + 1)]
+        budget = len(text) % 9
+        fits = [i + 1 for i, n in enumerate(counts) if n <= budget]
+        assert counter.count(text) == (counts[-1] if counts else 0)
+        if text:
+            assert counter.answer(text, budget) == (counts[-1], fits[-1] if fits else 0), text
+
+
+def test_every_token_ends_its_own_encoding(both):
+    counter, _ = both
+    for token, number in list(counter.id.items())[::97]:
+        assert counter.piece(token)[-1] == 1, token
+
+
+def test_rows(spark, both):
+    _, library = both
+    docs = documents(spark, clash=["n_tokens", "fits", "_kept"])
+    got = tokens.token_counts(docs, PATH, 100, store=True)
+    wanted = sorted(
+        (i is None, i or 0, len((t or "").encode()), encoded(library, t or ""), encoded(library, t or "") > 100)
+        for i, t, *_ in awkward()
+    )
+    rows = got.collect()
+    assert sorted((r[0] is None, r[0] or 0, *r[1:4]) for r in rows) == wanted
+    asked = got.select("fits", tokens.chars_in_budget(100).alias("same"), tokens.prefix_tokens(7).alias("seven"), "prefix_tokens")
+    for r in asked.collect():
+        assert r.fits == r.same
+        assert r.seven == (r.prefix_tokens[min(7, len(r.prefix_tokens)) - 1] if r.prefix_tokens else None)
+    without = tokens.token_counts(docs, PATH, 100).select(*got.columns[:5])
+    assert without.exceptAll(got.select(*got.columns[:5])).isEmpty()
+
+
+def test_empty(spark):
+    assert tokens.token_counts(empty(spark), PATH, 10).count() == 0
+    assert tokens.token_counts(empty(spark), PATH, 10).agg(F.sum("n_tokens")).first()[0] is None
+
+
+def test_other_tokenizers_are_refused():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f, pytest.raises(ValueError):
+        tokens.PrefixCounter(json.load(f))
