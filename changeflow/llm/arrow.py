@@ -69,7 +69,8 @@ class Words:
     def runs(self, n: int, seed: int = 0) -> np.ndarray:
         """Hash of the n words from each word on. Runs over the end of a text are of no meaning:
         `room() >= n` tells the others."""
-        return mix(run_sums(mix(self.hashes + np.uint64(seed) * _A), n) + np.uint64(n))
+        with np.errstate(over="ignore"):
+            return mix(run_sums(mix(self.hashes + np.uint64(seed * int(_A) % (1 << 64))), n) + np.uint64(n))
 
 
 def run_sums(values: np.ndarray, n: int) -> np.ndarray:
