@@ -66,6 +66,12 @@ class Words:
         """For each word, the number of words from it to the end of its text."""
         return np.repeat(self.first[1:], np.diff(self.first)) - np.arange(len(self.start))
 
+    def starts(self, n: int) -> np.ndarray:
+        """Hash of the first n bytes of each word, n up to 8; a shorter word is taken whole."""
+        eights = _eights(self.data)[self.start]
+        with np.errstate(over="ignore"):
+            return mix((eights & _MASKS[np.minimum(self.end - self.start, n)]) * _A + np.uint64(n))
+
     def runs(self, n: int, seed: int = 0) -> np.ndarray:
         """Hash of the n words from each word on. Runs over the end of a text are of no meaning:
         `room() >= n` tells the others."""
@@ -130,9 +136,14 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = PLAIN, fold:
     return Words(data, start, end, np.searchsorted(start, at), _hashes(data, start, end))
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on, zeros after the end."""
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    eights = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    return np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    eights = _eights(data)
     size = end - start
     with np.errstate(over="ignore"):
         out = mix((eights[start] & _MASKS[np.minimum(size, 8)]) + size.astype(np.uint64) * _A)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import mixing, shards, substrings, tokens
+from changeflow.llm import mixing, quality, shards, substrings, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,6 +38,16 @@ def substring_dedup(spark, sf_dir):
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op4_quality")
+def quality_scores(spark, sf_dir):
+    """Labels of a third of the ids are never looked at."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(toxicity.remainder("doc_id", 3) != 1)
+    network, share = quality.fit(docs, labels.select("doc_id", "quality"))
+    held_out = F.coalesce(toxicity.remainder("doc_id", 3) == 1, F.lit(False))
+    return quality.score(docs, network, share).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op8_hilbert_shards")
 def hilbert_shards(spark, sf_dir):
     placed = shards.hilbert_shards(table(spark, sf_dir, "documents"), 24)
@@ -47,6 +57,20 @@ def hilbert_shards(spark, sf_dir):
     )
 
 
+def toxicity_model(spark, docs, sf_dir):
+    """Labels of a fifth of the ids are never looked at."""
+    labels = table(spark, sf_dir, "labels").filter(toxicity.remainder("doc_id", 5) != 0)
+    return toxicity.fit(docs, labels.select("doc_id", "toxic"))
+
+
+@query("op9_toxicity")
+def toxic_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    held_out = F.coalesce(toxicity.remainder("doc_id", 5) == 0, F.lit(False))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+
+
 @query("op10_source_mix")
 def source_mix(spark, sf_dir):
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
