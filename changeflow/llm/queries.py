@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import mixing, quality, shards, substrings, tokens, toxicity
+from changeflow.llm import language, mixing, quality, shards, substrings, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,6 +48,14 @@ def quality_scores(spark, sf_dir):
     return quality.score(docs, network, share).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query("op5_loss_difference")
+def loss_difference(spark, sf_dir):
+    """Target: the documents labelled as good; background: all documents."""
+    docs = table(spark, sf_dir, "documents")
+    good = language.target_ids(table(spark, sf_dir, "labels").filter("quality = 1"))
+    return language.score(docs, language.fit(docs, good), good)
+
+
 @query("op8_hilbert_shards")
 def hilbert_shards(spark, sf_dir):
     placed = shards.hilbert_shards(table(spark, sf_dir, "documents"), 24)
