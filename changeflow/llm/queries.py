@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import language, mixing, quality, shards, substrings, tokens, toxicity
+from changeflow.llm import language, mixing, nearcopies, quality, shards, substrings, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,6 +56,11 @@ def loss_difference(spark, sf_dir):
     return language.score(docs, language.fit(docs, good), good)
 
 
+@query("op6_near_copies")
+def near_copies(spark, sf_dir):
+    return nearcopies.near_copies(table(spark, sf_dir, "documents")).drop("node")
+
+
 @query("op8_hilbert_shards")
 def hilbert_shards(spark, sf_dir):
     placed = shards.hilbert_shards(table(spark, sf_dir, "documents"), 24)
