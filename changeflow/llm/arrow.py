@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,6 @@ def _table(*ranges: tuple[int, int]) -> np.ndarray:
 #: Bytes of a word `[^\x20\x09-\x0D]+`, and of a run of letters, digits and non-ASCII characters.
 PLAIN = ~_table((0x20, 0x20), (0x09, 0x0D))
 LETTERS = _table((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[0x41:0x5B] += 0x20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -97,11 +96,12 @@ def run_sums(values: np.ndarray, n: int) -> np.ndarray:
             width, factor = width * 2, factor * factor
 
 
-def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; null is empty."""
+def texts(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a string column, if wanted in lower case; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("").cast(pa.large_string())
+    column = pc.utf8_lower(column) if lower else column
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):
@@ -118,12 +118,10 @@ def groups(offsets: np.ndarray, size: int = GROUP_BYTES) -> Iterator[tuple[int,
         low = min(high, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = PLAIN, fold: bool = False) -> Words:
-    """The words of the texts between `offsets`; `fold` takes ASCII letters in lower case."""
+def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = PLAIN) -> Words:
+    """The words of the texts between `offsets`."""
     low = int(offsets[0])
     data, at = data[low : int(offsets[-1])], offsets - low
-    if fold:
-        data = _FOLD[data]
     inside = np.concatenate(([False], kind[data], [False]))
     edges = at[1:-1]
     edges = edges[(edges > 0) & (edges < len(data))]

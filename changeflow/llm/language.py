@@ -104,7 +104,7 @@ class Models:
 
 def _texts(data: np.ndarray, offsets: np.ndarray):
     for low, high in arrow.groups(offsets):
-        yield low, high, arrow.words(data, offsets[low : high + 1], arrow.LETTERS, fold=True)
+        yield low, high, arrow.words(data, offsets[low : high + 1], arrow.LETTERS)
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -118,7 +118,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(arrow.signed(key)), pa.array(n)], ["word", "n"])
 
         for batch in batches:
-            for _, _, words in _texts(*arrow.texts(batch.column(0))):
+            for _, _, words in _texts(*arrow.texts(batch.column(0), lower=True)):
                 held.append(words.hashes)
                 waiting += len(words.hashes)
                 if waiting > FLUSH:
@@ -148,7 +148,7 @@ def _counts(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 held[model].clear()
 
         for batch in batches:
-            data, offsets = arrow.texts(batch.column(0))
+            data, offsets = arrow.texts(batch.column(0), lower=True)
             target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for low, _, words in _texts(data, offsets):
                 place, kind, before = places(words, frequent)
@@ -215,7 +215,7 @@ def score(docs: DataFrame, models: Models, chosen: tuple[DataFrame, int, int]) -
     def run(batches):
         models = sent.value
         for batch in batches:
-            data, offsets = arrow.texts(batch.column(1))
+            data, offsets = arrow.texts(batch.column(1), lower=True)
             target = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             sums = np.zeros((2, len(batch)))
             n = np.zeros(len(batch), dtype=np.int64)

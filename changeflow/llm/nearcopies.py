@@ -94,9 +94,9 @@ def _buckets(rows: DataFrame, bands: int, size: int) -> DataFrame:
     def find(batches):
         for batch in batches:
             nodes = batch.column(0)
-            data, offsets = arrow.texts(batch.column(1))
+            data, offsets = arrow.texts(batch.column(1), lower=True)
             for low, high in arrow.groups(offsets):
-                words = arrow.words(data, offsets[low : high + 1], arrow.LETTERS, fold=True)
+                words = arrow.words(data, offsets[low : high + 1], arrow.LETTERS)
                 signed = signatures(*shingles(words), high - low, size)
                 used = np.flatnonzero(np.diff(words.first))
                 parts = signed[used].reshape(len(used), bands, size // bands)
@@ -117,13 +117,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def sets(column, low, high, data, offsets):
-        doc, element, weight = shingles(arrow.words(data, offsets[low : high + 1], arrow.LETTERS, fold=True))
+        doc, element, weight = shingles(arrow.words(data, offsets[low : high + 1], arrow.LETTERS))
         first = np.searchsorted(doc, np.arange(high - low + 1))
         return [(element[x:y], weight[x:y]) for x, y in zip(first[:-1], first[1:])]
 
     def check(batches):
         for batch in batches:
-            texts = [arrow.texts(batch.column(k)) for k in (2, 3)]
+            texts = [arrow.texts(batch.column(k), lower=True) for k in (2, 3)]
             for low, high in arrow.groups(texts[0][1] + texts[1][1]):
                 a, b = (sets(None, low, high, *t) for t in texts)
                 good = [low + i for i, (x, y) in enumerate(zip(a, b)) if similarity(x, y) >= threshold]
@@ -139,7 +139,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAND
     rows in the class, and `class_texts`, different texts in it.
 
     A class holds texts linked by a similarity of at least `threshold` over weighted runs of five
-    words (letters and digits, ASCII case ignored), directly or through others; equal texts are always
+    words (letters and digits, case ignored), directly or through others; equal texts are always
     in one class. Null text is empty; texts without words are linked to equal ones only, shorter texts
     than a run are one run. Null ids give no class its id unless all are null; repeated rows each
     have their row; an empty table gives no rows; other columns are not read. A link at the threshold is

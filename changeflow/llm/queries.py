@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import language, mixing, nearcopies, quality, shards, substrings, tokens, toxicity
+from changeflow.llm import language, leaks, mixing, nearcopies, quality, shards, substrings, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +33,11 @@ def token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+@query("op2_benchmark_leaks")
+def benchmark_leaks(spark, sf_dir):
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("t")
+
+
 @query("op3_substring_dedup")
 def substring_dedup(spark, sf_dir):
     return substrings.without_repeats(table(spark, sf_dir, "documents"))

@@ -127,7 +127,7 @@ def word_terms(words: arrow.Words) -> list[np.ndarray]:
 
 def term_counts(terms: np.ndarray, levels: np.ndarray, data: np.ndarray, offsets: np.ndarray):
     """(text, place in the sorted `terms`, occurrences) where the occurrences reach the term's level."""
-    words = arrow.words(data, offsets, arrow.LETTERS, fold=True)
+    words = arrow.words(data, offsets, arrow.LETTERS)
     if not len(terms) or not len(words.hashes):
         none = np.zeros(0, np.int64)
         return none, none, none
@@ -155,9 +155,9 @@ def _example_terms(examples: DataFrame) -> DataFrame:
     def find(batches):
         for batch in batches:
             labels = batch.column(0).to_numpy()
-            data, offsets = arrow.texts(batch.column(1))
+            data, offsets = arrow.texts(batch.column(1), lower=True)
             for low, high in arrow.groups(offsets):
-                words = arrow.words(data, offsets[low : high + 1], arrow.LETTERS, fold=True)
+                words = arrow.words(data, offsets[low : high + 1], arrow.LETTERS)
                 doc = words.doc()
                 for found in word_terms(words):
                     order = np.lexsort((found, doc))
@@ -177,7 +177,7 @@ def _example_terms(examples: DataFrame) -> DataFrame:
 def _example_vectors(examples: DataFrame, terms: np.ndarray, levels: np.ndarray) -> DataFrame:
     def find(batches):
         for batch in batches:
-            data, offsets = arrow.texts(batch.column(1))
+            data, offsets = arrow.texts(batch.column(1), lower=True)
             for low, high in arrow.groups(offsets):
                 doc, place, n = term_counts(terms, levels, data, offsets[low : high + 1])
                 columns = [batch.column(0).take(pa.array(low + doc)), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32))]
@@ -193,7 +193,7 @@ def _frequencies(docs: DataFrame, terms: np.ndarray, levels: np.ndarray) -> Data
         total = np.zeros(len(terms), dtype=np.int64)
         rows = 0
         for batch in batches:
-            data, offsets = arrow.texts(batch.column(0))
+            data, offsets = arrow.texts(batch.column(0), lower=True)
             rows += len(batch)
             for low, high in arrow.groups(offsets):
                 total += np.bincount(term_counts(terms, levels, data, offsets[low : high + 1])[1], minlength=len(terms))
@@ -319,7 +319,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def find(batches):
         model = sent.value
         for batch in batches:
-            data, offsets = arrow.texts(batch.column(1))
+            data, offsets = arrow.texts(batch.column(1), lower=True)
             scores = np.full(len(batch), model.none)
             evidence: list = [[] for _ in range(len(batch))]
             for low, high in arrow.groups(offsets):
