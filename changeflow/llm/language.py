@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import arrow
+from changeflow.llm.frequent import FLUSH, frequent_words
 from changeflow.llm.lists import joined, measured
 from changeflow.session import scratch_path, settle
 
@@ -30,9 +31,6 @@ FREQUENT, SHARED, OTHER = 1536, 512, 1 << 17
 CLASSES = FREQUENT + SHARED
 #: Words of the smoother model that are mixed into each count.
 SMOOTH_PAIR, SMOOTH_CLASS, SMOOTH_PLACE = 20.0, 2048.0, 256.0
-#: Keys that a task holds before it counts them and hands them on.
-FLUSH = 4 << 20
-
 
 def places(words: arrow.Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Place and class of each word, and the class before it, -1 at the start of a text. `frequent`:
@@ -107,31 +105,6 @@ def _texts(data: np.ndarray, offsets: np.ndarray):
         yield low, high, arrow.words(data, offsets[low : high + 1], arrow.LETTERS)
 
 
-def _frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of the most frequent words of all texts; ties by hash."""
-
-    def find(batches):
-        held, waiting = [], 0
-
-        def flush():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(arrow.signed(key)), pa.array(n)], ["word", "n"])
-
-        for batch in batches:
-            for _, _, words in _texts(*arrow.texts(batch.column(0), lower=True)):
-                held.append(words.hashes)
-                waiting += len(words.hashes)
-                if waiting > FLUSH:
-                    yield flush()
-                    held, waiting = [], 0
-        if held:
-            yield flush()
-
-    counts = docs.select("text").mapInArrow(find, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    return np.sort(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
-
-
 def _counts(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """`model` (0 all texts, 1 target), `key` (a place, or after the places a pair of classes), `n`."""
 
@@ -175,7 +148,7 @@ def fit(docs: DataFrame, chosen: tuple[DataFrame, int, int]) -> Models:
     """Models of all of `docs` and of the rows among `chosen` (see `target_ids`). Every row and word is
     counted; the driver is sent a count for each frequent word, place and pair of classes at most."""
     arrow.ship(docs.sparkSession)
-    frequent = _frequent(docs)
+    frequent = frequent_words(docs, FREQUENT)
     counts = _counts(_with_target(docs, chosen, text="text"), frequent)
     found = settle(counts, scratch_path(docs.sparkSession, "counts")).toArrow()
     model, key, n = (found.column(c).to_numpy() for c in ("model", "key", "n"))

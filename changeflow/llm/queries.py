@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import language, leaks, mixing, nearcopies, quality, shards, substrings, tokens, toxicity
+from changeflow.llm import language, leaks, mixing, nearcopies, quality, shards, spots, substrings, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,6 +66,11 @@ def near_copies(spark, sf_dir):
     return nearcopies.near_copies(table(spark, sf_dir, "documents")).drop("node")
 
 
+@query("op7_spot_signatures")
+def spot_signatures(spark, sf_dir):
+    return spots.against_next(table(spark, sf_dir, "documents"))
+
+
 @query("op8_hilbert_shards")
 def hilbert_shards(spark, sf_dir):
     placed = shards.hilbert_shards(table(spark, sf_dir, "documents"), 24)
