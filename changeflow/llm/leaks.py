@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm import arrow
-from changeflow.llm.lists import measured
+from changeflow.llm.lists import joined, measured
 from changeflow.session import scratch_path, settle
 
 GRAM, WINDOW = 3, 3
@@ -248,3 +248,17 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, doc_i
     return rows.groupBy("doc_id", "t", "item_id").agg(best).select(
         "doc_id", "t", "item_id", "b.score", (-F.col("b.segment")).alias("segment"), (-F.col("b.end")).alias("end_word")
     )
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, with all their columns as they are, that hold none of the items."""
+    found = leaks(docs, items, threshold).select(_key("doc_id").alias("_key"), F.col("t").alias("_t")).distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _key("doc_id").alias("_key"), F.xxhash64("text").alias("_t")
+    )
+    return joined(rows, measured(found, "leaks", "64"), ["_key", "_t"], "left_anti").select("_row.*")
+
+
+def _key(doc_id: str):
+    """An id as text; a null id is a key like others."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))

@@ -135,8 +135,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 def near_copies(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, size: int = COMPONENTS,
                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: `doc_id`, `node` (stands for its text), `class_id`, the least id of its class, `class_rows`,
-    rows in the class, and `class_texts`, different texts in it.
+    """Per row: `doc_id`, `node` (stands for its text), `class_of` (a node that stands for its class),
+    `class_id`, the least id of the class, `class_rows`, its rows, and `class_texts`, different texts in it.
 
     A class holds texts linked by a similarity of at least `threshold` over weighted runs of five
     words (letters and digits, case ignored), directly or through others; equal texts are always
@@ -185,8 +185,8 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAND
     classes = reps.groupBy("root").agg(
         F.min("least").alias("class_id"), F.sum("rows").alias("class_rows"), F.count("*").alias("class_texts")
     )
-    classes = reps.select("node", "root").join(classes, "root").drop("root")
-    return ids.join(classes, "node").select("doc_id", "node", "class_id", "class_rows", "class_texts")
+    classes = reps.select("node", "root").join(classes, "root").withColumnRenamed("root", "class_of")
+    return ids.join(classes, "node").select("doc_id", "node", "class_of", "class_id", "class_rows", "class_texts")
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -206,3 +206,26 @@ def _across(members: DataFrame) -> DataFrame:
     every = members.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
     pairs = few.join(every, "bucket").filter("root_a <> root_b")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs`, with all their columns as they are, one of each class of near copies: that of
+    the least id (null ids last; among rows of one id, by the text's hash; of repeated rows any one).
+    Options are those of `near_copies`."""
+    found = near_copies(docs, **options)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    groups = found.groupBy("class_of", "doc_id", "node").agg(F.count("*").alias("rows"))
+    keep = groups.groupBy("class_of").agg(F.min_by(F.struct("doc_id", "node", "rows"), rank).alias("k"))
+    keep = measured(keep.select(_key("k.doc_id").alias("_key"), F.col("k.node").alias("_node"), F.col("k.rows").alias("_rows")), "kept", "64")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        _key(options.get("doc_id", "doc_id")).alias("_key"), node_of(options.get("text", "text")).alias("_node"),
+    )
+    rows = joined(rows, keep, ["_key", "_node"], "inner")
+    several = rows.filter("_rows > 1").dropDuplicates(["_key", "_node"])
+    return rows.filter("_rows = 1").unionByName(several).select("_row.*")
+
+
+def _key(doc_id: str) -> Column:
+    """An id as text; a null id is a key like others."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))

@@ -63,7 +63,7 @@ def loss_difference(spark, sf_dir):
 
 @query("op6_near_copies")
 def near_copies(spark, sf_dir):
-    return nearcopies.near_copies(table(spark, sf_dir, "documents")).drop("node")
+    return nearcopies.near_copies(table(spark, sf_dir, "documents")).drop("node", "class_of")
 
 
 @query("op7_spot_signatures")

@@ -12,6 +12,8 @@ from changeflow.llm.order import ordered, ranked
 
 SHARDS = 24
 BITS = 5
+#: Columns that `hilbert_shards` adds.
+ADDED = ("size", "text_crc32", "curve", "shard", "slot")
 
 
 def text_prefix(name: str | Column) -> Column:

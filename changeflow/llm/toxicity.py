@@ -319,15 +319,12 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def find(batches):
         model = sent.value
         for batch in batches:
-            data, offsets = arrow.texts(batch.column(1), lower=True)
             scores = np.full(len(batch), model.none)
             evidence: list = [[] for _ in range(len(batch))]
-            for low, high in arrow.groups(offsets):
-                used, vectors = model.vectors(data, offsets[low : high + 1])
-                best, place = model.nearest(vectors, NEIGHBOURS)
-                scores[low + used] = model.probability(model.votes(best, place))
+            for used, found, best, place in _scored(model, batch.column(1)):
+                scores[used] = found
                 for row, s, p in zip(used.tolist(), best[:, :EVIDENCE].tolist(), place[:, :EVIDENCE].tolist()):
-                    evidence[low + row] = [
+                    evidence[row] = [
                         {"doc_id": int(model.ids[j]), "similarity": x, "toxic": int(model.labels[j])} for x, j in zip(s, p) if j >= 0
                     ]
             columns = [batch.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(evidence, evidence_type)]
@@ -338,3 +335,30 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     return rows.mapInArrow(find, ddl)
 
 
+
+
+def _scored(model: Model, texts: pa.Array):
+    """Rows that have terms, their scores, similarities and neighbours, by groups of texts."""
+    data, offsets = arrow.texts(texts, lower=True)
+    for low, high in arrow.groups(offsets):
+        used, vectors = model.vectors(data, offsets[low : high + 1])
+        best, place = model.nearest(vectors, NEIGHBOURS)
+        yield low + used, model.probability(model.votes(best, place)), best, place
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns as they are, whose text is not predicted as toxic."""
+    spark = docs.sparkSession
+    arrow.ship(spark)
+    sent = spark.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def keep(batches):
+        model = sent.value
+        for batch in batches:
+            scores = np.full(len(batch), model.none)
+            for used, found, _, _ in _scored(model, batch.column(at)):
+                scores[used] = found
+            yield batch.filter(pa.array(scores < 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
