@@ -43,13 +43,28 @@ def image_values(rows: DataFrame, image: str, names: list[str], prefix: str) ->
     return rows.selectExpr("*", *picked)
 
 
-def project_row(changes: DataFrame, spec: TableSpec, image: str, strict: bool = True) -> DataFrame:
-    """The data columns of the target, typed, taken from one image."""
-    picked = image_values(changes, image, list(spec.columns), "_i_")
-    typed = [
-        f"{cast_to_spec_sql(f'{ident(f"_i_{c}")}.text', t, strict)} as {ident(spec.targets[c])}"
-        for c, t in spec.columns.items()
-    ]
+def value_sql(value: str, type_name: str, strict: bool) -> str:
+    """A value of an image (kind, text, bin) in the type of its target. A value sent in binary fits a
+    binary target alone; for others it is bad: NULL, or an error in strict mode."""
+    if type_name == "binary":
+        return f"if({value}.kind = 'b', {value}.bin, cast({value}.text as binary))"
+    text = cast_to_spec_sql(f"{value}.text", type_name, strict)
+    return f"if({value}.kind = 'b', raise_error('binary value for a {type_name} column'), {text})" if strict else text
+
+
+def project_row(
+    changes: DataFrame, spec: TableSpec, image: str, strict: bool = True, old: str | None = None
+) -> DataFrame:
+    """The data columns of the target, typed, taken from one image; an unchanged value from the image
+    `old`, where there is one that has it."""
+    names = list(spec.columns)
+    picked = image_values(changes, image, names, "_i_")
+    value = {c: ident(f"_i_{c}") for c in names}
+    if old:
+        picked = image_values(picked, old, names, "_f_")
+        taken = [f"if(coalesce({v}.kind = 'u', false), {ident(f'_f_{c}')}, {v}) as {ident(f'_p_{c}')}" for c, v in value.items()]
+        picked, value = picked.selectExpr("*", *taken), {c: ident(f"_p_{c}") for c in names}
+    typed = [f"{value_sql(value[c], t, strict)} as {ident(spec.targets[c])}" for c, t in spec.columns.items()]
     return picked.selectExpr(*map(ident, changes.columns), *typed)
 
 
@@ -98,7 +113,9 @@ def union_rows(frames: list[DataFrame]) -> DataFrame:
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The row that comes first in `order` for each key. Spark keeps one row per key in every
     task before the shuffle, so a hot key moves one row per task."""
-    window = Window.partitionBy(*keys).orderBy(*order)
+    # Rows equal in `order` are told apart by what they hold, so that every run keeps the same one.
+    plain = [f.name for f in df.schema if f.dataType.typeName() not in ("variant", "map")]
+    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*[F.col(ident(c)) for c in plain]))
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
@@ -123,13 +140,9 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     unchanged = {c: f"coalesce({ident(f'_a_{c}')}.kind = 'u', false)" for c in columns}
     typed = {c: ident(f"_t_{c}") for c in columns}
     typed_old = {c: ident(f"_o_{c}") for c in spec.pk}
-    texts = [
-        f"if({unchanged[c]}, {ident(f'_b_{c}')}.text, {ident(f'_a_{c}')}.text) as {new[c]}"
-        for c in columns
-    ]
-    casts = [
-        f"{cast_to_spec_sql(new[c], t, strict)} as {typed[c]}" for c, t in spec.columns.items()
-    ]
+    texts = [f"if({unchanged[c]}, {ident(f'_b_{c}')}, {ident(f'_a_{c}')}) as {new[c]}" for c in columns]
+    casts = [f"{value_sql(new[c], t, strict)} as {typed[c]}" for c, t in spec.columns.items()]
+    given = {c: f"({new[c]}.text is not null or {new[c]}.bin is not null)" for c in columns}
     casts += [
         f"{cast_to_spec_sql(old[c], spec.columns[c], strict)} as {typed_old[c]}" for c in spec.pk
     ]
@@ -149,8 +162,8 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
         "U",
         1,
         typed,
-        names_where({c: f"{unchanged[c]} and {new[c]} is null" for c in columns}),
-        names_where({c: f"{new[c]} is not null and {typed[c]} is null" for c in columns}),
+        names_where({c: f"{unchanged[c]} and not {given[c]}" for c in columns}),
+        names_where({c: f"{given[c]} and {typed[c]} is null" for c in columns}),
     )
     delete = row(
         "D",
@@ -161,7 +174,7 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     )
     is_upsert = "op in ('c', 'u') and size(after) > 0"
     has_old_key = " and ".join(f"{old[c]} is not null" for c in spec.pk)
-    same_key = " and ".join(f"{old[c]} = {new[c]}" for c in spec.pk)
+    same_key = " and ".join(f"{old[c]} = {new[c]}.text" for c in spec.pk)
     moved = f"op = 'u' and {has_old_key} and not ({same_key})"
     applied = f"""array(
         if(op = 'd' or ({is_upsert} and {moved}), {delete}, null),
@@ -169,16 +182,40 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     return rows.selectExpr("session_id", "seq", f"inline({applied})").filter("_OP is not null")
 
 
+def _broken(spec: TableSpec, known: str = "true") -> list[tuple[str, str]]:
+    """Conditions a row must not meet, with their reasons: a key or NOT NULL column is NULL. `known`
+    is where a NULL is a value and not an unchanged one."""
+    key = " or ".join(f"{ident(c)} is null" for c in spec.pk_targets)
+    rest = [spec.targets[c] for c in spec.not_null if c not in spec.pk]
+    return [(key, "key is null")] + [(f"{ident(c)} is null and {known.format(literal(c))}", f"null in {c}") for c in rest]
+
+
+def _reason(broken: list[tuple[str, str]]) -> str:
+    return "case " + " ".join(f"when {w} then {literal(r)}" for w, r in broken) + " end"
+
+
+def split_unusable(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """Rows of a table that meet its key and NOT NULL rules, and the others with the reason."""
+    reason = F.expr(_reason(_broken(spec)))
+    return rows.filter(reason.isNull()), rows.withColumn("error", reason).filter("error is not null")
+
+
+def _change_reason(spec: TableSpec) -> str:
+    # A delete needs its key alone; an unchanged value is not NULL.
+    return _reason(
+        [("size(_BAD) > 0", "bad value"), *_broken(spec, "_OP <> 'D' and not array_contains(_UNSET, {})")]
+    )
+
+
 def unusable(spec: TableSpec) -> Column:
-    """True for typed rows that cannot be applied: bad text or no key."""
-    no_key = " or ".join(f"{ident(c)} is null" for c in spec.pk_targets)
-    return F.expr(f"size(_BAD) > 0 or {no_key}")
+    """True for typed rows that cannot be applied: bad text, no key, or NULL where there must be none."""
+    return F.expr(f"({_change_reason(spec)}) is not null")
 
 
 def split_bad(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rows that cannot be applied with the reason."""
     lost = F.concat(F.lit("bad value in "), F.array_join("_BAD", ","))
-    reason = F.when(F.size("_BAD") > 0, lost).otherwise("key is null")
+    reason = F.when(F.size("_BAD") > 0, lost).otherwise(F.expr(_change_reason(spec)))
     bad = rows.filter(unusable(spec)).withColumn("error", reason)
     good = rows.filter(~unusable(spec)).drop("_BAD", "session_id", "seq")
     return good, bad
@@ -212,7 +249,7 @@ def fold_changes(rows: DataFrame, keys: list[str], order: str = "_SEQ") -> DataF
 
 def history_rows(changes: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
     """History rows of one table, without the load time."""
-    rows = audit_columns(project_row(history_image(changes), spec, "image", strict))
+    rows = audit_columns(project_row(history_image(changes), spec, "image", strict, old="before"))
     types = spec.target_types | {
         "_CDC_OP": "string",
         "_CDC_LSN": "decimal(20,0)",

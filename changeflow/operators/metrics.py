@@ -54,7 +54,9 @@ def lsn_range(changes: DataFrame) -> DataFrame:
 
 
 def _minute(c: Column) -> Column:
-    return F.call_function("div", F.unix_seconds(c.cast("timestamp")), F.lit(60))
+    """Minutes since 1970 of a time without zone; no session zone has a part in it."""
+    c = c.cast("timestamp_ntz")
+    return F.unix_date(c.cast("date")).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
 
 
 def staleness(history: DataFrame, now: Column, by: list[str] | None = None) -> DataFrame:

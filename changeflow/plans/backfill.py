@@ -7,13 +7,13 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators.changes import stamp_loaded
-from changeflow.plans.snapshot import typed_snapshot
+from changeflow.operators.changes import split_unusable, stamp_loaded
+from changeflow.plans.snapshot import dead_snapshot, typed_snapshot
 from changeflow.schema import TableSpec
 from changeflow.session import one_line
 from changeflow.sinks import files
 from changeflow.sinks.store import TableStore
-from changeflow.sources.scans import Source, key_range, open_source, snapshot_scan
+from changeflow.sources.scans import Source, open_source, snapshot_scan
 
 
 def chunk_bounds(low: int, high: int, chunks: int) -> list[tuple[int | None, int | None]]:
@@ -23,14 +23,17 @@ def chunk_bounds(low: int, high: int, chunks: int) -> list[tuple[int | None, int
     return list(zip(cuts[:-1], cuts[1:]))
 
 
-def _plan(store: TableStore, folder: str, src: DataFrame, key: str, chunks: int) -> dict:
-    """The ranges of a run, kept with it so that a resumed run uses the same ones."""
-    path = f"{folder}/plan"
+def _plan(store: TableStore, spec: TableSpec, folder: str, src: DataFrame, run: str, chunks: int) -> list:
+    """The ranges of a run, kept with it so that a resumed run uses the same ones. The hold begins
+    before anything is read."""
+    path, key = f"{folder}/plan", spec.pk[0]
     if not files.written(store.spark, path):
+        store.hold(spec.source, run)
         low, high = src.agg(F.min(key), F.max(key)).first()
+        if isinstance(low, str):
+            raise ValueError(f"{spec.source}: ranges need a number as first key column, {key} is text")
         ranges = [] if low is None else chunk_bounds(int(low), int(high), chunks)
-        plan = {"since": store.head()["n"], "ranges": ranges}
-        one_line(store.spark, json.dumps(plan)).write.mode("overwrite").text(path)
+        one_line(store.spark, json.dumps(ranges)).write.mode("overwrite").text(path)
     return json.loads(store.spark.read.text(path).first()[0])
 
 
@@ -62,40 +65,24 @@ def backfill_table(
     should be indexed or sorted there, as for paging."""
     spark, key = store.spark, spec.pk[0]
     folder = f"{store.root}/{spec.current}/base/{run}"
-    table = store.head()["tables"].get(spec.current, {})
-    if any(p.startswith(f"{folder}/") for p in table.get("base") or []):
-        return table["rows"]
+    writer = f"backfill-{run}-{spec.source}"
+    if store.done(writer, 1):
+        return store.head()["tables"].get(spec.current, {"rows": 0})["rows"]
     source = open_source(spark, src)
-    plan = _plan(store, folder, source, key, chunks)
-    for i, (low, high) in enumerate(plan["ranges"]):
+    ranges = _plan(store, spec, folder, source, run, chunks)
+    for i, (low, high) in enumerate(ranges):
         unbounded = low is None and high is None
         part = source.filter(F.col(key).isNotNull()) if unbounded else snapshot_scan(spark, src, key, low, high)
-        append_load(stamp_loaded(typed_snapshot(part, spec), at), folder, i)
-    keyless = source.filter(key_range(key, None, None))
-    store.commit(f"backfill-{run}-{spec.source}", 0, {}, extra={"_dead": _dead(keyless, spec)})
-    paths = [f"{folder}/chunk={i}" for i in range(len(plan["ranges"]))]
+        good, _ = split_unusable(typed_snapshot(part, spec), spec)
+        append_load(stamp_loaded(good, at), folder, i)
+    _, bad = split_unusable(typed_snapshot(source, spec), spec)
+    store.commit(writer, 0, {}, extra={"_dead": dead_snapshot(bad, spec)})
+    paths = [f"{folder}/chunk={i}" for i in range(len(ranges))]
     rows = spark.read.schema(spec.current_ddl()).parquet(*paths).count() if paths else 0
-    if paths:
-        store.replace_base(spec.source, paths, rows, plan["since"])
+    store.replace_base(spec.source, paths, rows, run, writer)
     return rows
 
 
-def _dead(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows without a key cannot be in the table; they are kept as JSON."""
-    none = F.lit(None)
-    data = F.encode(F.to_json(F.struct(*rows.columns)), "UTF-8")
-    return rows.select(
-        none.cast("bigint").alias("session_id"),
-        none.cast("bigint").alias("seq"),
-        none.cast("decimal(20,0)").alias("lsn"),
-        none.cast("string").alias("msg_type"),
-        F.octet_length(data).alias("msg_len"),
-        F.lit(spec.source).alias("table_name"),
-        F.lit("key is null").alias("error"),
-        data.alias("data"),
-    )
-
-
 def backfill(
     spark: SparkSession,
     specs: dict[str, TableSpec],

@@ -5,26 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators.changes import latest_per_key
-from changeflow.plans.snapshot import typed_snapshot
+from changeflow.operators.changes import latest_per_key, split_unusable, union_rows
+from changeflow.plans.snapshot import dead_snapshot, typed_snapshot
 from changeflow.schema import TableSpec
 from changeflow.sinks.store import TableStore
 from changeflow.sources.scans import Source, delta_scan, open_source
 
 
-def reconcile_rows(src: DataFrame, current: DataFrame, spec: TableSpec, since: str) -> DataFrame:
-    """The rows to merge: touched since, one per key, and not older than the target row."""
+def reconcile_rows(src: DataFrame, current: DataFrame, spec: TableSpec, since: str) -> tuple[DataFrame, DataFrame]:
+    """The rows to merge: touched since, one per key, and not older than the target row; and the
+    rows that break the rules of the table, with the reason."""
     if spec.ts_col is None:
         raise ValueError(f"{spec.source} has no change time: it cannot be reconciled")
     ts, keys = spec.targets[spec.ts_col], spec.pk_targets
-    rows = typed_snapshot(delta_scan(src, since, spec.ts_col), spec)
+    rows, bad = split_unusable(typed_snapshot(delta_scan(src, since, spec.ts_col), spec), spec)
     rows = latest_per_key(rows, keys, [F.col(ts).desc()])
-    newer = (
-        current.select(*keys, F.col(ts).alias("_have"))
-        .join(rows.select(*keys, ts), keys)
-        .filter(F.col("_have") > F.col(ts))
-    )
-    return rows.join(newer.select(*keys), keys, "left_anti")
+    have = current.select(*keys, F.col(ts).alias("_have"))
+    merged = rows.join(have, keys, "left").filter(F.col("_have").isNull() | (F.col("_have") <= F.col(ts)))
+    return merged.select(*rows.columns), bad
 
 
 def as_changes(rows: DataFrame) -> DataFrame:
@@ -51,12 +49,13 @@ def reconcile(
     table: str | None = None,
     at: Column | None = None,
 ) -> bool:
-    """One commit over the tables (or one table). Deletes are not seen, history is left alone."""
+    """One commit over the tables (or one table). Deletes are not seen, history is left alone. Rows that
+    break the rules of their table become dead letters."""
     names = [table] if table else list(specs)
-    changes = {
-        name: as_changes(
-            reconcile_rows(open_source(spark, sources[name]), store.current(name), specs[name], since)
-        )
+    parts = {
+        name: reconcile_rows(open_source(spark, sources[name]), store.current(name), specs[name], since)
         for name in names
     }
-    return store.commit(f"reconcile-{run}", 0, changes, at=at)
+    dead = union_rows([dead_snapshot(bad, specs[name]) for name, (_, bad) in parts.items()])
+    changes = {name: as_changes(good) for name, (good, _) in parts.items()}
+    return store.commit(f"reconcile-{run}", 0, changes, extra={"_dead": dead}, at=at)

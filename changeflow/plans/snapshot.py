@@ -23,3 +23,19 @@ def typed_snapshot(rows: DataFrame, spec: TableSpec) -> DataFrame:
             value = cast_to_spec(json_text(F.col(c), have[c]), target_type)
         out.append(value.alias(spec.targets[c]))
     return rows.select(*out)
+
+
+def dead_snapshot(bad: DataFrame, spec: TableSpec) -> DataFrame:
+    """Snapshot rows that cannot be in the table (with `error`) as dead letters: the row as JSON."""
+    none = F.lit(None)
+    data = F.encode(F.to_json(F.struct(*spec.target_types)), "UTF-8")
+    return bad.select(
+        none.cast("bigint").alias("session_id"),
+        none.cast("bigint").alias("seq"),
+        none.cast("decimal(20,0)").alias("lsn"),
+        none.cast("string").alias("msg_type"),
+        F.octet_length(data).alias("msg_len"),
+        F.lit(spec.source).alias("table_name"),
+        "error",
+        data.alias("data"),
+    )

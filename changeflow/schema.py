@@ -44,6 +44,9 @@ TX_DDL = "session_id bigint, commit_lsn decimal(20,0), ts_ms bigint"
 # Stored below a folder per batch, which gives it the column batch_id.
 METRIC_DDL = "metric string, table_name string, op string, value double, at timestamp_ntz"
 
+# Positions a batch has taken, as ranges inside blocks of positions.
+TAKEN_DDL = "block bigint, low bigint, high bigint"
+
 # Audit columns of a history table, after its data columns.
 HISTORY_AUDIT = {
     "_CDC_OP": "string",

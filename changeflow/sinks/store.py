@@ -1,9 +1,11 @@
 """Current-state and history tables as Parquet folders.
 
 A batch adds one small folder of folded changes per table and one folder of history rows; the
-size of a batch decides what is written, not the size of the table. The current state is the
-base of a table with the changes since then applied, by the same join whether it is read or
-written out again (`compact`). A base is bucketed by key, so that join does not shuffle it.
+size of a batch decides what is written, not the size of the table. Many small folders of changes
+are folded into one (`fold`), which reads changes only. The current state is the base of a table
+with the changes since then applied, by the same join whether it is read or written out again
+(`compact`, when the changes have grown to a share of the base, in a job of its own). A base is
+bucketed by key, so that join does not shuffle it.
 
 What is valid is said by the newest record under `_commits`: a one-line JSON file, written by
 Spark with mode "error" so that a second writer of the same number fails. Folders no record
@@ -22,9 +24,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from changeflow.functions.scalars import literal
 from changeflow.operators.changes import fold_changes, now_utc
 from changeflow.operators.merge import apply_changes, first_state
-from changeflow.schema import DEAD_DDL, METRIC_DDL, RELATION_DDL, TX_DDL, TableSpec
+from changeflow.schema import DEAD_DDL, METRIC_DDL, RELATION_DDL, TAKEN_DDL, TX_DDL, TableSpec
 from changeflow.session import one_line, run_together
 from changeflow.sinks import files
 
@@ -33,7 +36,7 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 100_000
-MAX_DELTAS = 32
+FOLD_DELTAS = 32  # so many folders of changes of one level become one of the next
 DELTA_SHARE = 0.25  # compaction is due when the changes reach this share of the base
 
 _FOLD_DDL = (
@@ -52,6 +55,11 @@ def write_counted(df: DataFrame, path: str, keys: list[str]) -> dict:
     return {"path": path, "rows": int(found["rows"]), "key_bytes": int(found["key_bytes"] or 0)}
 
 
+def _entry(path: str) -> str:
+    """Name of the catalog entry of a bucketed base."""
+    return f"changeflow_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, specs: dict[str, TableSpec]):
         self.spark = spark
@@ -72,13 +80,18 @@ class TableStore:
         return (head or self.head())["writers"].get(writer, -1) >= batch_id
 
     def _record(self, head: dict, **changed) -> None:
-        """Publish the next record. Fails if another writer has taken the number."""
-        record = head | changed | {"n": head["n"] + 1}
+        """Publish the next record. Fails if another writer has published since `head`, or takes the
+        same number. Numbers of records that were left half written are passed over."""
+        folder = f"{self.root}/_commits"
+        later = [n for n in map(int, files.children(self.spark, folder)) if n > head["n"]]
+        if any(files.written(self.spark, f"{folder}/{n:012d}") for n in later):
+            raise RuntimeError(f"another writer has committed after record {head['n']}")
+        record = head | changed | {"n": max([head["n"], *later]) + 1}
         line = one_line(self.spark, json.dumps(record))
-        line.write.mode("error").text(f"{self.root}/_commits/{record['n']:012d}")
+        line.write.mode("error").text(f"{folder}/{record['n']:012d}")
 
     def _table(self, head: dict, name: str) -> dict:
-        return head["tables"].get(name, {"base": None, "rows": 0, "buckets": 0, "deltas": []})
+        return head["tables"].get(name, {"base": None, "rows": 0, "buckets": 0, "deltas": [], "holds": {}})
 
     # Reading
 
@@ -86,12 +99,12 @@ class TableStore:
         """The base as a bucketed external table, so that joins on the key use its buckets."""
         if not table["buckets"]:
             return self.spark.read.schema(spec.current_ddl()).parquet(*table["base"])
-        name = f"changeflow_{uuid.uuid5(uuid.NAMESPACE_URL, table['base'][0]).hex}"
+        name = _entry(table["base"][0])
         keys = ", ".join(f"`{k}`" for k in spec.pk_targets)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({spec.current_ddl()}) USING parquet "
             f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {table['buckets']} BUCKETS "
-            f"LOCATION '{table['base'][0]}'"
+            f"LOCATION {literal(table['base'][0])}"
         )
         return self.spark.table(name)
 
@@ -124,12 +137,13 @@ class TableStore:
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], f"{schema}, batch_id bigint")
         typed = StructType.fromDDL(f"{schema}, writer string, batch_id bigint")
-        valid = [
-            (F.col("writer") == w) & (F.col("batch_id") <= b)
-            for w, b in self.head()["writers"].items()
-        ]
+        writers = self.head()["writers"]
         rows = self.spark.read.schema(typed).parquet(path)
-        return rows.filter(reduce(lambda a, b: a | b, valid, F.lit(False))).drop("writer")
+        if not writers:
+            return rows.filter("false").drop("writer")
+        # One look-up, however many writers there have been; it prunes folders.
+        last = F.create_map(*[F.lit(x) for w, b in writers.items() for x in (w, int(b))])
+        return rows.filter(F.col("batch_id") <= F.try_element_at(last, F.col("writer"))).drop("writer")
 
     def history(self, source: str) -> DataFrame:
         spec = self.specs[source]
@@ -141,6 +155,10 @@ class TableStore:
     def metrics(self) -> DataFrame:
         return self._committed("_metrics", METRIC_DDL)
 
+    def taken(self) -> DataFrame:
+        """Ranges of the positions that the stream has taken."""
+        return self._committed("_taken", TAKEN_DDL).drop("batch_id")
+
     def state(self, head: dict | None = None) -> tuple[DataFrame, DataFrame] | tuple[None, None]:
         """Relations and transactions the last stream batch left open."""
         path = (head or self.head())["state"]
@@ -219,27 +237,90 @@ class TableStore:
         )
         return True
 
-    def replace_base(self, source: str, paths: list[str], rows: int, since: int) -> None:
-        """Make written folders the base of a table. Changes committed after record `since`
-        stay on top of it, earlier ones are replaced by it."""
+    def hold(self, source: str, run: str) -> int:
+        """Keep changes that come from now on apart from earlier ones until `run` replaces the base:
+        the base is not compacted before that. Returns the number of the record it starts from."""
+        head, name = self.head(), self.specs[source].current
+        table = self._table(head, name)
+        holds = table.get("holds", {}) | {run: head["n"]}
+        self._record(head, tables=head["tables"] | {name: table | {"holds": holds}})
+        return head["n"]
+
+    def replace_base(self, source: str, paths: list[str], rows: int, run: str, writer: str) -> None:
+        """Make written folders the base of a table, end the hold of `run` and record that `writer`
+        has done so, all at once. Changes committed after the hold began stay on top of the
+        base, earlier ones are replaced by it. Without folders the table stays as it is."""
         head = self.head()
         spec = self.specs[source]
         table = self._table(head, spec.current)
-        later = [d for d in table["deltas"] if d["n"] > since]
-        base = {"base": paths, "rows": rows, "buckets": 0, "deltas": later}
-        self._record(head, tables=head["tables"] | {spec.current: base})
+        holds = dict(table.get("holds", {}))
+        if run not in holds:
+            raise ValueError(f"{source} has no hold of run {run}: start a new run")
+        since = holds.pop(run)
+        if paths:
+            later = [d for d in table["deltas"] if d["n"] > since]
+            table = {"base": paths, "rows": rows, "buckets": 0, "deltas": later}
+        self._record(
+            head,
+            writers=head["writers"] | {writer: 1},
+            tables=head["tables"] | {spec.current: table | {"holds": holds}},
+        )
+
+    def _foldable(self, table: dict) -> tuple[int, int] | None:
+        """The first FOLD_DELTAS changes in a row of one level that no hold sets apart."""
+        holds = table.get("holds", {}).values()
+        kinds = [(d.get("level", 0), sum(h < d["n"] for h in holds)) for d in table["deltas"]]
+        start = 0
+        for i, kind in enumerate(kinds):
+            if kind != kinds[start]:
+                start = i
+            if i - start + 1 >= FOLD_DELTAS:
+                return start, i + 1
+        return None
+
+    def folding_due(self, source: str, head: dict | None = None) -> bool:
+        return self._foldable(self._table(head or self.head(), self.specs[source].current)) is not None
+
+    def fold(self, source: str) -> None:
+        """Fold many small folders of changes into one. The base is neither read nor written."""
+        head, spec = self.head(), self.specs[source]
+        table = self._table(head, spec.current)
+        found = self._foldable(table)
+        if found is None:
+            return
+        low, high = found
+        several = table["deltas"][low:high]
+        path = f"{self.root}/{spec.current}/changes/fold-{uuid.uuid4().hex[:12]}"
+        one = write_counted(self._changes(spec, table | {"deltas": several}), path, spec.pk_targets)
+        one |= {"n": several[-1]["n"], "level": several[0].get("level", 0) + 1}
+        deltas = [*table["deltas"][:low], one, *table["deltas"][high:]]
+        self._record(head, tables=head["tables"] | {spec.current: table | {"deltas": deltas}})
 
     def compaction_due(self, source: str, head: dict | None = None) -> bool:
+        """Whether the changes have reached their share of the base, in rows; their number is of no
+        matter. An empty base is due with the first fold."""
         table = self._table(head or self.head(), self.specs[source].current)
+        if table.get("holds"):
+            return False
         changed = sum(d["rows"] for d in table["deltas"])
-        too_many = len(table["deltas"]) >= MAX_DELTAS
-        return too_many or (table["rows"] > 0 and changed >= DELTA_SHARE * table["rows"])
+        folded = any(d.get("level", 0) for d in table["deltas"])
+        return changed >= DELTA_SHARE * table["rows"] if table["rows"] else folded
+
+    def maintain(self) -> list[str]:
+        """Compact the tables that are due. A job of its own: the stream never rewrites a base."""
+        due = [source for source in self.specs if self.compaction_due(source)]
+        for source in due:
+            self.compact(source)
+        return due
 
     def compact(self, source: str, bucket_rows: int = BUCKET_ROWS) -> None:
-        """Write the current state out as a new base, bucketed and sorted by key."""
+        """Write the current state out as a new base, bucketed and sorted by key. While a backfill is
+        under way its changes have to stay apart: then only small changes are folded."""
         head = self.head()
         spec = self.specs[source]
         table = self._table(head, spec.current)
+        if table.get("holds"):
+            return self.fold(source)
         state = self.current(source, broadcast_rows=0)
         expected = table["rows"] + sum(d["rows"] for d in table["deltas"])
         buckets = table["buckets"]
@@ -248,7 +329,7 @@ class TableStore:
             buckets = max(1, min(MAX_BUCKETS, math.ceil(expected / bucket_rows)))
             state = state.repartition(buckets, *spec.pk_targets)
         path = f"{self.root}/{spec.current}/base/{uuid.uuid4().hex[:12]}"
-        name = f"changeflow_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+        name = _entry(path)
         seen = Observation()
         (
             state.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -282,5 +363,7 @@ class TableStore:
             paths = [f"{self.root}/{sub}/{c}" for c in files.children(self.spark, f"{self.root}/{sub}")]
             dropped += [p for p in paths if not any(f"{f}/".startswith(f"{p}/") for f in live)]
         for path in dropped:
+            if "/base/" in path:
+                self.spark.sql(f"DROP TABLE IF EXISTS {_entry(path)}")
             files.remove(self.spark, path)
         return len(dropped)

@@ -56,7 +56,7 @@ def test_two_writers_of_the_same_number(spark, store):
     """Both start from the same record: the second one fails and shows nothing."""
     head = store.head()
     store.commit("a", 0, {"t": upserts(spark, [(1, "a")])}, head=head)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(Exception, match="another writer has committed"):
         store.commit("b", 0, {"t": upserts(spark, [(2, "b")])}, head=head)
     assert state(store) == {1: "a"}
     assert store.commit("b", 0, {"t": upserts(spark, [(2, "b")])})
@@ -136,16 +136,50 @@ def test_filters_reach_the_base(spark, store):
     assert "EqualTo(ID,7)" in plan
 
 
-def test_compaction_is_due_by_number_or_size(spark, store, monkeypatch):
+def test_compaction_is_due_by_size_alone(spark, store, monkeypatch):
+    monkeypatch.setattr(store_module, "FOLD_DELTAS", 3)
     store.commit("w", 0, {"t": upserts(spark, [(i, "v") for i in range(100)])})
     assert not store.compaction_due("t")
     store.compact("t")
-    store.commit("w", 1, {"t": upserts(spark, [(1, "a")])})
-    assert not store.compaction_due("t")
-    store.commit("w", 2, {"t": upserts(spark, [(i, "a") for i in range(30)])})
-    assert store.compaction_due("t")
-    monkeypatch.setattr(store_module, "MAX_DELTAS", 1)
-    assert store.compaction_due("t")
+    base = store.head()["tables"]["T"]["base"]
+    for i in range(1, 20):
+        store.commit("w", i, {"t": upserts(spark, [(1, f"a{i}")])})
+        if store.folding_due("t"):
+            store.fold("t")
+    table = store.head()["tables"]["T"]
+    assert table["base"] == base and len(table["deltas"]) <= 6
+    assert {d.get("level", 0) for d in table["deltas"]} >= {2}
+    assert state(store) == {i: "v" for i in range(100)} | {1: "a19"}
+    assert not store.compaction_due("t") and store.maintain() == []
+    store.commit("w", 20, {"t": upserts(spark, [(i, "a") for i in range(30)])})
+    assert store.maintain() == ["t"]
+    table = store.head()["tables"]["T"]
+    assert table["base"] != base and not table["deltas"] and state(store)[29] == "a"
+
+
+def test_fold_keeps_deletes_and_unset_values(spark, store, monkeypatch):
+    monkeypatch.setattr(store_module, "FOLD_DELTAS", 3)
+    store.commit("w", 0, {"t": upserts(spark, [(1, "kept"), (2, "gone"), (3, "old")])})
+    store.compact("t")
+    unset = upserts(spark, [(1, None)]).withColumn("_UNSET", F.array(F.lit("V")))
+    for i, rows in enumerate([unset, deletes(spark, [2]), upserts(spark, [(3, "new")])], start=1):
+        store.commit("w", i, {"t": rows})
+    expected = state(store)
+    store.fold("t")
+    assert len(store.head()["tables"]["T"]["deltas"]) == 1
+    assert state(store) == expected == {1: "kept", 3: "new"}
+
+
+def test_a_hold_keeps_changes_apart(spark, store, monkeypatch):
+    """Changes from before and after the start of a backfill are not folded into one, and the base
+    waits."""
+    monkeypatch.setattr(store_module, "FOLD_DELTAS", 2)
+    store.commit("w", 0, {"t": upserts(spark, [(1, "a")])})
+    store.hold("t", "run")
+    store.commit("w", 1, {"t": upserts(spark, [(1, "b")])})
+    store.compact("t")
+    table = store.head()["tables"]["T"]
+    assert table["base"] is None and len(table["deltas"]) == 2 and not store.compaction_due("t")
 
 
 def test_expire_keeps_what_is_valid(spark, store):
@@ -160,11 +194,39 @@ def test_expire_keeps_what_is_valid(spark, store):
     assert len(files.children(spark, f"{store.root}/T/base")) == 1
 
 
-def test_an_incomplete_record_is_ignored(spark, store):
+def half_written(spark, store, number):
+    path = f"{store.root}/_commits/{number:012d}"
+    spark.range(1).select(F.lit("{").alias("value")).write.text(path)
+    files.remove(spark, f"{path}/_SUCCESS")
+
+
+def test_a_half_written_record_blocks_nothing(spark, store):
     store.commit("w", 0, {"t": upserts(spark, [(1, "a")])})
-    spark.range(1).select(F.lit("{").alias("value")).write.text(f"{store.root}/_commits/{2:012d}")
-    files.remove(spark, f"{store.root}/_commits/{2:012d}/_SUCCESS")
+    half_written(spark, store, 2)
     assert state(store) == {1: "a"}
+    assert store.commit("w", 1, {"t": upserts(spark, [(2, "b")])})
+    half_written(spark, store, 4)
+    assert store.commit("w", 2, {"t": upserts(spark, [(1, "c")])})
+    assert state(store) == {1: "c", 2: "b"} and store.head()["n"] == 5
+
+
+def test_two_writers_conflict_behind_a_half_written_record(spark, store):
+    half_written(spark, store, 1)
+    head = store.head()
+    store.commit("a", 0, {"t": upserts(spark, [(1, "a")])}, head=head)
+    with pytest.raises(Exception, match="another writer has committed"):
+        store.commit("b", 0, {"t": upserts(spark, [(2, "b")])}, head=head)
+    assert state(store) == {1: "a"}
+
+
+def test_expire_drops_catalog_entries(spark, store):
+    store.commit("w", 0, {"t": upserts(spark, [(1, "a")])})
+    entries = lambda: {t.name for t in spark.catalog.listTables() if t.name.startswith("changeflow_")}
+    before = entries()
+    store.compact("t")
+    store.compact("t")
+    store.expire(keep=1)
+    assert len(entries() - before) == 1
 
 
 def test_a_new_session_reads_the_same_state(spark, store):

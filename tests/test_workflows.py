@@ -94,6 +94,67 @@ def test_rows_without_key_become_dead_letters(spark, store):
     assert [r["error"] for r in store.dead().collect()] == ["key is null"]
 
 
+def change(spark, store, batch, i, k):
+    from changeflow.plans.reconcile import as_changes
+    from changeflow.plans.snapshot import typed_snapshot
+
+    store.commit("w", batch, {"t": as_changes(typed_snapshot(source(spark, rows_of([i], k=k)), SPEC))})
+
+
+def test_a_finished_backfill_is_skipped_after_compaction(spark, store):
+    src = {"t": source(spark, rows_of(range(5)))}
+    B.backfill(spark, SPECS, src, store)
+    change(spark, store, 0, 1, 9)
+    store.compact("t")
+    assert B.backfill(spark, SPECS, src, store) == {"t": 5}
+    assert state(store)[(1, "x")] == '{"k":9}'
+
+
+def test_changes_during_a_backfill_outlive_compaction(spark, store, monkeypatch):
+    src, real = {"t": source(spark, rows_of(range(8)))}, B.append_load
+    monkeypatch.setattr(B, "append_load", lambda df, folder, chunk: 1 / 0 if chunk else real(df, folder, chunk))
+    with pytest.raises(ZeroDivisionError):
+        B.backfill(spark, SPECS, src, store, chunks=4)
+    change(spark, store, 0, 1, 9)
+    store.compact("t")
+    monkeypatch.setattr(B, "append_load", real)
+    B.backfill(spark, SPECS, src, store, chunks=4)
+    assert len(state(store)) == 8 and state(store)[(1, "x")] == '{"k":9}'
+    store.compact("t")
+    assert len(state(store)) == 8 and state(store)[(1, "x")] == '{"k":9}'
+
+
+STRICT = TableSpec(
+    source="t",
+    current="T",
+    columns={"id": "bigint", "tenantId": "string", "doc": "variant", "updated_at": "timestamp_ntz", "surplus": "int"},
+    pk=("id", "tenantId"),
+    not_null=("id", "tenantId", "surplus"),
+    ts_col="updated_at",
+)
+
+
+def test_one_rule_for_rows_on_every_path(spark):
+    specs = {"t": STRICT}
+    store = TableStore(spark, scratch_path(spark, "store"), specs)
+    rows = [*rows_of([1, 2]), (3, None, (1,), "2024-01-01", 0), (4, "x", (1,), "2024-01-01", None), (None, "x", (1,), "2024-01-01", 0)]
+    wanted = ["key is null", "key is null", "null in SURPLUS"]
+    B.backfill(spark, specs, {"t": source(spark, rows)}, store)
+    assert store.current("t").count() == 2
+    assert sorted(r["error"] for r in store.dead().collect()) == wanted
+    for run in "abc":
+        reconcile(spark, specs, {"t": source(spark, rows)}, store, "2023-01-01", run)
+    assert store.current("t").count() == 2
+    assert sorted(r["error"] for r in store.dead().collect()) == sorted(wanted * 4)
+
+
+def test_text_keys_are_refused(spark, store):
+    spec = TableSpec(source="t", current="T", columns={"name": "string"}, pk=("name",))
+    store.specs = {"t": spec}
+    with pytest.raises(ValueError, match="first key column"):
+        B.backfill(spark, store.specs, {"t": spark.createDataFrame([("a",)], "name string")}, store)
+
+
 def test_changes_before_the_backfill_are_replaced(spark, store):
     from changeflow.plans.reconcile import as_changes
     from changeflow.plans.snapshot import typed_snapshot
@@ -173,6 +234,29 @@ def test_staleness_counts_minute_boundaries(spark):
     assert M.staleness(rows, now).first()["lag_minutes"] == 1
 
 
+def test_staleness_has_no_session_zone(spark):
+    """Four hours over the change to summer time are 240 minutes in any zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        rows = spark.createDataFrame([("2024-03-31 00:30:00",)], "t string").select(
+            F.col("t").cast("timestamp_ntz").alias("_CDC_TS")
+        )
+        now = F.lit("2024-03-31 04:30:00").cast("timestamp_ntz")
+        assert M.staleness(rows, now).first()["lag_minutes"] == 240
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_ties_are_broken_by_what_rows_hold(spark):
+    from changeflow.operators.changes import latest_per_key
+
+    rows = [(1, "2024-01-01", v) for v in "abcdefgh"]
+    df = spark.createDataFrame(rows, "id long, t string, v string")
+    kept = {latest_per_key(df.orderBy(F.rand(i)).repartition(4), ["id"], [F.desc("t")]).first()["v"] for i in range(4)}
+    assert len(kept) == 1
+
+
 def test_rates_and_ages_without_events(spark):
     empty = spark.createDataFrame([], "ts_ms long")
     assert M.throughput(empty).first()["events_per_s"] == 0.0
@@ -250,17 +334,44 @@ def test_stream_end_to_end(spark):
 
 
 def test_messages_that_land_again(spark):
-    """A new checkpoint sees all files again: it fails, or goes on behind the position."""
+    """A new checkpoint sees all files again: what was taken is passed over, what was not and lies
+    behind the position is a dead letter."""
     folder, store = scratch_path(spark, "land"), TableStore(spark, scratch_path(spark, "s"), REGISTRY)
     head = [m.begin(500, 0), m.relation(1, "customers", CUSTOMER_COLUMNS)]
-    n = land(spark, folder, [*head, m.insert(1, customer(1, "a"))], 0)
+    land(spark, folder, [*head, m.insert(1, customer(1, "a"))], 0)
+    n = land(spark, folder, [m.insert(1, customer(2, "b"))], 5)
+    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
+    assert store.history("customers").count() == 2
+    land(spark, folder, [m.insert(1, customer(3, "late")), m.insert(1, customer(4, "late"))], 3)
+    land(spark, folder, [m.insert(1, customer(5, "c"))], n)
+    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
+    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
+    assert {int(r["ID"]) for r in store.current("customers").collect()} == {1, 2, 5}
+    assert store.history("customers").count() == 3
+    late = store.dead().filter("error = 'landed late'")
+    assert {(r["seq"], r["msg_type"]) for r in late.collect()} == {(3, "I"), (4, "I")}
+
+
+def test_binary_values(spark):
+    spec = TableSpec(source="files", current="FILES", columns={"id": "bigint", "body": "binary", "name": "string"}, pk=("id",))
+    folder, store = scratch_path(spark, "land"), TableStore(spark, scratch_path(spark, "s"), {"files": spec})
+    columns = [("id", 20, True), ("body", 17, False), ("name", 25, False)]
+    rows = [["1", b"\x00\xff", "a"], ["2", "text", "b"], ["3", None, b"\x01"]]
+    land(spark, folder, [m.begin(500, 0), m.relation(1, "files", columns), *[m.insert(1, r) for r in rows]], 0)
+    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
+    assert {r["ID"]: bytes(r["BODY"]) for r in store.current("files").collect()} == {1: b"\x00\xff", 2: b"text"}
+    assert [r["error"] for r in store.dead().collect()] == ["bad value in NAME"]
+    assert {r["ID"]: r["BODY"] and bytes(r["BODY"]) for r in store.history("files").collect()} == {1: b"\x00\xff", 2: b"text", 3: None}
+
+
+def test_history_has_unchanged_values_of_the_old_row(spark):
+    folder, store = scratch_path(spark, "land"), TableStore(spark, scratch_path(spark, "s"), REGISTRY)
+    new = customer(1, "new", m.UNCHANGED)
+    payloads = [m.begin(500, 0), m.relation(1, "customers", CUSTOMER_COLUMNS), m.update(1, new, customer(1, "a", '{"k":1}'))]
+    land(spark, folder, payloads, 0)
     T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
-    land(spark, folder, [m.insert(1, customer(2, "b"))], n)
-    with pytest.raises(Exception, match="resume=True"):
-        T.drain(spark, folder, store, scratch_path(spark, "checkpoint"))
-    assert store.history("customers").count() == 1
-    T.drain(spark, folder, store, scratch_path(spark, "checkpoint"), resume=True)
-    assert store.history("customers").count() == store.current("customers").count() == 2
+    row = store.history("customers").select("EMAIL", F.to_json("METADATA").alias("M")).first()
+    assert (row["EMAIL"], row["M"]) == ("new", '{"k":1}')
 
 
 def test_a_batch_without_messages(spark):
