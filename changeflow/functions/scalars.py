@@ -108,7 +108,3 @@ def ident(name: str) -> str:
 def literal(text: str) -> str:
     """A string in SQL text."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def is_key_flag(flags: Column) -> Column:
-    return flags.bitwiseAND(1) == 1

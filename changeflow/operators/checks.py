@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Threshold, metric names, report texts.
@@ -23,6 +25,17 @@ def table_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
+def table_statistics(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """(table_name, estimate) from the statistics the catalog keeps of each table, by the name it is
+    reported under; NULL where there are none."""
+    rows = []
+    for name, table in tables.items():
+        found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Statistics'").first()
+        known = re.search(r"(\d+) rows", found["data_type"]) if found else None
+        rows.append((name, int(known[1]) if known else None))
+    return spark.createDataFrame(rows, "table_name string, estimate bigint")
+
+
 def estimate_count(stats: DataFrame, exact: DataFrame) -> DataFrame:
     """Row count per table: the estimate where there is a positive one, else the exact count.
     `stats` is (table_name, estimate), `exact` is (table_name, row_count)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.scalars import op_name
@@ -15,6 +15,7 @@ FLUSH_MS = "cdc.snowflake.flush_duration_ms"
 POLL_MS = "cdc.poll.duration_ms"
 ERRORS = "cdc.snowflake.errors"
 RECONNECTS = "cdc.reconnects"
+RUN = "cdc.run"
 LAG_MS = "cdc.replication.lag_ms"
 FLUSHED = "flushed"
 REASON_LENGTH = 32
@@ -129,28 +130,15 @@ def metric_rows(
     )
 
 
-def durations(spark: SparkSession, progress: list) -> DataFrame:
-    """Poll and write times per batch and the number of restarts, from a query's progress
-    reports (Spark keeps a bounded number of them)."""
-    rows, runs = [], []
-    for p in progress:
-        runs.append(str(p["runId"]))
-        took = p["durationMs"]
-        poll = took.get("latestOffset", 0) + took.get("getBatch", 0)
-        rows.append((POLL_MS, float(poll), p["batchId"], p["timestamp"]))
-        rows.append((FLUSH_MS, float(took.get("addBatch", 0)), p["batchId"], p["timestamp"]))
-    if progress:
-        last = progress[-1]
-        restarts = float(len(set(runs)) - 1)
-        rows.append((RECONNECTS, restarts, last["batchId"], last["timestamp"]))
-    df = spark.createDataFrame(rows, "metric string, value double, batch_id bigint, at string")
+def durations(metrics: DataFrame) -> DataFrame:
+    """Poll and flush times of every batch and the restarts of the stream, from its own metric rows:
+    each start has a run of its own."""
+    kept = ["metric", "table_name", "op", "value", "batch_id", "at"]
+    times = metrics.filter(F.col("metric").isin(POLL_MS, FLUSH_MS)).select(*kept)
     none = F.lit(None).cast("string")
-    return df.select(
-        "metric",
-        none.alias("table_name"),
-        none.alias("op"),
-        "value",
-        "batch_id",
-        F.to_timestamp_ntz(F.substring("at", 1, 23), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")).alias("at"),
+    runs = metrics.filter(F.col("metric") == RUN).agg(
+        F.lit(RECONNECTS).alias("metric"), none.alias("table_name"), none.alias("op"),
+        (F.count_distinct("op") - 1).cast("double").alias("value"),
+        F.max("batch_id").alias("batch_id"), F.max("at").alias("at"),
     )
-
+    return times.unionByName(runs.filter("batch_id is not null"))

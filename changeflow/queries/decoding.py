@@ -92,6 +92,23 @@ def decode_relation(spark, sf_dir):
     )
 
 
+@query(
+    "f12_is_key",
+    f"""with t as (select unnest(range(1, {PARTITIONS + 2})) as k), c as (select unnest([1, 2, 3, 4, 5]) as i)
+        select event_id // {SESSION_EVENTS} as session_id,
+          case k when 1 then 'audit_log' else 'events_p' || (k - 2) end as table_name,
+          ['userId', 'eventType', 'value', 'props', 'ts'][i] as name, i = 1 as is_key, true as as_spec
+        from events, t, c where event_id = event_id // {SESSION_EVENTS} * {SESSION_EVENTS}""",
+)
+def is_key(spark, sf_dir):
+    """Key flags of the announced columns, and whether they are the keys of the registered table."""
+    relations = D.decode_relation(D.classify(landed(spark, sf_dir))).filter("error is null")
+    columns = relations.select("session_id", "table_name", F.inline("columns"))
+    return columns.select(
+        "session_id", "table_name", "name", "is_key", (F.col("is_key") == F.col("name").isin(*EVENTS.pk)).alias("as_spec")
+    )
+
+
 @query("d04_carry_tx", f"with {CL} select {ROW_SEQ}, commit_lsn, ts_ms from cl")
 def carry_tx(spark, sf_dir):
     raw = landed(spark, sf_dir)

@@ -249,18 +249,65 @@ def delete_anti(spark, sf_dir):
     return M.delete_anti(orders, keys, ["o_orderkey"])
 
 
+@query("w02_dedup_composite", HISTORY_QUERY)
+def dedup_composite(spark, sf_dir):
+    """Repair by the key, the position and the operation: updates have been loaded twice."""
+    first = history(spark, sf_dir)
+    again = first.filter("_CDC_OP = 'U'").withColumn("_LOADED_AT", F.timestamp_add("HOUR", F.lit(1), F.col("_LOADED_AT")))
+    return show_history(C.dedup_history(first.unionByName(again), (*KEYS, "_CDC_LSN", "_CDC_OP")))
+
+
+def imaged(rows, image, wanted, change):
+    """The rows with one image changed where `wanted` holds."""
+    return rows.withColumn(image, F.when(wanted, change(F.col(image))).otherwise(F.col(image)))
+
+
+def value_of(image, name):
+    return F.filter(image, lambda v: v["name"] == name)[0]["text"]
+
+
 @query(
-    "w02_dedup_composite",
-    f"""with {MAPPED} select user_id as USER_ID, seq // {TX_EVENTS} as tx, min(seq) as first_seq,
-          count(*) > 1 as repeated from mapped group by all""",
+    "k01_unchanged_values",
+    f"""with {MAPPED}, latest as (select * from mapped {LATEST}),
+          gone as (select user_id, max(seq) as del from mapped where op = 'd' group by user_id),
+          known as (select user_id, arg_max(props, seq) as props from mapped left join gone using (user_id)
+            where op <> 'd' and event_type <> 'click' and seq > coalesce(del, -1) group by user_id)
+        select {TYPED.replace("props as", "known.props as")} from latest left join known using (user_id) where op <> 'd'""",
 )
-def dedup_composite(spark, sf_dir):
-    """Repair by several keys: positions repeat within a transaction here."""
-    tx = F.call_function("div", F.col("seq"), F.lit(TX_EVENTS))
-    rows = C.project_row(C.history_image(mapped(spark, sf_dir)), EVENTS, "image")
-    rows = rows.select("USER_ID", tx.alias("tx"), "seq", F.col("seq").alias("_LOADED_AT"))
-    first = C.dedup_history(rows, ("USER_ID", "tx")).select("USER_ID", "tx", F.col("seq").alias("first_seq"))
-    sizes = rows.groupBy("USER_ID", "tx").agg((F.count("*") > 1).alias("repeated"))
-    return first.join(sizes, ["USER_ID", "tx"])
+def unchanged_values(spark, sf_dir):
+    """Clicks are updates that leave `props` out as unchanged: it keeps the value it had."""
+    rows = mapped(spark, sf_dir)
+    click = (F.col("op") == "u") & (value_of(F.col("after"), "eventType") == "click")
+    left_out = lambda v: F.when(v["name"] == "props", v.withField("kind", F.lit("u")).withField("text", F.lit(None).cast("string"))).otherwise(v)
+    rows = imaged(rows, "after", click, lambda image: F.transform(image, left_out))
+    good, _ = C.split_bad(C.typed_changes(rows, EVENTS), EVENTS)
+    state = C.stamp_loaded(C.fold_changes(good, KEYS), loaded_at())
+    return M.first_state(state, list(EVENTS.target_types)).select(*typed_columns())
+
+
+MOVED = 1_000_000_000
+
+
+@query(
+    "k01_moved_key",
+    f"""with {MAPPED}, steps as (
+          select * replace (case when op = 'u' and event_type = 'purchase' then user_id + {MOVED} else user_id end as user_id),
+            seq * 2 + 1 as step, op <> 'd' as there from mapped
+          union all select *, seq * 2, false from mapped where op = 'u' and event_type = 'purchase')
+        select {TYPED} from steps qualify row_number() over (partition by user_id order by step desc) = 1 and there""",
+)
+def moved_key(spark, sf_dir):
+    """Purchases move the key of their row: the old key is gone, the new one is there."""
+    rows = mapped(spark, sf_dir)
+    moves = (F.col("op") == "u") & (value_of(F.col("after"), "eventType") == "purchase")
+    old = F.filter("after", lambda v: v["name"] == "userId")
+    rows = rows.withColumn("before", F.when(moves, old).otherwise(F.col("before")))
+    further = lambda v: F.when(
+        v["name"] == "userId", v.withField("text", (v["text"].cast("bigint") + MOVED).cast("string"))
+    ).otherwise(v)
+    rows = imaged(rows, "after", moves, lambda image: F.transform(image, further))
+    good, _ = C.split_bad(C.typed_changes(rows, EVENTS), EVENTS)
+    state = C.stamp_loaded(C.fold_changes(good, KEYS), loaded_at())
+    return M.first_state(state, list(EVENTS.target_types)).select(*typed_columns())
 
 

@@ -78,15 +78,15 @@ def upper_snake(spark, sf_dir):
 
 @query(
     "f06_root_table",
-    f"""select event_id, case when user_id % {PARTITIONS} = 0 then 'other_p0' else 'events' end as table_name
+    f"""select event_id, case user_id % {PARTITIONS} when 0 then 'other_p0' when 1 then 'first' else 'events' end as table_name
         from events""",
 )
 def root_table(spark, sf_dir):
+    """Two prefixes fit one partition: the first in the list wins."""
     part = (F.col("user_id") % PARTITIONS).cast("string")
     name = F.when(part == "0", "other_p0").otherwise(F.concat(F.lit("events_p"), part))
-    return read(spark, sf_dir, "events").select(
-        "event_id", S.root_table(name, {"events_": "events"}).alias("table_name")
-    )
+    prefixes = {"events_p1": "first", "events_": "events", "events_p2": "never"}
+    return read(spark, sf_dir, "events").select("event_id", S.root_table(name, prefixes).alias("table_name"))
 
 
 OP_SQL = "case event_type when 'signup' then 'c' when 'error' then 'd' when 'view' then 't' else 'u' end"
@@ -167,10 +167,3 @@ def cast_to_spec(spark, sf_dir):
         S.cast_to_spec(texts["ts"], "timestamp_ntz").alias("ts"),
         S.cast_to_spec(texts["eventType"], "double", strict=False).alias("bad"),
     )
-
-
-@query("f12_is_key", "select c_custkey, (c_nationkey & 1) = 1 as is_key from customer")
-def is_key(spark, sf_dir):
-    return read(spark, sf_dir, "customer").select(
-        "c_custkey", S.is_key_flag(F.col("c_nationkey")).alias("is_key")
-    )

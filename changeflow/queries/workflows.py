@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from changeflow.operators import metrics as M
 from changeflow.plans import backfill as B
-from changeflow.plans.reconcile import reconcile
+from changeflow.plans.reconcile import as_changes, reconcile
+from changeflow.plans.snapshot import typed_snapshot
 from changeflow.queries.changelog import (
     BOTH_SPECS,
     CL,
@@ -16,6 +17,7 @@ from changeflow.queries.changelog import (
     SPECS,
     changelog,
     files_per_batch,
+    landed,
     landing,
     read,
 )
@@ -80,27 +82,72 @@ def order_store(spark):
     return TableStore(spark, scratch_path(spark, "orders"), ORDER_SPECS)
 
 
-@query("b01_backfill", f"select {ORDERS_SQL} from orders")
+@query(
+    "b01_backfill",
+    f"""select {ORDERS_SQL.replace('o_totalprice as', "case when o_orderpriority = '1-URGENT' then 0 else o_totalprice end as")}
+        from orders""",
+)
 def backfill(spark, sf_dir):
-    """Eight chunks; starting the run again changes nothing."""
+    """Eight chunks; a change and a compaction later the run is started again: the change stays."""
     store, sources = order_store(spark), {"orders": S.Source(f"{sf_dir}/orders.parquet")}
-    for _ in range(2):
-        B.backfill(spark, ORDER_SPECS, sources, store, at=loaded_at())
+    B.backfill(spark, ORDER_SPECS, sources, store, at=loaded_at())
+    urgent = read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.lit(0.0))
+    store.commit("change", 0, {"orders": as_changes(typed_snapshot(urgent, ORDERS))}, at=loaded_at())
+    store.compact("orders")
+    B.backfill(spark, ORDER_SPECS, sources, store, at=loaded_at())
     return store.current("orders").drop("_LOADED_AT")
 
 
+# Orders with a second key column, which is NULL for some.
+KEYED = TableSpec(
+    source="orders",
+    current="ORDERS",
+    columns=ORDERS.columns,
+    pk=("o_orderkey", "o_orderstatus"),
+    not_null=("o_orderkey", "o_orderstatus", "o_custkey"),
+    ts_col="o_orderdate",
+)
+
+
+def keyless_orders(spark, sf_dir):
+    """Orders whose status is not known, as rows with NULL in a key column; others lack the customer."""
+    orders = read(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    customer = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
+    return orders.withColumn("o_orderstatus", status).withColumn("o_custkey", customer)
+
+
+def reconciled(spark, sf_dir):
+    """A target whose prices are all wrong; rows touched since a day come from the source, twice."""
+    store, orders = TableStore(spark, scratch_path(spark, "orders"), {"orders": KEYED}), keyless_orders(spark, sf_dir)
+    B.backfill(spark, store.specs, {"orders": orders.withColumn("o_totalprice", F.lit(0.0))}, store)
+    for run in ("first", "second"):
+        reconcile(spark, store.specs, {"orders": orders}, store, SINCE, run=run)
+    return store
+
+
+USABLE = "o_orderstatus <> 'P' and o_orderpriority <> '5-LOW'"
+
+
 @query(
     "b02_reconcile",
     f"""select {ORDERS_SQL.replace('o_totalprice as', f"case when o_orderdate >= '{SINCE}' then o_totalprice else 0 end as")}
-        from orders""",
+        from orders where {USABLE}""",
 )
 def reconcile_query(spark, sf_dir):
-    """A target whose prices are all wrong; rows touched since a day come from the source."""
-    store, orders = order_store(spark), read(spark, sf_dir, "orders")
-    wrong = orders.withColumn("o_totalprice", F.lit(0.0))
-    B.backfill(spark, ORDER_SPECS, {"orders": wrong}, store)
-    reconcile(spark, ORDER_SPECS, {"orders": orders}, store, SINCE, run="check")
-    return store.current("orders").drop("_LOADED_AT")
+    """Rows that break the rules of the table are in it neither after the load nor after two merges."""
+    return reconciled(spark, sf_dir).current("orders").drop("_LOADED_AT")
+
+
+@query(
+    "b02_rejected_rows",
+    f"""select case when o_orderstatus = 'P' then 'key is null' else 'null in O_CUSTKEY' end as error,
+          sum(case when o_orderdate >= '{SINCE}' then 3 else 1 end)::bigint as rows
+        from orders where not ({USABLE}) group by error""",
+)
+def rejected_rows(spark, sf_dir):
+    """The load and both merges say which rows they could not take."""
+    return reconciled(spark, sf_dir).dead().groupBy("error").agg(F.count("*").alias("rows"))
 
 
 @query("k04_overwrite_load", "select o_orderkey, o_totalprice from orders")
@@ -126,29 +173,30 @@ def append_load(spark, sf_dir):
 
 @query(
     "k06_create_tables",
-    f"with {CL} select user_id as USER_ID, event_type as EVENT_TYPE, seq from cl where event_type is not null",
+    f"with {CL} select user_id as USER_ID, value as VALUE, seq from cl where value is not null",
 )
 def create_tables_query(spark, sf_dir):
-    """Create the tables twice, load the log into one, keep what satisfies NOT NULL."""
+    """Create the tables twice, load the log into one, keep what satisfies NOT NULL: views have no
+    value."""
     spec = TableSpec(
         source="log",
         current=f"LOG_{scratch_path(spark, 'x')[-12:]}",
-        columns={"userId": "bigint", "eventType": "string", "seq": "bigint"},
+        columns={"userId": "bigint", "value": "double", "seq": "bigint"},
         pk=("seq",),
-        not_null=("seq", "eventType"),
+        not_null=("seq", "value"),
     )
     folder = scratch_path(spark, "tables")
     create_tables(spark, {"log": spec}, folder)
     names = create_tables(spark, {"log": spec}, folder)
     events = read(spark, sf_dir, "events").select(
         F.col("user_id").alias("USER_ID"),
-        F.col("event_type").alias("EVENT_TYPE"),
+        F.when(F.col("event_type") != "view", F.col("value")).alias("VALUE"),
         F.col("event_id").alias("SEQ"),
         loaded_at().alias("_LOADED_AT"),
     )
     bad = violates_not_null(events, [spec.targets[c] for c in spec.not_null])
     events.join(bad.select("SEQ"), "SEQ", "left_anti").select(*events.columns).write.insertInto(names[0])
-    return spark.table(names[0]).select("USER_ID", "EVENT_TYPE", F.col("SEQ").alias("seq"))
+    return spark.table(names[0]).select("USER_ID", "VALUE", F.col("SEQ").alias("seq"))
 
 
 @query("k07_clustered_layout", "select l_returnflag, l_orderkey, l_linenumber from lineitem")
@@ -162,7 +210,7 @@ def clustered(spark, sf_dir):
 
 # Streams
 
-_RUNS: dict[tuple, tuple[TableStore, list]] = {}
+_RUNS: dict[tuple, TableStore] = {}
 
 
 def new_store(spark, specs=SPECS):
@@ -174,7 +222,7 @@ def streamed(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         store = new_store(spark)
-        progress = T.drain(
+        T.drain(
             spark,
             landing(spark, sf_dir),
             store,
@@ -182,14 +230,14 @@ def streamed(spark, sf_dir):
             max_files=files_per_batch(spark, sf_dir),
             at=loaded_at(),
         )
-        _RUNS[key] = (store, progress)
+        _RUNS[key] = store
     return _RUNS[key]
 
 
 @query("t01_start_cdc", STATE_SQL)
 def start_cdc(spark, sf_dir):
     """The state the stream leaves is the state of the whole log."""
-    return streamed(spark, sf_dir)[0].current("events").select(*typed_columns())
+    return streamed(spark, sf_dir).current("events").select(*typed_columns())
 
 
 SEGMENTS = f"""{POS}, {MESSAGES}, span as (select min(event_id * 20 + k) as low, max(event_id * 20 + k) as high from msgs),
@@ -207,7 +255,7 @@ SEGMENTS = f"""{POS}, {MESSAGES}, span as (select min(event_id * 20 + k) as low,
 )
 def batch_bounds(spark, sf_dir):
     """A quarter of the landed files per batch: the counts of every batch."""
-    counts = streamed(spark, sf_dir)[0].metrics().filter(F.col("metric") == M.PROCESSED)
+    counts = streamed(spark, sf_dir).metrics().filter(F.col("metric") == M.PROCESSED)
     return counts.select("batch_id", "op", "value")
 
 
@@ -227,41 +275,19 @@ def per_table_fanout(spark, sf_dir):
     return states[0].unionByName(states[1])
 
 
-class Interrupted(Exception):
-    pass
-
-
-class FailingStore(TableStore):
-    """Fails once between writing the data and publishing the record."""
-
-    failed = False
-
-    def _record(self, head, **changed):
-        if not self.failed and head["n"] == 1:
-            self.failed = True
-            raise Interrupted
-        super()._record(head, **changed)
-
-
 @query("t04_replay_safe", HISTORY_QUERY)
 def replay_safe(spark, sf_dir):
-    """The second batch fails before its record is there; a restart repeats it without doubling
-    history."""
-    store = FailingStore(spark, scratch_path(spark, "store"), SPECS)
-    checkpoint, half = scratch_path(spark, "checkpoint"), files_per_batch(spark, sf_dir, 2)
+    """Every batch is handed in twice under its number: history is not doubled."""
+    store, raw = new_store(spark), landed(spark, sf_dir)
     for _ in range(2):
-        try:
-            T.drain(spark, landing(spark, sf_dir), store, checkpoint, max_files=half, at=loaded_at())
-        except Exception:
-            if not store.failed:
-                raise
+        T.process_batch(store, raw, "writer", 0, at=loaded_at())
     return show_history(store.history("events"))
 
 
 @query("t05_stateful_context", HISTORY_QUERY)
 def stateful_context(spark, sf_dir):
     """Transactions and sessions run across batches: every history row still has its own."""
-    return show_history(streamed(spark, sf_dir)[0].history("events"))
+    return show_history(streamed(spark, sf_dir).history("events"))
 
 
 @query("t06_drain", STATE_SQL)
@@ -275,26 +301,41 @@ def drain(spark, sf_dir):
     return store.current("events").select(*typed_columns())
 
 
+@query("t07_resume_position", HISTORY_QUERY)
+def resume_position(spark, sf_dir):
+    """A stream takes what has landed of the first sessions and is lost with its checkpoint; a new one
+    sees all files and goes on behind the position: every event is there once."""
+    store, raw = new_store(spark), landed(spark, sf_dir)
+    half = raw.agg(F.expr("(min(session_id) + max(session_id)) div 2")).first()[0]
+    T.process_batch(store, raw.filter(F.col("session_id") <= half), "lost", 0, at=loaded_at())
+    T.drain(spark, landing(spark, sf_dir), store, scratch_path(spark, "checkpoint"), at=loaded_at())
+    return show_history(store.history("events"))
+
+
 @query(
-    "t07_resume_position",
-    f"""with {SEGMENTS}, {MAPPED} select max(event_id * 20 + 10) as seq, max(msgs.session_id) as session_id,
-          (select max(commit_lsn) from mapped) as confirmed_lsn from msgs""",
+    "t07_late_messages",
+    f"""with {POS}, {MESSAGES} select session_id, event_id * 20 + k as seq, msg_type, 'landed late' as error
+        from msgs where msg_type = 'C' and event_id * 20 + k < (select max(event_id * 20 + k) from msgs where msg_type <> 'C')""",
 )
-def resume_position(spark, sf_dir):
-    """Where the stream stands after the run, next to the table it filled."""
-    store = streamed(spark, sf_dir)[0]
-    at = T.resume_position(store)
-    filled = store.history("events").agg(F.max("_CDC_LSN").alias("last_row"))
-    return filled.select(
-        F.lit(at["seq"]).cast("bigint").alias("seq"),
-        F.lit(at["session_id"]).cast("bigint").alias("session_id"),
-        F.lit(int(at["confirmed_lsn"])).cast("bigint").alias("confirmed_lsn"),
-    )
+def late_messages(spark, sf_dir):
+    """The ends of transactions land after all else: what lies behind the position is reported."""
+    store, raw = new_store(spark), landed(spark, sf_dir)
+    ends = F.substring("data", 1, 1) == F.lit(b"C")
+    T.process_batch(store, raw.filter(~ends), "writer", 0, at=loaded_at())
+    T.process_batch(store, raw.filter(ends), "writer", 1, at=loaded_at())
+    return store.dead().select("session_id", "seq", "msg_type", "error")
 
 
-@query("a16_durations")
+@query(
+    "a16_durations",
+    f"""with {SEGMENTS}, b as (select distinct ((event_id * 20 + k - low) // size)::bigint as batch_id from msgs, step)
+        select metric, batch_id, true as counted from b, (select unnest(['{M.POLL_MS}', '{M.FLUSH_MS}']) as metric)
+        union all select '{M.RECONNECTS}', max(batch_id), true from b""",
+)
 def durations(spark, sf_dir):
-    return M.durations(spark, streamed(spark, sf_dir)[1])
+    """Times of every batch and the restarts of the run, as the stream wrote them: none is negative."""
+    rows = M.durations(streamed(spark, sf_dir).metrics())
+    return rows.select("metric", "batch_id", (F.col("value") >= 0).alias("counted"))
 
 
 @query("t04_drop_relanded", f"with {CL} select session_id, seq, table_name from cl")
