@@ -1,0 +1,81 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from fixtures import documents, empty, prose
+
+from changeflow.llm import language
+from changeflow.llm.frequent import frequent_words
+
+
+def rows():
+    out = [(i, "the " + prose(i, 40 + i).replace(" ", " the "), "en", "a", None) for i in range(12)]
+    return out + [(20 + i, prose(100 + i, 30), "en", "b", None) for i in range(6)] + [(30, "The THE the", "en", "b", None)]
+
+
+def test_losses_by_hand(spark, monkeypatch):
+    """Every count taken from lists of words, the text's own taken out."""
+    texts = {i: re.findall(r"[a-z0-9]+", t.lower()) for i, t, *_ in rows()}
+    target = set(range(0, 12, 2))
+    docs = documents(spark, rows(), clash=["target", "_id", "n_words"])
+    chosen = language.target_ids(docs.filter(docs.doc_id.isin(*target)))
+    models = language.fit(docs, chosen)
+    known = frequent_words(docs, language.FREQUENT)
+    assert (known == models.frequent).all() and len(known) == len({w for t in texts.values() for w in t})
+
+    def counts(ids):
+        pairs, firsts, words = Counter(), Counter(), Counter()
+        for i in ids:
+            words.update(texts[i])
+            pairs.update(zip(texts[i], texts[i][1:]))
+            firsts.update(texts[i][:-1])
+        return pairs, firsts, words, sum(words.values())
+
+    n_target, n_all = counts(target)[3], counts(texts)[3]
+    for r in language.score(docs, models, chosen).collect():
+        words = texts[r.doc_id]
+        assert r.n_words == len(words)
+        for ids, scale, loss in ((set(texts), n_target / n_all, r.background_loss), (target, 1.0, r.target_loss)):
+            pairs, firsts, singles, total = counts(ids - {r.doc_id})
+            total_loss = 0.0
+            for k, w in enumerate(words):
+                p = (scale * singles[w] + language.SMOOTH_CLASS / language.CLASSES) / (scale * total + language.SMOOTH_CLASS)
+                v = words[k - 1] if k else None
+                c, f = (scale * pairs[v, w], scale * firsts[v]) if k else (0, 0)
+                total_loss -= math.log((c + language.SMOOTH_PAIR * p) / (f + language.SMOOTH_PAIR))
+            assert loss == pytest.approx(total_loss / len(words), rel=1e-5)
+        assert r.difference == pytest.approx(r.target_loss - r.background_loss)
+
+
+def test_target_texts_score_lower(spark):
+    """Half of the texts of one style are the target: the other half is more like it than the other style."""
+    rng = random.Random(1)
+    two = [(i, " ".join(rng.choice(["red", "blue", "green", "dark"] if i % 2 else ["one", "two", "ten", "six"]) for _ in range(60)), "en", "a", None)
+           for i in range(80)]
+    docs = documents(spark, two)
+    chosen = language.target_ids(docs.filter("doc_id % 2 = 1 and doc_id < 40"))
+    got = {r.doc_id: r.difference for r in language.score(docs, language.fit(docs, chosen), chosen).collect()}
+    assert max(got[i] for i in range(41, 80, 2)) < 0 < min(got[i] for i in range(0, 80, 2))
+
+
+def test_words_outside_the_frequent_ones(spark, monkeypatch):
+    """With few places of their own, words share classes: probabilities still add up to about one."""
+    monkeypatch.setattr(language, "FREQUENT", 1536)
+    many = [(i, prose(i, 3000), "en", "a", None) for i in range(3)] + [(9, " ".join(f"w{k}" for k in range(4000)), "en", "a", None)]
+    docs = documents(spark, many)
+    chosen = language.target_ids(docs)
+    out = language.score(docs, language.fit(docs, chosen), chosen).collect()
+    assert all(0 < r.target_loss < 20 and abs(r.difference) < 1e-6 for r in out)
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark)
+    chosen = language.target_ids(docs.filter("doc_id < 10 or doc_id is null"))
+    out = language.score(docs, language.fit(docs, chosen), chosen).collect()
+    assert len(out) == docs.count()
+    assert all((r.difference is None) == (r.n_words == 0) for r in out)
+    none = language.target_ids(docs.limit(0))
+    assert language.score(docs, language.fit(docs, none), none).filter("difference is not null").count() > 0
+    assert language.score(empty(spark), language.fit(empty(spark), none), none).count() == 0
