@@ -8,6 +8,7 @@ when they are small, and the tuple bytes are decoded in the same stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -24,6 +25,8 @@ ROW_TYPES = ("I", "U", "D")
 OPS = {"I": "c", "U": "u", "D": "d"}
 OPEN_END = 1 << 62
 
+# About what a name and its type take in a relation carried over from an earlier batch.
+RELATION_BYTES = 64
 # Relations are broadcast up to this size (bytes of their messages), joined by shuffle beyond.
 RELATION_BROADCAST_BYTES = 64 << 20
 
@@ -306,8 +309,10 @@ def decode_wal(
     fan_in: int = FAN_IN,
     broadcast_bytes: int = RELATION_BROADCAST_BYTES,
     folder: str | None = None,
+    wanted: Callable[[Column], Column] | None = None,
 ) -> Decoded:
-    """Decode a batch. `relations` and `transactions` are what earlier batches left open.
+    """Decode a batch. `relations` and `transactions` are what earlier batches left open. `wanted` says
+    of a table name whether its rows are decoded at all.
 
     The decoded rows are kept in the shared folder, one folder per table: whoever needs the
     changes of one table reads only those, and nothing is decoded twice. With `folder` the
@@ -317,7 +322,8 @@ def decode_wal(
     messages = classify(raw)
     begins, announced, size = decode_control(messages, place("control"))
     versions = relation_versions(announced.filter(F.col("error").isNull()), relations)
-    # Carried-over versions are the open ones of one session: no more than the tables of a source.
+    if relations is not None:
+        size += relations.agg(F.sum(RELATION_BYTES + F.size("columns") * RELATION_BYTES)).first()[0] or 0
     small = size <= broadcast_bytes
 
     stamped = carry_transactions(
@@ -329,7 +335,10 @@ def decode_wal(
         fan_in,
         place("ends"),
     )
-    decoded = decode_rows(resolve_relation(stamped, versions, small))
+    resolved = resolve_relation(stamped, versions, small)
+    if wanted is not None:
+        resolved = resolved.filter(F.col("table_name").isNull() | wanted(F.col("table_name")))
+    decoded = decode_rows(resolved)
     rows = settle(decoded, place("rows"), by="table_name")
     control_dead = dead_rows(begins).unionByName(dead_rows(announced))
     return Decoded(rows, control_dead, versions, _open_transactions(begins, transactions))

@@ -49,9 +49,10 @@ def reconcile(
     table: str | None = None,
     at: Column | None = None,
 ) -> bool:
-    """One commit over the tables (or one table). Deletes are not seen, history is left alone. Rows that
-    break the rules of their table become dead letters."""
-    names = [table] if table else list(specs)
+    """One commit over the tables (or one table); tables without a change time are left out, and asking
+    for nothing else is an error. Deletes are not seen, history is left alone. Rows that break the
+    rules of their table become dead letters."""
+    names = [table] if table else [n for n, s in specs.items() if s.ts_col] or list(specs)
     parts = {
         name: reconcile_rows(open_source(spark, sources[name]), store.current(name), specs[name], since)
         for name in names

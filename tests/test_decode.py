@@ -8,8 +8,8 @@ import messages as m
 from changeflow.operators import decode as D
 from changeflow.schema import RAW_WAL
 
-COLUMNS = [("id", 23, True), ("tenant_id", 25, False), ("email", 25, False)]
-RELATION = m.relation(1, "customers", COLUMNS)
+COLUMNS = [("id", 23, True), ("port", 25, False), ("name", 25, False)]
+RELATION = m.relation(1, "boats", COLUMNS)
 
 
 def raw_of(spark, payloads, session=1, first=100):
@@ -36,20 +36,20 @@ def primed(*rows):
 def decoded(spark):
     """All good cases in one run: each is found by its position."""
     payloads = primed(
-        m.insert(1, ["1", "acme", "a@example.com"]),  # 102
-        m.update(1, ["1", "acme", "new@example.com"]),
+        m.insert(1, ["1", "north", "Anna"]),  # 102
+        m.update(1, ["1", "north", "Berta"]),
         m.delete(1, ["1", None, None]),
-        m.insert(1, ["2", "acme", None]),
-        m.insert(99, ["1", "acme", "x"]),  # 106: never announced
+        m.insert(1, ["2", "north", None]),
+        m.insert(99, ["1", "north", "x"]),  # 106: never announced
         b"",
-        m.update(1, ["2", "acme", "b"], old=["2", "acme", "a"]),  # 108
-        m.update(1, ["3", "acme", "b"], old=["2", None, None], tag=b"K"),
-        m.update(1, ["3", "acme", m.UNCHANGED]),  # 110
-        m.insert(1, ["4", "acme", b"\x00\xff"]),
-        m.insert(1, ["5", "acme", "e", "extra"]),  # 112: more values than columns
+        m.update(1, ["2", "north", "b"], old=["2", "north", "a"]),  # 108
+        m.update(1, ["3", "north", "b"], old=["2", None, None], tag=b"K"),
+        m.update(1, ["3", "north", m.UNCHANGED]),  # 110
+        m.insert(1, ["4", "north", b"\x00\xff"]),
+        m.insert(1, ["5", "north", "e", "extra"]),  # 112: more values than columns
         b"U" + struct.pack(">I", 1) + b"X",  # 113: no new tuple
         b"D" + struct.pack(">I", 1) + b"X",  # 114: no old tuple
-        m.delete(1, ["4", "acme", "e"], tag=b"O"),  # 115
+        m.delete(1, ["4", "north", "e"], tag=b"O"),  # 115
         m.commit(),
         b"I" + struct.pack(">I", 1) + b"N" + struct.pack(">H", 2) + b"t\0\0\0\x016" + b"z",  # 117
         b"I" + struct.pack(">I", 1) + b"N" + struct.pack(">H", 1) + b"t\0\0\0\x03a\xffb",  # 118
@@ -61,17 +61,43 @@ def decoded(spark):
     return {r["seq"]: r for r in changes}, {r["seq"]: r for r in dead}
 
 
+# Byte by byte, as the protocol pages lay them out.
+LITERAL = {
+    "begin": b"B" b"\0\0\0\0\0\0\1\xf4" b"\0\0\0\0\0\0\0\0" b"\0\0\0\1",
+    "relation": b"R" b"\0\0\0\1" b"public\0" b"boats\0" b"d" b"\0\2" b"\1no\0" b"\0\0\0\x17" b"\xff\xff\xff\xff"
+    b"\0name\0" b"\0\0\0\x19" b"\xff\xff\xff\xff",
+    "insert": b"I" b"\0\0\0\1" b"N" b"\0\2" b"t\0\0\0\0017" b"t\0\0\0\4Anna",
+    "update": b"U" b"\0\0\0\1" b"K" b"\0\2" b"t\0\0\0\0017" b"n" b"N" b"\0\2" b"t\0\0\0\0018" b"u",
+    "delete": b"D" b"\0\0\0\1" b"O" b"\0\2" b"t\0\0\0\0018" b"b\0\0\0\2\0\xff",
+}
+
+
+def test_literal_messages(spark):
+    columns = [("no", 23, True), ("name", 25, False)]
+    assert list(LITERAL.values()) == [
+        m.begin(500, 0), m.relation(1, "boats", columns), m.insert(1, ["7", "Anna"]),
+        m.update(1, ["8", m.UNCHANGED], old=["7", None], tag=b"K"), m.delete(1, ["8", b"\0\xff"], tag=b"O"),
+    ]
+    rows = {r["op"]: r for r in decode(spark, list(LITERAL.values()))[0]}
+    image = lambda values: [(v["name"], v["kind"], v["text"], v["bin"] and bytes(v["bin"])) for v in values]
+    assert {r["table_name"] for r in rows.values()} == {"boats"}
+    assert image(rows["c"]["after"]) == [("no", "t", "7", None), ("name", "t", "Anna", None)]
+    assert image(rows["u"]["before"]) == [("no", "t", "7", None), ("name", "n", None, None)]
+    assert image(rows["u"]["after"]) == [("no", "t", "8", None), ("name", "u", None, None)]
+    assert image(rows["d"]["before"]) == [("no", "t", "8", None), ("name", "b", None, b"\0\xff")]
+
+
 def test_insert(decoded):
     r = decoded[0][102]
-    assert (r["op"], r["schema_name"], r["table_name"]) == ("c", "public", "customers")
-    assert texts(r["after"]) == {"id": "1", "tenant_id": "acme", "email": "a@example.com"}
+    assert (r["op"], r["schema_name"], r["table_name"]) == ("c", "public", "boats")
+    assert texts(r["after"]) == {"id": "1", "port": "north", "name": "Anna"}
     assert r["before"] is None
     assert (r["lsn"], r["commit_lsn"], r["ts_ms"]) == (102, 500, 946684800000)
 
 
 def test_update(decoded):
     r = decoded[0][103]
-    assert (r["op"], texts(r["after"])["email"], r["before"]) == ("u", "new@example.com", None)
+    assert (r["op"], texts(r["after"])["name"], r["before"]) == ("u", "Berta", None)
 
 
 def test_delete(decoded):
@@ -80,7 +106,7 @@ def test_delete(decoded):
 
 
 def test_null_column(decoded):
-    assert texts(decoded[0][105]["after"])["email"] is None
+    assert texts(decoded[0][105]["after"])["name"] is None
 
 
 def test_unknown_relation(decoded):
@@ -93,12 +119,12 @@ def test_empty_message(decoded):
 
 
 def test_relation_is_reused(decoded):
-    assert decoded[0][102]["table_name"] == decoded[0][103]["table_name"] == "customers"
+    assert decoded[0][102]["table_name"] == decoded[0][103]["table_name"] == "boats"
 
 
 def test_update_with_old_row(decoded):
     r = decoded[0][108]
-    assert (texts(r["before"])["email"], texts(r["after"])["email"]) == ("a", "b")
+    assert (texts(r["before"])["name"], texts(r["after"])["name"]) == ("a", "b")
 
 
 def test_update_with_old_key(decoded):
@@ -107,13 +133,13 @@ def test_update_with_old_key(decoded):
 
 
 def test_unchanged_value_keeps_its_kind(decoded):
-    email = decoded[0][110]["after"][2]
-    assert (email["kind"], email["text"]) == ("u", None)
+    name = decoded[0][110]["after"][2]
+    assert (name["kind"], name["text"]) == ("u", None)
 
 
 def test_binary_value(decoded):
-    email = decoded[0][111]["after"][2]
-    assert (email["kind"], bytes(email["bin"]), email["text"]) == ("b", b"\x00\xff", None)
+    name = decoded[0][111]["after"][2]
+    assert (name["kind"], bytes(name["bin"]), name["text"]) == ("b", b"\x00\xff", None)
 
 
 def test_surplus_value_is_named_by_its_index(decoded):
@@ -129,7 +155,7 @@ def test_delete_without_old_row_is_kept(decoded):
 
 
 def test_delete_with_full_row(decoded):
-    assert texts(decoded[0][115]["before"])["email"] == "e"
+    assert texts(decoded[0][115]["before"])["name"] == "e"
 
 
 def test_other_kind_takes_one_byte_and_gives_no_column(decoded):
@@ -150,7 +176,7 @@ def test_control_messages_do_nothing(decoded):
 
 def test_every_cut_is_a_dead_letter(spark):
     """Each prefix of a message with both images is refused, whatever it ends in."""
-    whole = m.update(1, ["10", "acme", "bb"], old=["9", None, "aa"])
+    whole = m.update(1, ["10", "north", "bb"], old=["9", None, "aa"])
     cuts = [whole[:n] for n in range(1, len(whole))]
     changes, dead = decode(spark, primed(*cuts, whole))
     assert len(changes) == 1 and changes[0]["seq"] == 102 + len(cuts)
@@ -182,13 +208,13 @@ def test_huge_lengths_do_not_raise(spark):
 
 
 def test_relation_can_change(spark):
-    wider = m.relation(1, "customers", [*COLUMNS, ("age", 23, False)])
+    wider = m.relation(1, "boats", [*COLUMNS, ("age", 23, False)])
     changes, _ = decode(
         spark, primed(m.insert(1, ["1", "a", "b"]), wider, m.insert(1, ["1", "a", "b", "7"]))
     )
     assert [sorted(texts(c["after"])) for c in changes] == [
-        ["email", "id", "tenant_id"],
-        ["age", "email", "id", "tenant_id"],
+        ["id", "name", "port"],
+        ["age", "id", "name", "port"],
     ]
 
 
@@ -210,7 +236,7 @@ def test_context_of_an_earlier_batch(spark):
     later = raw_of(spark, [m.insert(1, ["2", "a", "b"])], first=900_000)
     out = D.decode_wal(later, first.relations, first.transactions)
     (row,) = out.changes.collect()
-    assert (row["commit_lsn"], row["table_name"]) == (500, "customers")
+    assert (row["commit_lsn"], row["table_name"]) == (500, "boats")
 
 
 @pytest.fixture(scope="module")
