@@ -37,6 +37,7 @@ BROADCAST_BYTES = 64 << 20
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 100_000
 FOLD_DELTAS = 32  # so many folders of changes of one level become one of the next
+HISTORY_DAY = "_CDC_DAY"  # folder of a history row below its batch
 DELTA_SHARE = 0.25  # compaction is due when the changes reach this share of the base
 
 _FOLD_DDL = (
@@ -145,9 +146,14 @@ class TableStore:
         last = F.create_map(*[F.lit(x) for w, b in writers.items() for x in (w, int(b))])
         return rows.filter(F.col("batch_id") <= F.try_element_at(last, F.col("writer"))).drop("writer")
 
-    def history(self, source: str) -> DataFrame:
+    def history(self, source: str, low: str | None = None, high: str | None = None) -> DataFrame:
+        """Every event, if wanted those committed from day `low` to day `high`: other days' folders are
+        not read."""
         spec = self.specs[source]
-        return self._committed(spec.history, spec.history_ddl()).drop("batch_id")
+        rows = self._committed(spec.history, f"{spec.history_ddl()}, {HISTORY_DAY} date")
+        for day, inside in ((low, F.col(HISTORY_DAY) >= F.lit(low).cast("date")), (high, F.col(HISTORY_DAY) <= F.lit(high).cast("date"))):
+            rows = rows.filter(inside) if day else rows
+        return rows.drop("batch_id", HISTORY_DAY)
 
     def dead(self) -> DataFrame:
         return self._committed("_dead", DEAD_DDL)
@@ -209,13 +215,22 @@ class TableStore:
             delta = write_counted(stamped, path, self.specs[source].pk_targets)
             return name, delta | {"n": head["n"] + 1}
 
-        def write_rows(folder: str, rows: DataFrame, sort: str | None = None) -> None:
-            rows = rows.sortWithinPartitions(sort) if sort else rows
-            rows.write.mode("overwrite").parquet(f"{self.root}/{folder}/{part}")
+        def write_rows(folder: str, rows: DataFrame) -> None:
+            path, seen = f"{self.root}/{folder}/{part}", Observation()
+            rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+            if not seen.get["rows"]:
+                files.remove(self.spark, path)
+
+        def write_history(source: str, rows: DataFrame) -> None:
+            spec = self.specs[source]
+            # A folder per day of commit; parts of it are sized by bytes, sorted by the clustering columns.
+            rows = rows.withColumn(HISTORY_DAY, F.col("_CDC_TS").cast("date")).hint("rebalance", HISTORY_DAY)
+            rows = rows.sortWithinPartitions(HISTORY_DAY, *[spec.targets[c] for c in spec.cluster_by], "_CDC_TS")
+            path = f"{self.root}/{spec.history}/{part}"
+            rows.write.mode("overwrite").partitionBy(HISTORY_DAY).parquet(path)
 
-        history = {self.specs[t].history: rows for t, rows in (history or {}).items()}
         deltas = [partial(write_change, t, rows) for t, rows in changes.items()]
-        others = [partial(write_rows, t, rows, "_CDC_TS") for t, rows in history.items()]
+        others = [partial(write_history, t, rows) for t, rows in (history or {}).items()]
         later = {name: rows for name, rows in (extra or {}).items() if callable(rows)}
         now = {name: rows for name, rows in (extra or {}).items() if name not in later}
         others += [partial(write_rows, name, rows) for name, rows in now.items()]

@@ -89,6 +89,27 @@ def history_rows(spark, ids):
     )
 
 
+def test_history_lies_in_days(spark, store):
+    """A filter on days reads their folders alone, and many tasks of a batch leave few files."""
+    days = history_rows(spark, range(400)).withColumn("_CDC_TS", F.expr("timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, int(ID % 4))"))
+    store.commit("w", 0, {}, {"t": days.repartition(40)})
+    folder = f"{store.root}/T_HISTORY/writer=w/batch_id=0"
+    assert [n for n in files.children(spark, folder) if n.startswith("_CDC_DAY")] == [f"_CDC_DAY=2024-01-0{d}" for d in range(1, 5)]
+    assert len(files.children(spark, f"{folder}/_CDC_DAY=2024-01-02")) <= 8
+    assert store.history("t").count() == 400 and store.history("t").columns[-1] == "_LOADED_AT"
+    some = store.history("t", "2024-01-02", "2024-01-03")
+    assert some.count() == 200
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_CDC_DAY" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_nothing_is_written_for_nothing(spark, store):
+    none = spark.createDataFrame([], "metric string, table_name string, op string, value double, at timestamp_ntz")
+    store.commit("w", 0, {}, {"t": history_rows(spark, [])}, extra={"_metrics": none})
+    assert files.children(spark, f"{store.root}/_metrics/writer=w") == []
+    assert store.metrics().count() == 0 and store.history("t").count() == 0
+
+
 def test_compaction_keeps_the_state(spark, store):
     store.commit("w", 0, {"t": upserts(spark, [(i, f"v{i}") for i in range(100)])})
     store.compact("t", bucket_rows=30)
