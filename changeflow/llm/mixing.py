@@ -21,7 +21,7 @@ BLOCK = 128
 SHARD_SLOTS = 4096
 #: Rounds of the permutation, and slots made by one row.
 ROUNDS = 24
-CHUNK = 65_536
+CHUNK = 16_384
 
 
 @dataclass
@@ -112,7 +112,8 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = 7, keep: list[str] | No
     from_ = F.greatest(F.col("block") * block - F.col("_first"), F.lit(0))
     upto = F.least((F.col("block") + 1) * block, last + 1) - F.col("_first")
     pieces = pieces.select("_row", "key", "block", from_.alias("from"), (upto - from_).alias("words"))
-    pieces = pieces.join(times, ["key", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    # The planner takes the slots for as few as the rows they are made from, and would broadcast them.
+    pieces = pieces.join(times.hint("merge"), ["key", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
     return Mix(rows, slots, pieces)
 
 
@@ -123,7 +124,9 @@ def _slots(facts: DataFrame, seed: int) -> DataFrame:
     chunks = facts.withColumn("_shards", F.ceil(total / SHARD_SLOTS)).filter("_slots > 0")
     chunks = chunks.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_slots - 1) div {CHUNK}"))))
     end = F.least((F.col("_chunk") + 1) * CHUNK, F.col("_slots")) - 1
-    slots = chunks.repartition("key", "_chunk").withColumn("slot", F.explode(F.sequence(F.col("_chunk") * CHUNK, end)))
+    # A given number of parts is kept as it is: the few small rows would else be made into slots by one task.
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = chunks.repartition(parts, "key", "_chunk").withColumn("slot", F.explode(F.sequence(F.col("_chunk") * CHUNK, end)))
     epoch = F.expr("slot div _blocks")
     source_seed = F.xxhash64(F.lit(seed), F.col("key"), epoch)
     return slots.select(
