@@ -4,10 +4,13 @@ Jaccard similarity of the texts. Signatures are cut into bands, texts that agree
 candidates, and candidates are verified by the exact similarity of their shingles.
 
 Equal texts are one node. In a bucket nobody is paired with everybody: members are first held
-against the member that meets most others, then against one chosen by hash, and what those links
-join is one component. Only members of a bucket that are still in different components are then
-compared pair by pair, so no link between two components is lost while copies of one text cost a
-comparison each.
+against the member that meets most others, and what those links join is one component. Members of
+a bucket that are still in different components are looked at through the shingles that no other of
+them has: with shares a and b of such shingles two texts are at most (1-a)(1-b)/(1-ab) similar. The
+other shingles are counted by group of their hash: two texts have no more in common than the
+smaller counts add up to. Most pairs are settled by these numbers. What is left is held against the
+member with the fewest of its own, and then compared pair by pair: no link between two components
+is lost, while edited copies of one text that are not linked need not be compared.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from changeflow.session import scratch_path, settle
 
 SHINGLE, THRESHOLD = 5, 0.8
 COMPONENTS, BANDS = 80, 20
+#: Groups by which shingles are counted.
+GROUPS = 64
 _STEP, _SLOT = np.uint64(0xD1B54A32D192ED03), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -157,24 +162,22 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAND
     texts = joined(named.select("node", "text"), nodes, ["node"], "left_semi").dropDuplicates(["node"])
     texts = settle(texts, scratch_path(spark, "texts"))
 
-    links, roots = None, None
-    for turn in (0, 1, None):
-        here = members if roots is None else _open(members.join(roots, "node", "left"))
-        if turn is None:
-            pairs = _across(here)
-        else:
-            rank = F.struct(-F.col("meets"), "node") if turn == 0 else F.struct(F.xxhash64("node", "bucket"), "node")
-            best = here.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node", *[c for c in ("root",) if c in here.columns])).alias("head"))
-            pairs = here.join(best, "bucket").filter(F.col("node") != F.col("head.node"))
-            if "root" in here.columns:
-                pairs = pairs.filter(F.col("root") != F.col("head.root"))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("head.node").alias("b"))
-        pairs, n, _ = measured(pairs.distinct(), "pairs")
-        if not n:
+    best = members.groupBy("bucket").agg(F.min(F.struct(-F.col("meets"), "node")).alias("head"))
+    links, roots = _linked(_to_head(members, best), None, texts, threshold)
+    for last in (False, True) if roots is not None else ():
+        here = _open(members if not last else here.drop("root"), roots)
+        if here.isEmpty():
             break
-        found = settle(_verified(pairs, texts, threshold), scratch_path(spark, "verified"))
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+        if not last:
+            own = texts.join(here.select("node").distinct(), "node", "left_semi")
+            facts = settle(_facts(own), scratch_path(spark, "facts"))
+            here = here.join(facts, "node").filter(F.col("own") <= 1 - threshold + 1e-9)
+            here = _open(here.drop("root"), roots)
+            best = here.groupBy("bucket").agg(F.min(F.struct("own", "node", "root", "plain", "size", "shared")).alias("head"))
+            pairs = _to_head(here, best, threshold)
+        else:
+            pairs = _across(here, threshold)
+        links, roots = _linked(pairs, links, texts, threshold)
     ids = named.select("doc_id", "node")
     reps = ids.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     if roots is None:
@@ -189,23 +192,100 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAND
     return ids.join(classes, "node").select("doc_id", "node", "class_of", "class_id", "class_rows", "class_texts")
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """Members of the buckets that lie in several components."""
-    rows = members.withColumn("root", F.coalesce("root", "node"))
+def _to_head(members: DataFrame, heads: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Each member of a bucket with its head; with a threshold only those it may be linked to."""
+    rows = members.join(heads, "bucket").filter(F.col("node") != F.col("head.node"))
+    if threshold is not None:
+        rows = rows.filter((F.col("root") != F.col("head.root")) & _may_link("", "head.", threshold))
+    return rows.select(F.col("node").alias("a"), F.col("head.node").alias("b"))
+
+
+def _may_link(a: str, b: str, threshold: float) -> Column:
+    """Whether the facts of two texts, under two prefixes of their columns, leave them room to be similar.
+    Counts bound the similarity where no shingle occurs twice in its text."""
+    own_a, own_b = F.col(f"{a}own"), F.col(f"{b}own")
+    by_own = (1 - own_a) * (1 - own_b) >= (threshold - 1e-9) * (1 - own_a * own_b)
+    least = F.zip_with(f"{a}shared", f"{b}shared", lambda x, y: F.least(x, y))
+    common = F.aggregate(least, F.lit(0), lambda n, x: n + x)
+    whole = F.col(f"{a}size") + F.col(f"{b}size") - common
+    by_count = F.when(F.col(f"{a}plain") & F.col(f"{b}plain"), common >= (threshold - 1e-9) * whole).otherwise(True)
+    return by_own & by_count
+
+
+def _linked(pairs: DataFrame, links: DataFrame | None, texts: DataFrame, threshold: float):
+    """All links with those among the pairs, and the components they make."""
+    spark = pairs.sparkSession
+    pairs, n, _ = measured(pairs.distinct(), "pairs")
+    if n:
+        found = settle(_verified(pairs, texts, threshold), scratch_path(spark, "verified"))
+        links = found if links is None else links.unionByName(found)
+    return links, components(links) if links is not None else None
+
+
+def _facts(texts: DataFrame) -> DataFrame:
+    """Of each text: `own`, the share of its shingles, by weight, that no other of the texts has; `size`, its
+    different shingles; `plain`, whether none occurs twice; `shared`, by group, how many others have too."""
+
+    def sets(batch):
+        data, offsets = arrow.texts(batch.column(1), lower=True)
+        for low, high in arrow.groups(offsets):
+            yield low, high, *shingles(arrow.words(data, offsets[low : high + 1], arrow.LETTERS))
+
+    def each(batches):
+        for batch in batches:
+            for low, high, doc, element, weight in sets(batch):
+                total = np.bincount(doc, weight, minlength=high - low)
+                columns = [batch.column(0).take(pa.array(low + doc)), pa.array(arrow.signed(element)), pa.array(weight / total[doc])]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "element", "part"])
+
+    def counted(batches):
+        for batch in batches:
+            for low, high, doc, element, weight in sets(batch):
+                n = high - low
+                by_group = np.bincount(doc * GROUPS + (element % np.uint64(GROUPS)).astype(np.int64), minlength=n * GROUPS)
+                plain = np.bincount(doc, weight > 1, minlength=n) == 0
+                values = pa.array(by_group.astype(np.int32))
+                columns = [batch.column(0).slice(low, n), pa.array(plain), pa.array(np.bincount(doc, minlength=n).astype(np.int32)),
+                           arrow.as_lists(values, np.arange(0, n * GROUPS + 1, GROUPS))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "plain", "size", "every"])
+
+    rows = texts.select("node", "text")
+    once = rows.mapInArrow(each, "node binary, element long, part double").groupBy("element")
+    once = once.agg(F.count("*").alias("n"), F.min(F.struct("node", "part")).alias("of")).filter("n = 1")
+    group = F.pmod("element", F.lit(GROUPS)).cast("int")
+    own = once.groupBy("of.node", group.alias("g")).agg(F.sum("of.part").alias("part"), F.count("*").cast("int").alias("n"))
+    own = own.groupBy("node").agg(
+        F.sum("part").alias("own"), F.map_from_entries(F.collect_list(F.struct("g", "n"))).alias("own_by_group")
+    )
+    every = rows.mapInArrow(counted, "node binary, plain boolean, size int, every array<int>")
+    minus = lambda n, g: n - F.coalesce(F.try_element_at("own_by_group", g), F.lit(0))
+    return every.join(own, "node", "left").select(
+        "node", F.coalesce("own", F.lit(0.0)).alias("own"), "plain", "size", F.transform("every", minus).alias("shared")
+    )
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that lie in several components, with their `root`."""
+    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     return settle(rows.join(several.select("bucket"), "bucket", "left_semi"), scratch_path(members.sparkSession, "open"))
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components: of each bucket all but its largest component, against
-    all of it."""
+def _across(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a bucket in different components that may be linked: of each bucket all but its largest
+    component, against all of it. A pair is taken in the first bucket it shares."""
     sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"))
-    few = members.join(largest, "bucket").filter(F.col("root") != F.col("most.root"))
-    few = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    every = members.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    pairs = few.join(every, "bucket").filter("root_a <> root_b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    keys = members.groupBy("node").agg(F.collect_set("bucket").alias("keys"))
+    members = members.join(keys, "node").join(largest, "bucket").withColumn("few", F.col("root") != F.col("most.root"))
+    of = lambda s: members.select("bucket", "few", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "root", "keys", "own", "plain", "size", "shared")])
+    one, two = of("a").filter("few").withColumnRenamed("few", "a_few"), of("b").withColumnRenamed("few", "b_few")
+    # Of two members outside the largest component the pair would come twice.
+    once = (~F.col("b_few")) | (F.col("a_node") < F.col("b_node"))
+    first = F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("o.bucket")
+    meet = (F.col("o.bucket") == F.col("t.bucket")) & (F.col("a_root") != F.col("b_root")) & once
+    pairs = one.alias("o").join(two.alias("t"), meet & first & _may_link("a_", "b_", threshold))
+    return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
