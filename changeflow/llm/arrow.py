@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 import changeflow
 
 #: Bytes of text that are worked on at a time; one longer text is a group of its own.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 #: Words beyond this many bytes are hashed one by one.
 LONG_WORD = 256
 _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
@@ -100,12 +100,13 @@ def texts(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray
     """Bytes and offsets of a string column, if wanted in lower case; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
+    column = column.fill_null("") if column.null_count else column
     column = pc.utf8_lower(column) if lower else column
     _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    at = np.frombuffer(offsets, dtype=width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
