@@ -12,10 +12,12 @@ from changeflow.session import scratch_path, settle
 PART_BITS = 33
 
 
-def ordered(rows: DataFrame, keys: list[Column], label: str) -> DataFrame:
+def ordered(rows: DataFrame, keys: list[Column], label: str, parts: int | None = None) -> DataFrame:
     """`rows` written in the order of `keys`, with `_row` (grows with the order, unique) and `_part`
-    (the part of the order it lies in). Rows equal in all keys take any order among themselves."""
-    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    (the part of the order it lies in). Rows equal in all keys take any order among themselves.
+    There are as many parts as the bytes need, or the given number."""
+    dealt = rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)
+    dealt = dealt.sortWithinPartitions(*keys)
     kept = settle(dealt.withColumn("_row", F.monotonically_increasing_id()), scratch_path(rows.sparkSession, label))
     return kept.withColumn("_part", F.shiftright("_row", PART_BITS))
 

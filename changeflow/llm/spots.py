@@ -26,6 +26,8 @@ ANCHORS, CHAIN = 48, 2
 #: Where so many words hold no anchor, each word is one.
 QUIET = 8
 LEAST = -(1 << 63)
+#: Ranges of documents for each task that compares neighbours.
+RANGES = 4
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -150,7 +152,9 @@ def against_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     anchors = frequent_words(rows, ANCHORS)
     rows = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))).withColumn("t", F.xxhash64("text"))
     by = [F.desc("key"), F.desc("t")]
-    small = ordered(rows.select("key", "t"), by, "keys")
+    # Ranges are cut by the keys alone, but for the texts: several for each task that will read them.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = ordered(rows.select("key", "t"), by, "keys", RANGES * tasks)
     heads = small.groupBy("_part").agg(F.min_by(F.struct("key", "t"), "_row").alias("head")).collect()
     # Ranges begin at these keys; turned round, they rise.
     starts = sorted({(-1 - r["head"]["key"], -1 - r["head"]["t"]) for r in heads})
@@ -170,7 +174,7 @@ def against_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     dealt = rows.select("doc_id", "text", "key", "t").mapInArrow(
         deal, f"doc_id {kind}, text string, key long, t long, part int, ghost boolean"
     )
-    dealt = dealt.repartition(max(1, len(starts)), "part").sortWithinPartitions("part", "ghost", *by)
+    dealt = dealt.repartition(tasks, "part").sortWithinPartitions("part", "ghost", *by)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def compare(batches):
