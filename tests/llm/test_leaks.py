@@ -64,6 +64,32 @@ def test_against_every_alignment(spark):
     assert got[61, 50] == 1.0 and not any(k[1] in (51, 52, 53) for k in got)
 
 
+def edited():
+    """One copy of an item each, with every n-th word replaced or a word put in after every n-th."""
+    out = []
+    for k, (kind, n) in enumerate((kind, n) for kind in ("replaced", "more") for n in (2, 3, 4, 5)):
+        words = prose(900 + k, 40).split()
+        if kind == "replaced":
+            words = [f"new{i}" if i % n == n - 1 else w for i, w in enumerate(words)]
+        else:
+            words = [x for i, w in enumerate(words) for x in ([w, f"new{i}"] if i % n == n - 1 else [w])]
+        out.append((k, f"{prose(950 + k, 70)} {' '.join(words)} {prose(970 + k, 90)}", "en", "a", None))
+    return out
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_copies_with_no_long_run_unedited(spark, monkeypatch, sent):
+    """Each is the only copy, so what an edit broke is rarer than what it left."""
+    if not sent:
+        monkeypatch.setattr(leaks, "BROADCAST_ROWS", 0)
+    rows = [(k, prose(900 + k, 40)) for k in range(8)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in leaks.leaks(documents(spark, edited()), bench).collect()}
+    wanted = {(i, j): best_alignment(words_of(item), words_of(text)) for i, text, *_ in edited() for j, item in rows}
+    wanted = {k: v for k, v in wanted.items() if v >= leaks.THRESHOLD}
+    assert got == pytest.approx(wanted) and {(k, k) for k in (2, 3, 4, 5, 6, 7)} <= set(got)
+
+
 def test_align_cell_by_cell():
     rng = np.random.default_rng(0)
     items_, passages = rng.integers(2, 8, (60, 12)), rng.integers(2, 8, (60, 40))
