@@ -1,15 +1,15 @@
 """Cross-entropy difference: how much better a model of the target texts foretells a text, word by
 word, than a model of all texts.
 
-Both are class bigram models over one vocabulary: the most frequent words, each a class of its own,
-and a fixed number of places for all other words, which share classes. A word costs its class after
-the class before it, and its place in the class. The models are matched: same vocabulary, same
-smoothing, and the counts of all texts are scaled to as many words as the target has, so that smoothing
-weighs alike in both. A text is never foretold from itself: its own counts are taken out of a model
-that has them.
-
-Every word of every text is counted in tasks and summed in an aggregation by place. The tables that
-are handed out have the size of the vocabulary, whatever the size of the corpus.
+Both are bigram models over all words of the corpus. A word costs its share of what follows the word
+before it, smoothed by its share of all words, which is smoothed by an even share. The models are
+matched: same vocabulary, same smoothing, and the counts of all texts are scaled to as many words as the
+target has, so that smoothing weighs alike in both. A text is never foretold from itself: its own counts
+are taken out of a model that has them.
+
+The counts of both models are one table with a row for each pair of words, which grows with the corpus.
+Tasks hold the most frequent pairs and look them up themselves; the others are looked up by a join of
+each text's distinct pairs with the table.
 """
 
 from __future__ import annotations
@@ -18,86 +18,79 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm import arrow
 from changeflow.llm.frequent import FLUSH, frequent_words
-from changeflow.llm.lists import joined, measured
+from changeflow.llm.lists import BROADCAST_BYTES, BROADCAST_ROWS, joined, measured
 from changeflow.session import scratch_path, settle
 
-#: Frequent words; classes and places of the other words.
-FREQUENT, SHARED, OTHER = 1536, 512, 1 << 17
-CLASSES = FREQUENT + SHARED
+#: Words that joins by word deal out over SALTS tasks; pairs that tasks hold at most.
+FREQUENT, SALTS, HELD = 1536, 16, 1 << 19
+#: The even share of a word is one of as many words as there are, or of so many.
+CLASSES = 2048
 #: Words of the smoother model that are mixed into each count.
-SMOOTH_PAIR, SMOOTH_CLASS, SMOOTH_PLACE = 20.0, 2048.0, 256.0
-
-def places(words: arrow.Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place and class of each word, and the class before it, -1 at the start of a text. `frequent`:
-    sorted hashes."""
-    shared = (words.hashes >> np.uint64(20)).astype(np.int64) & (OTHER - 1)
-    place, kind = FREQUENT + shared, FREQUENT + (shared & (SHARED - 1))
-    if len(frequent) and len(place):
-        at = np.searchsorted(frequent, words.hashes).clip(max=len(frequent) - 1)
-        own = frequent[at] == words.hashes
-        place, kind = np.where(own, at, place), np.where(own, at, kind)
-    before = np.concatenate((kind[:1], kind[:-1]))
+SMOOTH_PAIR, SMOOTH_CLASS = 20.0, 2048.0
+COUNTS = ("n0", "n1", "w0", "w1", "v0", "v1")
+_M = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _pair(before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return arrow.mix(arrow.mix(before + _M) * _M + hashes)
+
+
+def _before(words: arrow.Words) -> np.ndarray:
+    """Hash of the word before each word, 0 at the start of a text."""
+    out = np.concatenate((np.zeros(1, np.uint64), words.hashes[:-1]))[: len(words.hashes)]
     first = words.first[:-1]
-    before[first[first < len(kind)]] = -1
-    return place, kind, before
+    out[first[first < len(out)]] = 0
+    return out
 
 
-def _occurrences(doc: np.ndarray, key: np.ndarray, size: int) -> np.ndarray:
+def _occurrences(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
     """How often each row's key occurs in its text."""
-    _, at, n = np.unique(doc * size + key, return_inverse=True, return_counts=True)
+    _, at, n = np.unique(_pair(doc.astype(np.uint64), key), return_inverse=True, return_counts=True)
     return n[at]
 
 
+def _loss(log, scale, has, after, total, length, n_word, own_word, n_before, own_before, n_pair, own_pair, types):
+    """Negative log probability, of arrays or of columns; `has` and `after` are 0 or 1."""
+    p = (scale * (n_word - has * own_word) + SMOOTH_CLASS / types) / (scale * (total - has * length) + SMOOTH_CLASS)
+    pairs, firsts = after * scale * (n_pair - has * own_pair), after * scale * (n_before - has * own_before)
+    return -log((pairs + SMOOTH_PAIR * p) / (firsts + SMOOTH_PAIR))
+
+
 @dataclass
-class Counts:
-    """Of one model: words by place and by class, pairs of classes, classes that are followed."""
+class Held:
+    """Sizes of the models, and the pairs that tasks hold, sorted by `key`: `v` (0 at the start of a
+    text), `w`, and for all texts and the target the pair, the word, and what follows the word before."""
+
+    totals: tuple[float, float]
+    types: float
+    key: np.ndarray
+    v: np.ndarray
+    w: np.ndarray
+    counts: dict[str, np.ndarray]
+
+    def scales(self) -> tuple[float, float]:
+        return self.totals[1] / max(1.0, self.totals[0]), 1.0
 
-    place: np.ndarray
-    kind: np.ndarray
-    pair: np.ndarray
-    first: np.ndarray
-    total: float
+    def find(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Place of each pair, -1 for those not held."""
+        if not len(self.key):
+            return np.full(len(v), -1)
+        at = np.searchsorted(self.key, _pair(v, w)).clip(max=len(self.key) - 1)
+        return np.where((self.v[at] == v) & (self.w[at] == w), at, -1)
 
 
 @dataclass
 class Models:
     frequent: np.ndarray
-    every: Counts
-    target: Counts
-
-    def losses(self, words: arrow.Words, in_target: np.ndarray) -> np.ndarray:
-        """Negative log probability of each word, by the model of all texts and by that of the target;
-        `in_target` tells which texts the target was counted from."""
-        place, kind, before = places(words, self.frequent)
-        doc = words.doc()
-        pair, after = np.maximum(before, 0) * CLASSES + kind, before >= 0
-        own = {
-            "place": _occurrences(doc, place, FREQUENT + OTHER),
-            "kind": _occurrences(doc, kind, CLASSES),
-            "pair": _occurrences(doc, np.where(after, pair, CLASSES * CLASSES), CLASSES * CLASSES + 1),
-            "first": _occurrences(doc, before + 1, CLASSES + 1),
-        }
-        length = np.diff(words.first)[doc]
-        out = []
-        for counts, scale, has in (
-            (self.every, self.target.total / max(1.0, self.every.total), np.ones(len(doc), bool)),
-            (self.target, 1.0, in_target[doc]),
-        ):
-            less = {k: np.where(has, v, 0) for k, v in own.items()}
-            total = scale * (counts.total - np.where(has, length, 0))
-            kinds = scale * (counts.kind[kind] - less["kind"])
-            p = (kinds + SMOOTH_CLASS / CLASSES) / (total + SMOOTH_CLASS)
-            pairs = np.where(after, scale * (counts.pair[pair] - less["pair"]), 0)
-            firsts = np.where(after, scale * (counts.first[before] - less["first"]), 0)
-            p = (pairs + SMOOTH_PAIR * p) / (firsts + SMOOTH_PAIR)
-            other = (scale * (counts.place[place] - less["place"]) + SMOOTH_PLACE * SHARED / OTHER) / (kinds + SMOOTH_PLACE)
-            out.append(-np.log(p) - np.where(kind < FREQUENT, 0, np.log(other)))
-        return np.stack(out)
+    held: Held
+    rest: DataFrame
 
 
 def _texts(data: np.ndarray, offsets: np.ndarray):
@@ -105,38 +98,33 @@ def _texts(data: np.ndarray, offsets: np.ndarray):
         yield low, high, arrow.words(data, offsets[low : high + 1], arrow.LETTERS)
 
 
-def _counts(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """`model` (0 all texts, 1 target), `key` (a place, or after the places a pair of classes), `n`."""
+def _counts(docs: DataFrame) -> DataFrame:
+    """Each pair of words `v`, `w`, with its number in all texts, `n0`, and in the target, `n1`."""
 
     def find(batches):
-        held: list[list[np.ndarray]] = [[], []]
+        held: list[tuple[np.ndarray, ...]] = []
         waiting = 0
 
         def flush():
-            for model in (0, 1):
-                if held[model]:
-                    key, n = np.unique(np.concatenate(held[model]), return_counts=True)
-                    columns = [np.full(len(key), model, np.int8), key.astype(np.int32), n]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["model", "key", "n"])
-                held[model].clear()
+            v, w, own = (np.concatenate(x) for x in zip(*held))
+            _, at, inverse, n = np.unique(_pair(v, w), return_index=True, return_inverse=True, return_counts=True)
+            columns = [arrow.signed(v[at]), arrow.signed(w[at]), n, np.bincount(inverse, own, len(at)).astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["v", "w", "n0", "n1"])
 
         for batch in batches:
             data, offsets = arrow.texts(batch.column(0), lower=True)
             target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for low, _, words in _texts(data, offsets):
-                place, kind, before = places(words, frequent)
-                pair = FREQUENT + OTHER + before * CLASSES + kind
-                own = target[low + words.doc()]
-                for model, mask in ((0, np.ones(len(place), bool)), (1, own)):
-                    held[model] += [place[mask], pair[mask & (before >= 0)]]
-                waiting += 2 * len(place)
+                held.append((_before(words), words.hashes, target[low + words.doc()]))
+                waiting += len(words.hashes)
                 if waiting > FLUSH:
-                    yield from flush()
-                    waiting = 0
-        yield from flush()
+                    yield flush()
+                    held, waiting = [], 0
+        if held:
+            yield flush()
 
-    rows = docs.select("text", "target").mapInArrow(find, "model byte, key int, n long")
-    return rows.groupBy("model", "key").agg(F.sum("n").alias("n"))
+    rows = docs.select("text", "target").mapInArrow(find, "v long, w long, n0 long, n1 long")
+    return rows.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _with_target(docs: DataFrame, chosen: tuple[DataFrame, int, int], **columns) -> DataFrame:
@@ -144,25 +132,49 @@ def _with_target(docs: DataFrame, chosen: tuple[DataFrame, int, int], **columns)
     return joined(rows, chosen, ["_id"], "left").withColumn("target", F.coalesce("_in", F.lit(False)))
 
 
-def fit(docs: DataFrame, chosen: tuple[DataFrame, int, int]) -> Models:
-    """Models of all of `docs` and of the rows among `chosen` (see `target_ids`). Every row and word is
-    counted; the driver is sent a count for each frequent word, place and pair of classes at most."""
-    arrow.ship(docs.sparkSession)
-    frequent = frequent_words(docs, FREQUENT)
-    counts = _counts(_with_target(docs, chosen, text="text"), frequent)
-    found = settle(counts, scratch_path(docs.sparkSession, "counts")).toArrow()
-    model, key, n = (found.column(c).to_numpy() for c in ("model", "key", "n"))
-    return Models(frequent, *[_tables(key[model == m], n[model == m]) for m in (0, 1)])
+def _by_word(pairs: DataFrame, words: tuple[DataFrame, int, int], on: str, hot: DataFrame) -> DataFrame:
+    """Counts of a word joined to its pairs; beyond a broadcast, the pairs of a frequent word are dealt out."""
+    rows, n, size = words
+    if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        return joined(pairs, words, [on], "left")
+    mark = F.broadcast(hot.withColumnRenamed("word", on).withColumn("_hot", F.lit(True)))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    rows = rows.join(mark, on, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("v", "w"), F.lit(SALTS)).cast("int")).otherwise(0)
+    pairs = pairs.join(mark, on, "left").withColumn("_salt", salt).drop("_hot")
+    return pairs.join(rows, [on, "_salt"], "left").drop("_salt")
 
 
-def _tables(key: np.ndarray, n: np.ndarray) -> Counts:
-    flat = np.zeros(FREQUENT + OTHER + CLASSES * CLASSES, np.float32)
-    flat[key] = n
-    place, pair = flat[: FREQUENT + OTHER], flat[FREQUENT + OTHER :]
-    shared = place[FREQUENT:].astype(np.float64).reshape(-1, SHARED).sum(axis=0)
-    first = pair.reshape(CLASSES, CLASSES).sum(axis=1, dtype=np.float64)
-    kind = np.concatenate((place[:FREQUENT], shared))
-    return Counts(place, kind, pair, first, float(kind.sum()))
+def fit(docs: DataFrame, chosen: tuple[DataFrame, int, int]) -> Models:
+    """Models of all of `docs` and of the rows among `chosen` (see `target_ids`). Every row, word and pair
+    is counted by itself; the driver is sent the FREQUENT words and HELD pairs at most."""
+    spark = docs.sparkSession
+    arrow.ship(spark)
+    frequent = frequent_words(docs, FREQUENT)
+    pairs = settle(_counts(_with_target(docs, chosen, text="text")), scratch_path(spark, "pairs"))
+    total = lambda c: [F.sum(f"n{m}").alias(f"{c}{m}") for m in (0, 1)]
+    words = measured(pairs.groupBy("w").agg(*total("w")), "words", "24")
+    before = measured(pairs.filter("v != 0").groupBy("v").agg(*total("v")), "before", "24")
+    totals = words[0].agg(F.sum("w0"), F.sum("w1")).first()
+    hot = spark.createDataFrame([(int(x),) for x in arrow.signed(frequent)], "word long")
+    table = _by_word(_by_word(pairs, words, "w", hot), before, "v", hot).fillna(0, ["v0", "v1"])
+    # The least count of a held pair, to an eighth of a power of two.
+    steps = pairs.groupBy(F.floor(8 * F.log2("n0")).alias("step")).agg(F.count("*").alias("n")).collect()
+    least, room = None, HELD
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["step"]
+    is_held = F.floor(8 * F.log2("n0")) >= least if least is not None else F.lit(False)
+    table = settle(table, scratch_path(spark, "table"))
+    rows = table.filter(is_held).toArrow()
+    v, w = (rows.column(c).to_numpy().view(np.uint64) for c in ("v", "w"))
+    key = _pair(v, w)
+    order = np.argsort(key)
+    counts = {c: rows.column(c).to_numpy()[order].astype(np.float64) for c in COUNTS}
+    held = Held((float(totals[0] or 0), float(totals[1] or 0)), float(max(CLASSES, words[1])), key[order], v[order], w[order], counts)
+    return Models(frequent, held, table.filter(~is_held))
 
 
 def target_ids(rows: DataFrame) -> tuple[DataFrame, int, int]:
@@ -171,6 +183,25 @@ def target_ids(rows: DataFrame) -> tuple[DataFrame, int, int]:
     return measured(ids.withColumn("_in", F.lit(True)), "target")
 
 
+def _looked_up(held: Held, words: arrow.Words, target: np.ndarray):
+    """Summed losses of each text's pairs that are held, and the others: text, `v`, `w`, and how often the
+    pair, the word and the word before with a word after it are in the text."""
+    doc, v, w = words.doc(), _before(words), words.hashes
+    _, at, n = np.unique(_pair(doc.astype(np.uint64), _pair(v, w)), return_index=True, return_counts=True)
+    own_word, own_before = _occurrences(doc, w)[at], _occurrences(doc, v)[at]
+    doc, v, w = doc[at], v[at], w[at]
+    place = held.find(v, w)
+    known, left = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+    c = {k: x[place[known]] for k, x in held.counts.items()}
+    length, after = np.diff(words.first)[doc[known]], v[known] != 0
+    sums = []
+    for m, scale, has in zip((0, 1), held.scales(), (1, target[doc[known]].astype(int))):
+        loss = _loss(np.log, scale, has, after.astype(int), held.totals[m], length, c[f"w{m}"], own_word[known],
+                     c[f"v{m}"], own_before[known], c[f"n{m}"], n[known], held.types)
+        sums.append(np.bincount(doc[known], n[known] * loss, minlength=len(target)))
+    return sums, [x[left] for x in (doc, v, w, n, own_word, own_before)]
+
+
 def score(docs: DataFrame, models: Models, chosen: tuple[DataFrame, int, int]) -> DataFrame:
     """Per row: `doc_id`, `n_words`, `target_loss` and `background_loss` (nats a word) and `difference`,
     target less background: below zero the text is more like the target.
@@ -183,25 +214,38 @@ def score(docs: DataFrame, models: Models, chosen: tuple[DataFrame, int, int]) -
     arrow.ship(spark)
     kind = dict(docs.dtypes)["doc_id"]
     rows = _with_target(docs, chosen, doc_id="doc_id", text="text").select("doc_id", "text", "target")
-    sent = spark.sparkContext.broadcast(models)
+    held = models.held
+    sent = spark.sparkContext.broadcast(held)
 
     def run(batches):
-        models = sent.value
+        held = sent.value
+        row = TaskContext.get().partitionId() << 40
+        names = ["row", "doc_id", "n_words", "target", "s0", "s1", "v", "w", "n", "own_word", "own_before"]
         for batch in batches:
             data, offsets = arrow.texts(batch.column(1), lower=True)
             target = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            sums = np.zeros((2, len(batch)))
-            n = np.zeros(len(batch), dtype=np.int64)
             for low, high, words in _texts(data, offsets):
-                n[low:high] = np.diff(words.first)
-                for k, loss in enumerate(models.losses(words, target[low:high])):
-                    sums[k, low:high] = np.bincount(words.doc(), loss, minlength=high - low)
-            none = n == 0
-            mean = sums / np.maximum(n, 1)
-            values = [mean[1], mean[0], mean[1] - mean[0]]
-            columns = [batch.column(0), pa.array(n), *[pa.array(v, mask=none) for v in values]]
-            names = ["doc_id", "n_words", "target_loss", "background_loss", "difference"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    ddl = f"doc_id {kind}, n_words long, target_loss double, background_loss double, difference double"
-    return rows.mapInArrow(run, ddl)
+                sums, (doc, v, w, n, own_word, own_before) = _looked_up(held, words, target[low:high])
+                size, k = np.diff(words.first), high - low
+                # A row for the text itself, of a pair that is nowhere, and one for each pair not held.
+                ids = row + low + np.arange(k)
+                zeros = np.zeros(k, np.int64)
+                head = [ids, batch.column(0).slice(low, k), size, target[low:high], *sums, ids, zeros, zeros, zeros, zeros]
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in head], names)
+                none = np.zeros(len(doc))
+                left = [ids[doc], pa.nulls(len(doc), batch.column(0).type), size[doc], target[low:high][doc], none, none,
+                        arrow.signed(v), arrow.signed(w), n, own_word, own_before]
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in left], names)
+            row += len(batch)
+
+    ddl = (f"row long, doc_id {kind}, n_words long, target boolean, s0 double, s1 double, v long, w long, "
+           "n long, own_word long, own_before long")
+    found = rows.mapInArrow(run, ddl).join(models.rest, ["v", "w"], "left")
+    sums = []
+    for m, scale, has in zip((0, 1), held.scales(), (F.lit(1), F.col("target").cast("int"))):
+        loss = _loss(F.log, scale, has, (F.col("v") != 0).cast("int"), held.totals[m], F.col("n_words"), F.col(f"w{m}"),
+                     F.col("own_word"), F.col(f"v{m}"), F.col("own_before"), F.col(f"n{m}"), F.col("n"), held.types)
+        sums.append(F.sum(F.col(f"s{m}") + F.when(F.col("n") > 0, F.col("n") * loss).otherwise(0.0)).alias(f"s{m}"))
+    found = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *sums)
+    mean = [F.when(F.col("n_words") > 0, F.col(f"s{m}") / F.col("n_words")) for m in (0, 1)]
+    return found.select("doc_id", "n_words", mean[1].alias("target_loss"), mean[0].alias("background_loss"), (mean[1] - mean[0]).alias("difference"))

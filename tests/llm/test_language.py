@@ -79,3 +79,31 @@ def test_awkward_rows(spark):
     none = language.target_ids(docs.limit(0))
     assert language.score(docs, language.fit(docs, none), none).filter("difference is not null").count() > 0
     assert language.score(empty(spark), language.fit(empty(spark), none), none).count() == 0
+
+
+def test_rare_words_have_counts_of_their_own(spark, monkeypatch):
+    """Far more words than places there used to be, most pairs looked up by the join: losses are those of
+    every word and pair counted by itself."""
+    monkeypatch.setattr(language, "HELD", 50)
+    monkeypatch.setattr(language, "BROADCAST_ROWS", 0)
+    rng = random.Random(4)
+    texts = {i: [f"w{rng.randrange(6000)}" if rng.random() < 0.8 else "the" for _ in range(900)] for i in range(20)}
+    docs = documents(spark, [(i, " ".join(t), "en", "a", None) for i, t in texts.items()])
+    target = set(range(0, 20, 2))
+    chosen = language.target_ids(docs.filter(docs.doc_id.isin(*target)))
+    got = {r.doc_id: r for r in language.score(docs, language.fit(docs, chosen), chosen).collect()}
+    assert len(got) == 20
+    types = len({w for t in texts.values() for w in t})
+    assert types > 2 * language.CLASSES
+    size = {True: sum(len(texts[i]) for i in target), False: sum(map(len, texts.values()))}
+    for i in (0, 1, 2, 3):
+        for of_target, ids, loss in ((False, set(texts), got[i].background_loss), (True, target, got[i].target_loss)):
+            scale = size[True] / size[of_target]
+            ids = [texts[j] for j in ids - {i}]
+            singles, firsts = Counter(w for t in ids for w in t), Counter(w for t in ids for w in t[:-1])
+            pairs, total, wanted = Counter(p for t in ids for p in zip(t, t[1:])), sum(map(len, ids)), 0.0
+            for k, w in enumerate(texts[i]):
+                p = (scale * singles[w] + language.SMOOTH_CLASS / types) / (scale * total + language.SMOOTH_CLASS)
+                c, f = (scale * pairs[texts[i][k - 1], w], scale * firsts[texts[i][k - 1]]) if k else (0, 0)
+                wanted -= math.log((c + language.SMOOTH_PAIR * p) / (f + language.SMOOTH_PAIR))
+            assert loss == pytest.approx(wanted / len(texts[i]), rel=1e-6)
