@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import language, leaks, mixing, nearcopies, quality, shards, spots, substrings, tokens, toxicity
+from changeflow.llm import bpe, language, leaks, mixing, nearcopies, quality, shards, spots, substrings, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +97,9 @@ def toxic_documents(spark, sf_dir):
 @query("op10_source_mix")
 def source_mix(spark, sf_dir):
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query("op12_byte_bpe")
+def byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
