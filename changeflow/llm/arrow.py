@@ -158,6 +158,11 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of the bytes, none of them empty."""
+    return _hashes(data, start, end)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

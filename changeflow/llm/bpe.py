@@ -1,19 +1,15 @@
-"""Byte-level BPE: distinct words are folded by ranked merges in Spark's higher-order functions with a
-literal rank map; texts are looked up word by word in what came out, and decoding joins the bytes of
-the tokens.
+"""Byte-level BPE: ranked merges are folded over the byte arrays of distinct words, texts are put together
+from their words' tokens, and decoding joins the bytes of the tokens.
 
-In the fold a token is one character whose code point grows with its rank, so the least rank is the
-least string, and the rank map is a literal of strings: two neighbours find their merge by hash in a
-short bucket. The words that make up most of the corpus are folded so, once. Tasks hold them (a bounded
-table), replace the words of a megabyte of text at a time by numpy, and merge the few others themselves
-by the same ranks: a text is never shuffled, nor are its words brought back to it."""
+Inside a task the words of some megabytes of text are told apart by numpy, and all words not met before
+are folded at once, as rows of one array: in each round every row merges its leftmost two neighbours
+of least rank, found in a hash table of the rank map. A text is never shuffled, nor are its words."""
 
 from __future__ import annotations
 
 import base64
 import heapq
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
@@ -21,44 +17,21 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from changeflow.llm import arrow
-from changeflow.session import scratch_path, settle
 
-#: Distinct words that are folded by Spark and held by every task, and the bytes up to which a word may be one.
-COMMON_WORDS, COMMON_BYTES = 1 << 18, 64
-#: A task proposes a word as common that occurs so often in so many bytes of text.
-PROPOSED, COUNT_BYTES = 4, 64 << 20
-#: Bytes of text that are encoded at a time, and other words that a task remembers.
-GROUP_BYTES, REMEMBERED = 4 << 20, 400_000
-#: Ranks lie below this. Characters of tokens begin at FIRST and pass over those of no text; NONE is above all.
-RANKS, FIRST, GAP, GAP_SIZE, NONE = 1 << 17, 0x100, 0xD800, 0x800, "\U0010ffff"
-#: Buckets of the rank map; what stands before an entry and before its value.
-BUCKETS, ENTRY, VALUE = 16_381, "\u0001", "\u0002"
-#: Bytes of a piece from which on its merges are kept in a heap.
-LONG_PIECE = 100
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def strings(values: list[str]) -> Column:
-    """Many strings as one constant of the plan."""
-    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), "array<string>")
-
-
-def letter(rank: int) -> str:
-    """The character of a token."""
-    return chr(rank + FIRST if rank + FIRST < GAP else rank + FIRST + GAP_SIZE)
-
-
-def rank_of(letter: Column) -> Column:
-    code = F.ascii(letter)
-    return F.when(code < GAP, code - FIRST).otherwise(code - FIRST - GAP_SIZE)
+#: Bytes of text that are encoded at a time.
+GROUP_BYTES = 4 << 20
+#: Words and pieces that a task remembers, and the bytes up to which a word is remembered.
+REMEMBERED, WORD_BYTES = 1_000_000, 64
+#: Ranks lie below this.
+RANKS = 1 << 17
+#: Bytes of a piece from which on it is merged by itself, with the merges to come in a heap.
+LONG_PIECE = 65
+#: Pieces that are folded as one array.
+ROWS = 1 << 16
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -73,50 +46,127 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-def merged_pairs(ranks: dict[bytes, int]) -> Iterator[tuple[int, int, int]]:
-    """Two neighbours may be merged if their bytes together are a token."""
-    for token, rank in ranks.items():
-        for k in range(1, len(token)):
-            if token[:k] in ranks and token[k:] in ranks:
-                yield ranks[token[:k]], ranks[token[k:]], rank
-
+class RankMap:
+    """The rank of every two tokens whose bytes together are a token; `RANKS` for all others."""
 
-class Fold:
-    """Ranked merges as an expression."""
+    def __init__(self, ranks: dict[bytes, int]):
+        self.of = {
+            ranks[token[:k]] * RANKS + ranks[token[k:]]: rank
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if token[:k] in ranks and token[k:] in ranks
+        }
+        self.bits = max(10, (4 * len(self.of)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, RANKS, dtype=np.int32)
+        keys, values = np.array([*self.of], dtype=np.int64), np.array([*self.of.values()], dtype=np.int32)
+        places = self._places(keys)
+        while len(keys):  # of those that meet at a free place the first stays, the others go on by one
+            places, order = np.sort(places), np.argsort(places, kind="stable")
+            keys, values = keys[order], values[order]
+            stays = (self.keys[places] < 0) & np.concatenate(([True], places[1:] != places[:-1]))
+            self.keys[places[stays]], self.values[places[stays]] = keys[stays], values[stays]
+            places, keys, values = (places[~stays] + 1) % len(self.keys), keys[~stays], values[~stays]
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * _SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) * RANKS + right
+        places, out = self._places(keys), np.full(len(keys), RANKS, dtype=np.int32)
+        open_ = np.arange(len(keys))
+        while len(open_):
+            found = self.keys[places]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.values[places[hit]]
+            on = ~hit & (found >= 0)
+            open_, places = open_[on], (places[on] + 1) % len(self.keys)
+        return out
+
+
+class Merges:
+    """Encodes pieces, the matches of the pattern."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        buckets = [NONE] * BUCKETS
-        for left, right, rank in merged_pairs(ranks):
-            a, b = letter(left), letter(right)
-            buckets[(ord(a) * 31 + ord(b)) % BUCKETS] += f"{ENTRY}{a}{b}{VALUE}{letter(rank)}"
-        self.ranks = strings(buckets)
-        self.of_byte = F.lit("".join(letter(ranks[bytes([b])]) for b in range(256)))
-
-    def merge(self, left: Column, right: Column) -> Column:
-        """The token of two neighbours, else `NONE`: a bucket without the key is cut before its first entry."""
-        bucket = F.get(self.ranks, (F.ascii(left) * 31 + F.ascii(right)) % BUCKETS)
-        key = F.concat(F.lit(ENTRY), left, right, F.lit(VALUE))
-        return F.substring_index(F.call_function("substring_index", bucket, key, F.lit(-1)), ENTRY, 1)
-
-    def step(self, now: Column) -> Column:
-        """The leftmost two neighbours of least rank become one."""
-        found = F.zip_with(F.slice(now, F.lit(1), F.size(now) - 1), F.slice(now, F.lit(2), F.size(now)), self.merge)
-        return let(found, lambda each: let(F.array_min(each), lambda least: F.when(
-            least < NONE,
-            let(F.array_position(each, least).cast("int"), lambda at: F.concat(
-                F.slice(now, F.lit(1), at - 1), F.array(least), F.slice(now, at + 2, F.size(now))
-            )),
-        ).otherwise(now)))
-
-    def tokens(self, piece: Column) -> Column:
-        """The ranks of a piece's tokens; there are fewer merges than bytes."""
-        latin = F.lit("".join(map(chr, range(256))))
-        data = F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1")
-        letters = F.split(F.call_function("translate", data, latin, self.of_byte), "")
-        folded = let(letters, lambda of: F.aggregate(
-            F.slice(of, F.lit(2), F.size(of)), of, lambda now, _: F.when(F.size(now) < 2, now).otherwise(self.step(now))
-        ))
-        return F.transform(folded, rank_of)
+        self.rank = RankMap(ranks)
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+
+    def fold(self, pieces: list[bytes]) -> list[bytes]:
+        """The tokens of each piece, as 32-bit integers."""
+        out: list[bytes] = [b""] * len(pieces)
+        sizes = np.array([len(p) for p in pieces])
+        for k in np.flatnonzero(sizes >= LONG_PIECE).tolist():
+            out[k] = np.array(self.long(pieces[k]), dtype="<u4").tobytes()
+        order = np.argsort(sizes, kind="stable")
+        order = order[sizes[order] < LONG_PIECE]
+        for low in range(0, len(order), ROWS):
+            rows = order[low : low + ROWS]
+            for k, tokens in zip(rows.tolist(), self._rows([pieces[k] for k in rows.tolist()])):
+                out[k] = tokens
+        return out
+
+    def _rows(self, pieces: list[bytes]) -> list[bytes]:
+        """Pieces of like sizes. A row's tokens stand at its left, -1 after them; a row that has nothing left
+        to merge is taken out."""
+        sizes = np.array([len(p) for p in pieces])
+        width = int(sizes.max())
+        now = np.full((len(pieces), width), -1, dtype=np.int32)
+        filled = np.arange(width) < sizes[:, None]
+        now[filled] = self.of_byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        each = np.full((len(pieces), width), RANKS, dtype=np.int32)  # the last column stays as it is
+        pairs = filled[:, 1:]
+        each[:, :-1][pairs] = self.rank(now[:, :-1][pairs], now[:, 1:][pairs])
+        done, rows = now.copy(), np.arange(len(pieces))
+        while len(rows):
+            at = each.argmin(axis=1)
+            line = np.arange(len(rows))
+            least = each[line, at]
+            over = least == RANKS
+            if over.any():
+                done[rows[over]] = -1
+                done[rows[over], : now.shape[1]] = now[over]
+                now, each, rows, at, least = now[~over], each[~over], rows[~over], at[~over], least[~over]
+                line = np.arange(len(rows))
+                if not len(rows):
+                    break
+            # Of the two merged tokens the right one's column falls away, and the left one's pair.
+            place = np.arange(now.shape[1] - 1)
+            now = np.take_along_axis(now, place + (place > at[:, None]), 1)
+            each = np.take_along_axis(each, place + (place >= at[:, None]), 1)
+            now[line, at] = least
+            left = np.flatnonzero(at > 0)
+            each[left, at[left] - 1] = self.rank(now[left, at[left] - 1], least[left])
+            right = np.flatnonzero(at + 1 < now.shape[1])
+            right = right[now[right, at[right] + 1] >= 0]
+            each[line, at] = RANKS
+            each[right, at[right]] = self.rank(least[right], now[right, at[right] + 1])
+        kept = done >= 0
+        packed, ends = done[kept].astype("<u4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def long(self, piece: bytes) -> list[int]:
+        """One piece, with the merges to come in a heap by rank and place."""
+        now, find = self.of_byte[np.frombuffer(piece, dtype=np.uint8)].tolist(), self.rank.of.get
+        n = len(now)
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(r, k) for k in range(n - 1) if (r := find(now[k] * RANKS + now[k + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, at = heapq.heappop(heap)
+            right = after[at]
+            if now[at] < 0 or right < 0 or find(now[at] * RANKS + now[right]) != rank:
+                continue
+            now[at], now[right] = rank, -1
+            after[at] = after[right]
+            if after[at] >= 0:
+                before[after[at]] = at
+            for left in (before[at], at):
+                if left >= 0 and after[left] >= 0:
+                    r = find(now[left] * RANKS + now[after[left]])
+                    if r is not None:
+                        heapq.heappush(heap, (r, left))
+        return [t for t in now if t >= 0]
 
 
 def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,84 +178,40 @@ def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     filled[[*range(0x09, 0x0E), *range(0x1C, 0x21), *range(0x80, 0xC3), 0xE1, 0xE2, 0xE3]] = False
     cut = np.flatnonzero(data == 0x20)
     within = np.searchsorted(offsets, cut, "right") - 1
-    inside = (cut > offsets[within]) & (cut + 1 < offsets[within + 1])
-    cut = cut[inside]
+    cut = cut[(cut > offsets[within]) & (cut + 1 < offsets[within + 1])]
     before = cut - 1
     for _ in range(3):
         before = before - ((data[before] & 0xC0) == 0x80)
     cut = cut[filled[data[cut + 1]] & filled[data[before]]]
-    start = np.union1d(offsets[:-1][offsets[:-1] < offsets[1:]], cut)
+    start = np.sort(np.concatenate((offsets[:-1][offsets[:-1] < offsets[1:]], cut)), kind="stable")
     return start, np.append(start, offsets[-1])[1:], np.searchsorted(start, offsets)
 
 
 class Encoder:
-    """Encodes Arrow batches of texts inside a task."""
+    """Encodes Arrow columns of texts inside a task."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, common: dict[bytes, bytes]):
-        self.ranks, self.common = ranks, common
-        self.pairs = {a * RANKS + b: rank for a, b, rank in merged_pairs(ranks)}
-        self.of_byte = [ranks[bytes([b])] for b in range(256)]
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.merges = Merges(ranks)
         self.spelling = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.other: dict[bytes, bytes] = {}
-
-    def piece(self, piece: bytes) -> list[int]:
-        """Tokens of one match of the pattern."""
-        now = [self.of_byte[b] for b in piece]
-        if len(now) >= LONG_PIECE:
-            return self._long(now)
-        find = self.pairs.get
-        each = [find(a * RANKS + b, RANKS) for a, b in zip(now, now[1:])]
-        while each:
-            least = min(each)
-            if least == RANKS:
-                break
-            at = each.index(least)
-            now[at : at + 2] = [least]
-            del each[at]
-            if at:
-                each[at - 1] = find(now[at - 1] * RANKS + least, RANKS)
-            if at < len(each):
-                each[at] = find(least * RANKS + now[at + 1], RANKS)
-        return now
-
-    def _long(self, now: list[int]) -> list[int]:
-        """The same with the merges to come in a heap, by rank and place."""
-        n, find = len(now), self.pairs.get
-        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(r, k) for k in range(n - 1) if (r := find(now[k] * RANKS + now[k + 1], RANKS)) < RANKS]
-        heapq.heapify(heap)
-        while heap:
-            rank, at = heapq.heappop(heap)
-            right = after[at]
-            if now[at] < 0 or right < 0 or find(now[at] * RANKS + now[right], RANKS) != rank:
-                continue
-            now[at], now[right] = rank, -1
-            after[at] = after[right]
-            if after[at] >= 0:
-                before[after[at]] = at
-            for left in (before[at], at):
-                if left >= 0 and after[left] >= 0:
-                    r = find(now[left] * RANKS + now[after[left]], RANKS)
-                    if r < RANKS:
-                        heapq.heappush(heap, (r, left))
-        return [t for t in now if t >= 0]
-
-    def word(self, word: bytes) -> bytes:
-        """Tokens of a word that is not common, as 32-bit integers."""
-        found = self.other.get(word)
-        if found is None:
-            parts = [self.common.get(p) or self._packed(self.piece(p)) for p in map(str.encode, self.split(word.decode()))]
-            found = b"".join(parts)
-            if len(word) <= COMMON_BYTES:
-                if len(self.other) > REMEMBERED:
-                    self.other.clear()
-                self.other[word] = found
-        return found
-
-    @staticmethod
-    def _packed(tokens: list[int]) -> bytes:
-        return np.array(tokens, dtype="<u4").tobytes()
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The tokens of distinct words, as 32-bit integers."""
+        for known in (self.words, self.pieces):
+            if len(known) > REMEMBERED:
+                known.clear()
+        coded = list(map(self.words.get, words))
+        new = [k for k, c in enumerate(coded) if c is None]
+        parts = [list(map(str.encode, self.split(words[k].decode()))) for k in new]
+        unknown = list({p for part in parts for p in part if p not in self.pieces})
+        own = dict(zip(unknown, self.merges.fold(unknown))) if unknown else {}
+        self.pieces.update((p, t) for p, t in own.items() if len(p) <= WORD_BYTES)
+        for k, part in zip(new, parts):
+            coded[k] = b"".join([self.pieces.get(p) or own[p] for p in part])
+        self.words.update((words[k], coded[k]) for k in new if len(words[k]) <= WORD_BYTES)
+        return coded
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each group of texts: the number of the first, the tokens of all, and where each one's begin."""
@@ -214,12 +220,12 @@ class Encoder:
             at = offsets[low : high + 1] - offsets[low]
             own = data[offsets[low] : offsets[high]]
             start, end, first = spaced(own, at)
-            hashes = arrow._hashes(own, start, end)
+            hashes = arrow.spans(own, start, end)
             _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-            raw, find, other = own.tobytes(), self.common.get, self.word
-            coded = [find(w) or other(w) for w in (raw[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist()))]
+            raw = own.tobytes()
+            coded = self.encode([raw[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist())])
             tokens = np.frombuffer(b"".join(coded), dtype="<u4")
-            sizes = np.array([len(c) // 4 for c in coded], dtype=np.int64)
+            sizes = np.array([len(c) >> 2 for c in coded], dtype=np.int64)
             begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
             sizes = sizes[which]
             ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -230,130 +236,74 @@ class Encoder:
         return b"".join(map(self.spelling.__getitem__, tokens.tolist()))
 
 
-def common_words(texts: DataFrame, most: int = COMMON_WORDS) -> DataFrame:
-    """`word` of the words that occur most often in the column `text`: from that number of occurrences on, in
-    steps of a sixteenth of a doubling, that leaves `most` of them at most. Tasks count all words of all
-    texts and propose those that they see more than now and then."""
-
-    def propose(batches):
-        held: list[tuple] = []
-        size = 0
-
-        def flush():
-            words = np.concatenate([h[0] for h in held])
-            counts = np.concatenate([h[1] for h in held])
-            spelled = pa.concat_arrays([h[2] for h in held])
-            _, sample, which = np.unique(words, return_index=True, return_inverse=True)
-            n = np.bincount(which, weights=counts).astype(np.int64)
-            often = np.flatnonzero(n >= PROPOSED)
-            return pa.RecordBatch.from_arrays([spelled.take(pa.array(sample[often])), pa.array(n[often])], ["word", "n"])
-
-        for batch in batches:
-            data, offsets = arrow.texts(batch.column(0))
-            for low, high in arrow.groups(offsets, GROUP_BYTES):
-                at = offsets[low : high + 1] - offsets[low]
-                own = data[offsets[low] : offsets[high]]
-                start, end, _ = spaced(own, at)
-                hashes, sample, n = np.unique(arrow._hashes(own, start, end), return_index=True, return_counts=True)
-                short = end[sample] - start[sample] <= COMMON_BYTES
-                hashes, sample, n = hashes[short], sample[short], n[short]
-                raw = own.tobytes()
-                spelled = pa.array([raw[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist())], pa.binary())
-                held.append((hashes, n, spelled.cast(pa.string())))
-                size += len(own)
-                if size > COUNT_BYTES:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
-
-    counts = texts.select("text").mapInArrow(propose, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = counts.select("word", F.floor(F.log2("n") * 16).cast("int").alias("step"))
-    counts = settle(counts, scratch_path(texts.sparkSession, "words"))
-    kept, least = 0, None
-    for step, n in counts.groupBy("step").agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
-        kept += n
-        if kept > most:
-            break
-        least = step
-    return counts.filter(F.col("step") >= least if least is not None else F.lit(False)).select("word")
-
-
-def encoded_words(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """`word` and its `tokens`: each match of the pattern in the word folded by Spark."""
-    fold = Fold(ranks)
-    pieces = F.regexp_extract_all("word", F.lit(f"(?U){pattern}"), F.lit(0))
-    return rows.select("word", F.flatten(F.transform(pieces, fold.tokens)).alias("tokens"))
-
-
 @lru_cache(maxsize=2)
 def _encoder(name: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(SparkFiles.get(name)), pattern, {})
+    return Encoder(read_ranks(SparkFiles.get(name)), pattern)
 
 
-def _tasks(docs: DataFrame, vocabulary: str, pattern: str, common: int, doc_id: str, text: str, fields: list, make) -> DataFrame:
-    """`doc_id` and what `make` gives for the tokens of each text and where each text's begin."""
+def _tasks(docs: DataFrame, vocabulary: str, pattern: str, columns: list[str], fields: list, make) -> DataFrame:
+    """The first of the columns, and what `make` gives for each batch, encoder and column of the second."""
+    read_ranks(vocabulary)
     spark = docs.sparkSession
     arrow.ship(spark)
     spark.sparkContext.addFile(vocabulary)
     name = vocabulary.rsplit("/", 1)[-1]
-    source = arrow.renamed(docs, doc_id=doc_id, text=text)
-    often = encoded_words(common_words(source, common), read_ranks(vocabulary), pattern)
-    words = {w.encode(): np.array(t, dtype="<u4").tobytes() for w, t in often.toLocalIterator()}
-    held = spark.sparkContext.broadcast(words)
+    source = arrow.renamed(docs, doc_id=columns[0], value=columns[1])
+    names = ["doc_id", *(n for n, _ in fields)]
 
     def work(batches):
         encoder = _encoder(name, pattern)
-        encoder.common = held.value
         for batch in batches:
-            for low, tokens, first in encoder.texts(batch.column(1)):
-                columns = make(encoder, tokens, first)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(first) - 1), *columns], ["doc_id", *(n for n, _ in fields)])
+            for low, rows in make(encoder, batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(rows[0])), *rows], names)
 
     kinds = ", ".join(f"{n} {kind}" for n, kind in fields)
     return source.mapInArrow(work, f"doc_id {dict(source.dtypes)['doc_id']}, {kinds}")
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, common: int = COMMON_WORDS, doc_id: str = "doc_id",
-           text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id` and `tokens` (array of int), the encoding of each whole text: each match of `pattern` by the
     ranks of the file `vocabulary`, without special tokens. A match may hold a space between two other
     characters as its first one only, as in the public patterns of this kind.
 
     Null text is empty: no tokens. Null ids, repeated rows and ties stay as they are, a row each; an empty
     table gives no rows; a text or a word of any length is encoded whole, in memory that grows with that
-    text alone. Other columns are not read, whatever their names. `common` bounds the table of words that
-    are held by every task, not the result.
+    text alone. Other columns are not read, whatever their names. Words of a group of texts are told
+    apart by 64 bits of hash.
     """
 
-    def lists(_, tokens, first):
-        return [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(tokens.view("<i4")))]
+    def lists(encoder, column):
+        for low, tokens, first in encoder.texts(column):
+            yield low, [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(tokens.view("<i4")))]
+
+    return _tasks(docs, vocabulary, pattern, [doc_id, text], [("tokens", "array<int>")], lists)
+
 
-    return _tasks(docs, vocabulary, pattern, common, doc_id, text, [("tokens", "array<int>")], lists)
+def decode(rows: DataFrame, vocabulary: str, doc_id: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """`doc_id` and `decoded`, the bytes of the row's tokens joined, as binary; null stays null."""
 
+    def joined(encoder, column):
+        # A row at a time, so that a batch of long rows is not held as numbers and bytes at once.
+        for k, row in enumerate(column):
+            value = encoder.decode(row.values.to_numpy(zero_copy_only=False)) if row.is_valid else None
+            yield k, [pa.array([value], pa.binary())]
 
-def decode(rows: DataFrame, vocabulary: str, tokens: str = "tokens") -> DataFrame:
-    """The rows with `decoded`, the bytes of their tokens joined, as binary; null stays null. A column of that
-    name gives way."""
-    hexed = {rank: token.hex() for token, rank in read_ranks(vocabulary).items()}
-    spelling = strings([hexed.get(k, "") for k in range(max(hexed) + 1)])
-    joined = F.array_join(F.transform(F.col(f"`{tokens}`"), lambda t: F.get(spelling, t)), "")
-    return rows.withColumn("decoded", F.unhex(joined))
+    return _tasks(rows, vocabulary, ".", [doc_id, tokens], [("decoded", "binary")], joined)
 
 
-def digests(docs: DataFrame, vocabulary: str, pattern: str, common: int = COMMON_WORDS, doc_id: str = "doc_id",
-            text: str = "text") -> DataFrame:
+def digests(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`encode` and decoding in one pass, with digests in place of the lists: `doc_id`, `n_tokens`,
     `ids_sha256` (of the tokens as unsigned 32-bit integers, least byte first) and `decoded_sha256` (of the
     bytes that the tokens are decoded to). Rows as in `encode`."""
 
-    def hashed(encoder, tokens, first):
-        each = [tokens[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-        return [
-            pa.array(np.diff(first)),
-            pa.array([sha256(t.tobytes()).hexdigest() for t in each], pa.string()),
-            pa.array([sha256(encoder.decode(t)).hexdigest() for t in each], pa.string()),
-        ]
+    def hashed(encoder, column):
+        for low, tokens, first in encoder.texts(column):
+            each = [tokens[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            yield low, [
+                pa.array(np.diff(first)),
+                pa.array([sha256(t.tobytes()).hexdigest() for t in each], pa.string()),
+                pa.array([sha256(encoder.decode(t)).hexdigest() for t in each], pa.string()),
+            ]
 
     fields = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
-    return _tasks(docs, vocabulary, pattern, common, doc_id, text, fields, hashed)
+    return _tasks(docs, vocabulary, pattern, [doc_id, text], fields, hashed)

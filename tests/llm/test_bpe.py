@@ -3,7 +3,9 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from fixtures import awkward, documents, empty
@@ -35,23 +37,43 @@ def rows(values):
 
 def test_texts_equal_the_library(spark, library):
     rng = random.Random(6)
-    long = ["".join(rng.choices("abcdefghij", k=5000)), "=" * 3000, "ab" * 700, "x" * 99, "y" * 100, "café" * 400]
-    values = texts(300, 60) + long
-    for common in (bpe.COMMON_WORDS, 0):
-        # Written out often enough, words are common and are folded by Spark.
-        many = documents(spark, rows([t + " " + " ".join(texts(3, 4, i % 7)) for i, t in enumerate(values * 4)]))
-        got = bpe.decode(bpe.encode(many, PATH, PATTERN, common), PATH)
-        by_id = {r.doc_id: r for r in got.collect()}
-        for r in many.collect():
-            assert by_id[r.doc_id].tokens == library.encode_ordinary(r.text), r.text
-            assert bytes(by_id[r.doc_id].decoded) == r.text.encode()
-
-
-def test_the_fold_equals_the_library(spark, library):
-    values = [t for t in texts(200, 9, 8) if t] + [" internationalisation", "Donaudampfschifffahrt", "x" * 60]
-    df = spark.createDataFrame([(v,) for v in values], "word string")
-    for r in bpe.encoded_words(df, bpe.read_ranks(PATH), PATTERN).collect():
-        assert r.tokens == library.encode_ordinary(r.word), r.word
+    long = ["".join(rng.choices("abcdefghij", k=5000)), "=" * 3000, "ab" * 700, "x" * 64, "y" * 65, "z" * 66, "café" * 400]
+    values = texts(1500, 60) + long + [t + " " + t for t in long]
+    docs = documents(spark, rows(values))
+    coded = bpe.encode(docs, PATH, PATTERN)
+    found = {r.doc_id: r.tokens for r in coded.collect()}
+    back = {r.doc_id: bytes(r.decoded) for r in bpe.decode(coded, PATH).collect()}
+    for k, t in enumerate(values):
+        assert found[k] == library.encode_ordinary(t), t
+        assert back[k] == t.encode()
+
+
+def test_pieces_equal_the_library(library):
+    """By rows and by heap, of all sizes, with the same piece twice."""
+    rng = random.Random(9)
+    merges = bpe.Merges(bpe.read_ranks(PATH))
+    pieces = [bytes(rng.choices(b"abehinorst", k=rng.randint(1, 40))) for _ in range(3000)] + [bytes([b]) for b in range(256)]
+    pieces += pieces[:5] + [rng.randbytes(rng.randint(1, 30)) for _ in range(500)]
+    for p, tokens in zip(pieces, merges.fold(pieces)):
+        wanted = library._core_bpe.encode_single_piece(p)
+        assert list(struct.unpack(f"<{len(tokens) // 4}I", tokens)) == wanted == merges.long(p), p
+    assert merges.fold([]) == []
+
+
+def test_null_tokens_stay_null(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (None, [64, 65])], "doc_id long, tokens array<int>")
+    got = {r.doc_id: r.decoded for r in bpe.decode(df, PATH).collect()}
+    spelled = {rank: token for token, rank in bpe.read_ranks(PATH).items()}
+    assert got == {1: None, 2: b"", None: spelled[64] + spelled[65]}
+
+
+def test_words_are_forgotten_and_found_again(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "GROUP_BYTES", 50)
+    encoder = bpe.Encoder(bpe.read_ranks(PATH), PATTERN)
+    values = texts(200, 30, 11)
+    got = [t for _, tokens, first in encoder.texts(pa.array(values)) for t in np.split(tokens, first[1:-1])]
+    assert [t.tolist() for t in got] == [library.encode_ordinary(t) for t in values]
 
 
 def test_digests(spark, library):
