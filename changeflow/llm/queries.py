@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import bpe, language, leaks, mixing, nearcopies, quality, shards, spots, substrings, tokens, toxicity, trie
+from changeflow.llm import bpe, language, leaks, mixing, nearcopies, quality, shards, spots, substrings, tokens, toxicity, trie, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,6 +99,11 @@ def source_mix(spark, sf_dir):
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+@query("op11_whitening")
+def whitened_vectors(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_byte_bpe")
 def byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
