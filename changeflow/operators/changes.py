@@ -128,8 +128,9 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     """Events of one table as rows to apply: data columns, `_OP` (U or D), order and `_UNSET`.
 
     A value marked unchanged is taken from the old row when the event has it, otherwise its
-    column goes to `_UNSET`. An update that moves the key also deletes the old key. Rows keep
-    `_BAD`, the names of the columns whose text could not be cast (never in strict mode).
+    column goes to `_UNSET`. An update that moves the key also deletes the old key, and its row
+    names that key in `_FROM`. Rows keep `_BAD`, the names of the columns whose text could not be
+    cast (never in strict mode).
     """
     columns, target = list(spec.columns), spec.targets
     rows = image_values(changes, "after", columns, "_a_")
@@ -153,10 +154,15 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
         hits = [f"if({w}, array({literal(target[c])}), {none})" for c, w in conditions.items()]
         return f"concat({', '.join(hits)})"
 
-    def row(op: str, tick: int, values: dict[str, str], unset: str, bad: str) -> str:
+    old_key = ", ".join(f"{typed_old[c]} as {ident(target[c])}" for c in spec.pk)
+    has_old_key = " and ".join(f"{old[c]} is not null" for c in spec.pk)
+    same_key = " and ".join(f"{old[c]} = {new[c]}.text" for c in spec.pk)
+    moved = f"op = 'u' and {has_old_key} and not ({same_key})"
+
+    def row(op: str, tick: int, values: dict[str, str], unset: str, bad: str, moves: str) -> str:
         data = ", ".join(f"{values[c]} as {ident(target[c])}" for c in columns)
         return f"""struct({data}, '{op}' as _OP, {unset} as _UNSET, commit_lsn as _COMMIT_LSN,
-            lsn as _LSN, seq * 2 + {tick} as _SEQ, {bad} as _BAD)"""
+            lsn as _LSN, seq * 2 + {tick} as _SEQ, {bad} as _BAD, if({moves}, struct({old_key}), null) as _FROM)"""
 
     upsert = row(
         "U",
@@ -164,6 +170,7 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
         typed,
         names_where({c: f"{unchanged[c]} and not {given[c]}" for c in columns}),
         names_where({c: f"{given[c]} and {typed[c]} is null" for c in columns}),
+        moved,
     )
     delete = row(
         "D",
@@ -171,11 +178,9 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
         {c: typed_old.get(c, f"cast(null as {t})") for c, t in spec.columns.items()},
         "cast(array() as array<string>)",
         names_where({c: f"{old[c]} is not null and {typed_old[c]} is null" for c in spec.pk}),
+        "false",
     )
     is_upsert = "op in ('c', 'u') and size(after) > 0"
-    has_old_key = " and ".join(f"{old[c]} is not null" for c in spec.pk)
-    same_key = " and ".join(f"{old[c]} = {new[c]}.text" for c in spec.pk)
-    moved = f"op = 'u' and {has_old_key} and not ({same_key})"
     applied = f"""array(
         if(op = 'd' or ({is_upsert} and {moved}), {delete}, null),
         if({is_upsert}, {upsert}, null))"""
@@ -228,6 +233,7 @@ def fold_changes(rows: DataFrame, keys: list[str], order: str = "_SEQ") -> DataF
     earlier value unknown again, as NULL. Aggregation starts in each task, so a hot key moves
     one partial row per task.
     """
+    rows = rows.drop("_FROM")
     meta = [c for c in rows.columns if c in FOLD_COLUMNS]
     data = [c for c in rows.columns if c not in FOLD_COLUMNS and c not in keys]
 

@@ -1,9 +1,11 @@
 """Projections P1-P9, folding W1-W2, merge J1-J2, K1-K3 and the flagship over the change log."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeflow.operators import changes as C
 from changeflow.operators import merge as M
+from changeflow.operators.moves import fill_moved, fold_moved
 from changeflow.queries.changelog import (
     EVENTS,
     MAPPED,
@@ -311,3 +313,45 @@ def moved_key(spark, sf_dir):
     return M.first_state(state, list(EVENTS.target_types)).select(*typed_columns())
 
 
+def chained(spark, sf_dir):
+    """Each purchase of a user moves the key of the user's row further; purchases and clicks leave `value`
+    out as unchanged."""
+    rows = mapped(spark, sf_dir)
+    events = read(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type")
+    rows = rows.join(events, "seq")
+    purchase = (F.col("op") == "u") & (F.col("event_type") == "purchase")
+    rows = rows.withColumn("moves", F.count_if(purchase).over(Window.partitionBy("user_id").orderBy("seq")))
+    key_at = lambda moves: F.array(F.struct(
+        F.lit("userId").alias("name"), F.lit("t").alias("kind"),
+        (F.col("user_id") + moves * MOVED).cast("string").alias("text"), F.lit(None).cast("binary").alias("bin"),
+    ))
+    before = F.when(purchase, key_at(F.col("moves") - 1)).when(F.col("op") == "d", key_at(F.col("moves")))
+    left_out = lambda v: F.when(v["name"] == "value", v.withField("kind", F.lit("u")).withField("text", F.lit(None).cast("string"))).otherwise(v)
+    others = F.filter("after", lambda v: v["name"] != "userId")
+    others = F.when(F.col("event_type").isin("purchase", "click"), F.transform(others, left_out)).otherwise(others)
+    after = F.when(F.col("op") != "d", F.concat(key_at(F.col("moves")), others))
+    rows = rows.withColumn("before", before).withColumn("after", after).drop("user_id", "event_type", "moves")
+    return C.split_bad(C.typed_changes(rows, EVENTS), EVENTS)[0]
+
+
+@query(
+    "k01_moved_unchanged",
+    f"""with {MAPPED}, {TARGET_SQL}, latest as (
+          select *, count(*) filter (op = 'u' and event_type = 'purchase') over (partition by user_id order by seq) as moves
+          from mapped {LATEST}
+        ), gone as (select user_id, max(seq) as del from mapped where op = 'd' group by user_id),
+        known as (select user_id, mapped.value from mapped left join gone using (user_id)
+          where op <> 'd' and event_type not in ('purchase', 'click') and seq > coalesce(del, -1) {LATEST}),
+        state as (
+          select l.* replace (l.user_id + l.moves * {MOVED} as user_id,
+            case when k.user_id is not null then k.value when g.user_id is null then t.value end as value)
+          from latest l left join known k using (user_id) left join gone g using (user_id) left join target t using (user_id)
+          where op <> 'd')
+        select {TYPED} from state
+        union all select {TYPED} from target where user_id not in (select user_id from mapped)""",
+)
+def moved_unchanged(spark, sf_dir):
+    """Chains of moves in one batch: a value that no event of the chain has is the old row's, under its first key."""
+    target, keys = merge_target(spark, sf_dir), KEYS
+    net = C.stamp_loaded(fill_moved(target, fold_moved(chained(spark, sf_dir), keys), keys), loaded_at())
+    return M.apply_changes(target, net, keys).select(*typed_columns())
