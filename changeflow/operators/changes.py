@@ -37,9 +37,15 @@ def deletes(changes: DataFrame) -> DataFrame:
 
 def image_values(rows: DataFrame, image: str, names: list[str], prefix: str) -> DataFrame:
     """One struct column `<prefix><name>` (kind, text, bin) per source column name, NULL where
-    the image lacks it. Only expressions that Spark compiles are used: no lambda."""
+    the image lacks it. A column is looked for at its place among the names first, so that a wide row
+    whose columns come in that order is not searched for each. Only expressions that Spark compiles
+    are used: no lambda."""
     place = lambda n: f"cast(array_position({image}.name, {literal(n)}) as int) - 1"
-    picked = [f"get({image}, {place(n)}) as {ident(prefix + n)}" for n in names]
+    here = lambda k: f"get({image}, {k})"
+    picked = [
+        f"if({here(k)}.name <=> {literal(n)}, {here(k)}, get({image}, {place(n)})) as {ident(prefix + n)}"
+        for k, n in enumerate(names)
+    ]
     return rows.selectExpr("*", *picked)
 
 

@@ -162,7 +162,7 @@ def _ascii(s: str) -> Column:
     return F.lit(s.encode())
 
 
-def _tuple(texts: list[Column]) -> Column:
+def tuple_bytes(texts: list[Column]) -> Column:
     values = [
         F.when(t.isNull(), _ascii("n")).otherwise(
             F.concat(_ascii("t"), _uint(F.octet_length(t), 4), _text(t))
@@ -202,7 +202,7 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
         lost = (F.col("table_name") == "audit_log") & (F.col("event_type") == "click")
         oid = F.when(lost, F.lit(MISSING_OID)).otherwise(oid)
     oid = _uint(oid, 4)
-    new, key = _tuple(texts), _tuple([texts[0], null, null, null, null])
+    new, key = tuple_bytes(texts), tuple_bytes([texts[0], null, null, null, null])
     row = (
         F.when(F.col("op") == "c", F.concat(_ascii("I"), oid, _ascii("N"), new))
         .when(F.col("op") == "d", F.concat(_ascii("D"), oid, _ascii("K"), key))

@@ -16,8 +16,11 @@ from changeflow.queries.changelog import (
     TX_EVENTS,
     landed,
     landing,
+    read,
+    tuple_bytes,
 )
 from changeflow.queries.registry import query
+from changeflow.session import settle
 from changeflow.sources.scans import wal_scan
 
 # (position within the event, message type) of every message of an event.
@@ -217,3 +220,45 @@ def drop_control(spark, sf_dir):
 def unknown_relation(spark, sf_dir):
     dead = decoded(spark, sf_dir, damaged=True).dead
     return dead.filter("error = 'unknown relation'").select("seq", "msg_type")
+
+
+# A wide table: the columns of `lineitem` four times over, in messages of 44 values; the relation names 40.
+WIDE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+WIDE_TIMES, WIDE_NAMED = 4, 40
+WIDE_TEXT = ", ".join(
+    f"case when l_returnflag = 'R' and '{c}' = 'l_tax' then '-' else "
+    + (f"strftime({c}, '%Y-%m-%d')" if c == "l_shipdate" else f"{c}::varchar") + " end" for c in WIDE_COLUMNS
+)
+
+
+def wide_messages(spark, sf_dir):
+    """Inserts into a wide table; a tax of returned lines is NULL."""
+    texts = [F.date_format(c, "yyyy-MM-dd") if c == "l_shipdate" else F.col(c).cast("string") for c in WIDE_COLUMNS]
+    texts = [F.when(F.col("l_returnflag") != "R", t) if c == "l_tax" else t for c, t in zip(WIDE_COLUMNS, texts)]
+    data = F.concat(F.lit(b"I" + (7).to_bytes(4, "big") + b"N"), tuple_bytes(texts * WIDE_TIMES))
+    names = [f"c{k}" for k in range(WIDE_NAMED)]
+    return read(spark, sf_dir, "lineitem").select(
+        F.lit(1).cast("bigint").alias("session_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+        F.lit(0).cast("decimal(20,0)").alias("lsn"), F.lit("I").alias("msg_type"), data.alias("data"),
+        F.lit("public").alias("schema_name"), F.lit("wide").alias("table_name"), F.array(*map(F.lit, names)).alias("names"),
+        F.lit(0).cast("decimal(20,0)").alias("commit_lsn"), F.lit(0).cast("bigint").alias("ts_ms"),
+    )
+
+
+@query(
+    "d09_wide_tuple",
+    f"""select l_orderkey * 8 + l_linenumber as seq, {len(WIDE_COLUMNS) * WIDE_TIMES} as n_values,
+          md5(concat_ws('|', {', '.join([WIDE_TEXT] * WIDE_TIMES)})) as texts, 'c0' as first_name,
+          'col_{len(WIDE_COLUMNS) * WIDE_TIMES - 1}' as last_name from lineitem""",
+)
+def wide_tuple(spark, sf_dir):
+    # Messages are read, not made anew for every byte that is looked at.
+    rows = D.decode_rows(settle(wide_messages(spark, sf_dir))).filter("error is null")
+    texts = F.transform("after", lambda v: F.when(v["kind"] == "n", "-").otherwise(v["text"]))
+    return rows.select(
+        "seq", F.size("after").alias("n_values"), F.md5(F.array_join(texts, "|")).alias("texts"),
+        F.get("after.name", F.lit(0)).alias("first_name"), F.element_at("after.name", -1).alias("last_name"),
+    )
