@@ -51,7 +51,7 @@ def _items(count: str) -> str:
 
 
 #: Values whose places are gathered in one list before it is appended to the others.
-_GATHERED = 32
+_GATHERED = 16
 
 
 def _places(data: str, off: str, first: str, last: str) -> str:

@@ -190,9 +190,27 @@ def carry_transactions(
     )
 
 
-def resolve_relation(rows: DataFrame, relations: DataFrame, small: bool) -> DataFrame:
+def oid_of_row() -> Column:
+    return F.expr(wire.unsigned("data", "2", 4))
+
+
+def versions_by_block(messages: DataFrame, versions: DataFrame, block: int) -> DataFrame:
+    """The versions once for each block of positions in which messages ask for their oid: nearly always one.
+    Tasks reduce the messages to their blocks before anything is shuffled, so an oid that all of them
+    have is looked up once for a block and not once for a message."""
+    place = block_of(F.col("seq"), block)
+    asked = messages.select(F.col("session_id").alias("_session"), oid_of_row().alias("_oid"), place.alias("_block")).distinct()
+    reaches = (F.col("valid_from") < (F.col("_block") + 1) * block) & (F.col("valid_to") > F.col("_block") * block)
+    return asked.join(versions, ["_session", "_oid"]).filter(reaches)
+
+
+def resolve_relation(
+    rows: DataFrame, relations: DataFrame, small: bool, block: int = BLOCK, messages: DataFrame | None = None
+) -> DataFrame:
     """Attach the relation that was the newest for the row's oid at that point of the session.
-    The table column is NULL where the oid has never been announced."""
+    The table column is NULL where the oid has never been announced. Relations that are not `small`
+    are joined by block of positions as well, so that no oid is one key for all its messages;
+    `messages` are the rows as they were read, if `rows` cost work."""
     versions = relations.select(
         F.col("session_id").alias("_session"),
         F.col("oid").alias("_oid"),
@@ -202,17 +220,17 @@ def resolve_relation(rows: DataFrame, relations: DataFrame, small: bool) -> Data
         "valid_from",
         "valid_to",
     )
+    rows = rows.withColumn("oid", oid_of_row())
+    here = (F.col("session_id") == F.col("_session")) & (F.col("oid") == F.col("_oid"))
     if small:
         versions = F.broadcast(versions)
-    rows = rows.withColumn("oid", F.expr(wire.unsigned("data", "2", 4)))
+    else:
+        rows = rows.withColumn("_block", block_of(F.col("seq"), block))
+        versions = versions_by_block(rows if messages is None else messages, versions, block).withColumnRenamed("_block", "_in")
+        here &= F.col("_block") == F.col("_in")
     return rows.join(
-        versions,
-        (F.col("session_id") == F.col("_session"))
-        & (F.col("oid") == F.col("_oid"))
-        & (F.col("seq") >= F.col("valid_from"))
-        & (F.col("seq") < F.col("valid_to")),
-        "left",
-    ).drop("_session", "_oid", "valid_from", "valid_to")
+        versions, here & (F.col("seq") >= F.col("valid_from")) & (F.col("seq") < F.col("valid_to")), "left"
+    ).drop("_session", "_oid", "_block", "_in", "valid_from", "valid_to")
 
 
 def decode_rows(rows: DataFrame) -> DataFrame:
@@ -326,8 +344,9 @@ def decode_wal(
         size += relations.agg(F.sum(RELATION_BYTES + F.size("columns") * RELATION_BYTES)).first()[0] or 0
     small = size <= broadcast_bytes
 
+    row_messages = messages.filter(F.col("msg_type").isin(*ROW_TYPES))
     stamped = carry_transactions(
-        messages.filter(F.col("msg_type").isin(*ROW_TYPES)),
+        row_messages,
         begins.filter(F.col("error").isNull()),
         raw.select("session_id", "seq"),
         transactions,
@@ -335,7 +354,7 @@ def decode_wal(
         fan_in,
         place("ends"),
     )
-    resolved = resolve_relation(stamped, versions, small)
+    resolved = resolve_relation(stamped, versions, small, block, row_messages)
     if wanted is not None:
         resolved = resolved.filter(F.col("table_name").isNull() | wanted(F.col("table_name")))
     decoded = decode_rows(resolved)

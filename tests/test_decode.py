@@ -288,5 +288,49 @@ def test_relations_join_the_same_without_broadcast(spark, random_log):
     assert sorted(small.changes.collect()) == sorted(large.changes.collect())
 
 
+@pytest.mark.parametrize("block", [1, 3, 10, 1000])
+def test_versions_change_inside_and_between_blocks(spark, block):
+    """Two oids in two sessions, announced anew again and again, some asked for before they are announced."""
+    rng, rows, wanted, names = random.Random(block), [], {}, {}
+    for seq in range(200):
+        session, oid = seq // 100, rng.choice([1, 2])
+        if rng.random() < 0.2:
+            names[session, oid] = f"t{seq}"
+            rows.append((session, seq, seq, m.relation(oid, f"t{seq}", [("a", 25, True)])))
+        else:
+            wanted[seq] = names.get((session, oid))
+            rows.append((session, seq, seq, m.insert(oid, ["x"])))
+    raw = spark.createDataFrame(rows, "session_id long, seq long, lsn long, data binary").repartition(7)
+    messages = D.classify(raw)
+    versions = D.relation_versions(D.decode_relation(messages))
+    inserts = messages.filter("msg_type = 'I'")
+    for small in (True, False):
+        found = D.resolve_relation(inserts, versions, small, block).select("seq", "table_name").collect()
+        assert sorted(map(tuple, found)) == sorted(wanted.items()), small
+
+
+def test_one_oid_in_all_messages_is_spread_over_the_tasks(spark):
+    """Without a broadcast no task gets more than twice the median."""
+    one = m.insert(1, ["x"])
+    raw = spark.range(0, 40_000, 1, 4).select(
+        F.lit(1).cast("bigint").alias("session_id"), F.col("id").alias("seq"), F.lit(0).cast("decimal(20,0)").alias("lsn"),
+        F.when(F.col("id") == 0, F.lit(m.relation(1, "t", [("a", 25, True)]))).otherwise(F.lit(one)).alias("data"),
+    )
+    messages = D.classify(raw)
+    versions = D.relation_versions(D.decode_relation(messages))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = D.resolve_relation(messages.filter("msg_type = 'I'"), versions, False, 100)
+        assert rows.filter("table_name = 't'").count() == 39_999
+        sizes = sorted(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 def test_schema_contract(spark):
     assert RAW_WAL.names == ["session_id", "seq", "lsn", "data"]
