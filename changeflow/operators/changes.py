@@ -208,7 +208,12 @@ def _reason(broken: list[tuple[str, str]]) -> str:
 def split_unusable(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """Rows of a table that meet its key and NOT NULL rules, and the others with the reason."""
     reason = F.expr(_reason(_broken(spec)))
-    return rows.filter(reason.isNull()), rows.withColumn("error", reason).filter("error is not null")
+    return rows.filter(reason.isNull()), with_reason(rows, spec).filter("error is not null")
+
+
+def with_reason(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows with `error`, which of the table's rules they break; NULL for those that break none."""
+    return rows.withColumn("error", F.expr(_reason(_broken(spec))))
 
 
 def _change_reason(spec: TableSpec) -> str:

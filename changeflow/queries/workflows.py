@@ -54,10 +54,9 @@ SINCE = "1998-01-01"
 
 @query("s02_snapshot_scan", "select * from orders")
 def snapshot_scan(spark, sf_dir):
-    """The whole table by key ranges; together they cover every row once."""
+    """The whole table by key ranges of like depth; together they cover every row once."""
     orders = S.Source(f"{sf_dir}/orders.parquet")
-    low, high = S.open_source(spark, orders).agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    ranges = [*B.chunk_bounds(low, high, 4), (None, None)]
+    ranges = B.depth_bounds(S.open_source(spark, orders), "o_orderkey", 4)
     parts = [S.snapshot_scan(spark, orders, "o_orderkey", *r) for r in ranges]
     rows = parts[0]
     for part in parts[1:]:
@@ -98,6 +97,23 @@ def backfill(spark, sf_dir):
     return store.current("orders").drop("_LOADED_AT")
 
 
+@query(
+    "b01_skewed_keys",
+    f"""select {ORDERS_SQL.replace('o_orderkey as', 'o_orderkey * o_orderkey * o_orderkey as')}, true as even from orders""",
+)
+def skewed_backfill(spark, sf_dir):
+    """Keys that are third powers, most of them in a small part of their range: the largest chunk still
+    holds no more than one and a half times the mean."""
+    store, chunks = order_store(spark), 8
+    spread = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")
+    orders = read(spark, sf_dir, "orders").withColumn("o_orderkey", spread)
+    rows = B.backfill_table(store, ORDERS, orders, "skewed", chunks, loaded_at())
+    folder = f"{store.root}/{ORDERS.current}/base/skewed"
+    sizes = spark.read.option("basePath", folder).parquet(f"{folder}/chunk=*").groupBy("chunk").count()
+    even = sizes.agg((F.max("count") <= 1.5 * rows / chunks).alias("even"))
+    return store.current("orders").drop("_LOADED_AT").join(F.broadcast(even))
+
+
 # Orders with a second key column, which is NULL for some.
 KEYED = TableSpec(
     source="orders",

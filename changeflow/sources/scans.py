@@ -33,13 +33,12 @@ class Source:
 
 
 def key_range(key: str, low: int | None, high: int | None) -> Column:
-    """Half-open range; without bounds the rows that have no key."""
+    """Half-open range; one without a lower end also has the rows without key, so that ranges side by side
+    cover every row once."""
     c = F.col(key)
-    if low is None and high is None:
-        return c.isNull()
-    parts = [c >= low] if low is not None else []
-    parts += [c < high] if high is not None else []
-    return parts[0] if len(parts) == 1 else parts[0] & parts[1]
+    if low is None:
+        return F.lit(True) if high is None else (c < high) | c.isNull()
+    return c >= low if high is None else (c >= low) & (c < high)
 
 
 def open_source(spark: SparkSession, src: Source | DataFrame) -> DataFrame:

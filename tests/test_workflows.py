@@ -380,3 +380,25 @@ def test_a_batch_without_messages(spark):
     assert T.process_batch(store, empty, "w", 0)
     assert not T.process_batch(store, empty, "w", 0)
     assert store.current("customers").count() == 0 and store.position() is None
+
+
+@pytest.mark.parametrize("keys,chunks", [([k**3 for k in range(-40, 400)], 8), ([5] * 30 + [7], 4), ([1], 8), (list(range(100)), 1)])
+def test_ranges_of_like_depth_cover_every_row_once(spark, keys, chunks):
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "id long")
+    bounds = B.depth_bounds(df, "id", chunks)
+    sizes = [S.snapshot_scan(spark, df, "id", *b).count() for b in bounds]
+    assert sum(sizes) == len(keys) + 1 and bounds[0][0] is None and bounds[-1][1] is None
+    if len(set(keys)) == len(keys) > chunks:
+        assert max(sizes) <= 1.5 * len(keys) / chunks
+    assert B.depth_bounds(df.filter("false"), "id", chunks) == []
+
+
+def test_each_chunk_reads_the_source_once(spark, store, monkeypatch):
+    """The source is read for the ranges and once for each chunk, good and bad rows in one write."""
+    reads, real = [], B.snapshot_scan
+    monkeypatch.setattr(B, "snapshot_scan", lambda *a: reads.append(a[3:]) or real(*a))
+    src = source(spark, [*rows_of(range(20)), (None, "x", (1,), "2024-01-01", 0), (3, None, (1,), "2024-01-01", 0)])
+    assert B.backfill(spark, SPECS, {"t": src}, store, chunks=4) == {"t": 20}
+    assert len(reads) == 4 and reads[0][0] is None and reads[-1][1] is None
+    assert sorted(r["error"] for r in store.dead().collect()) == ["key is null", "key is null"]
+    assert sorted(k[0] for k in state(store)) == list(range(20))
