@@ -33,10 +33,12 @@ RELATION_BROADCAST_BYTES = 64 << 20
 
 @dataclass
 class Decoded:
-    """`rows` holds every row message, decoded, with `error` set on the bad ones."""
+    """`rows` holds every row message, decoded, with `error` set on the bad ones; `control_errors` is the
+    number of control messages that could not be used."""
 
     rows: DataFrame
     control_dead: DataFrame
+    control_errors: int
     relations: DataFrame
     transactions: DataFrame
 
@@ -120,20 +122,22 @@ def decode_relation(messages: DataFrame) -> DataFrame:
 
 def decode_control(
     messages: DataFrame, folder: str | None = None
-) -> tuple[DataFrame, DataFrame, int]:
-    """Begin and relation messages, decoded in one pass over the log and kept; and the bytes of
-    all relation messages."""
+) -> tuple[DataFrame, DataFrame, dict]:
+    """Begin and relation messages, decoded in one pass over the log and kept; and the `bytes` of
+    all relation messages with the number of `errors`."""
     control = messages.filter(F.col("msg_type").isin("B", "R"))
     seen = Observation()
-    size = F.sum(F.when(F.col("msg_type") == "R", F.octet_length("data"))).alias("bytes")
-    control = settle(_relation_columns(_begin_columns(control)), folder, seen=seen, totals=[size])
+    is_relation = F.col("msg_type") == "R"
+    size = F.sum(F.when(is_relation, F.octet_length("data"))).alias("bytes")
+    errors = F.count_if(F.when(is_relation, _relation_error()).otherwise(_begin_error()).isNotNull()).alias("errors")
+    control = settle(_relation_columns(_begin_columns(control)), folder, seen=seen, totals=[size, errors])
     begins = control.filter(F.col("msg_type") == "B").withColumn("error", _begin_error())
     relations = control.filter(F.col("msg_type") == "R").withColumn("error", _relation_error())
     begins = begins.select(*messages.columns, "commit_lsn", "ts_ms", "error")
     names = ("oid", "namespace", "table_name")
     columns = F.col("_fold.cols").alias("columns")
     relations = relations.select(*messages.columns, *names, columns, "error")
-    return begins, relations, int(seen.get["bytes"] or 0)
+    return begins, relations, {"bytes": int(seen.get["bytes"] or 0), "errors": int(seen.get["errors"])}
 
 
 def relation_versions(relations: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -338,7 +342,8 @@ def decode_wal(
     """
     place = lambda name: f"{folder}/{name}" if folder else None
     messages = classify(raw)
-    begins, announced, size = decode_control(messages, place("control"))
+    begins, announced, found = decode_control(messages, place("control"))
+    size = found["bytes"]
     versions = relation_versions(announced.filter(F.col("error").isNull()), relations)
     if relations is not None:
         size += relations.agg(F.sum(RELATION_BYTES + F.size("columns") * RELATION_BYTES)).first()[0] or 0
@@ -360,18 +365,16 @@ def decode_wal(
     decoded = decode_rows(resolved)
     rows = settle(decoded, place("rows"), by="table_name")
     control_dead = dead_rows(begins).unionByName(dead_rows(announced))
-    return Decoded(rows, control_dead, versions, _open_transactions(begins, transactions))
+    return Decoded(rows, control_dead, found["errors"], versions, _open_transactions(begins, transactions))
 
 
 def _open_transactions(begins: DataFrame, earlier: DataFrame | None) -> DataFrame:
     """Newest context per session."""
     starts = begins.filter(F.col("error").isNull()).select(
-        "session_id", "seq", "commit_lsn", "ts_ms"
+        "session_id", "commit_lsn", "ts_ms", F.col("seq").alias("seen")
     )
     if earlier is not None:
-        starts = starts.unionByName(earlier.withColumn("seq", F.lit(-1).cast("bigint")))
-    newest = starts.groupBy("session_id").agg(
-        F.max_by(F.struct("commit_lsn", "ts_ms"), "seq").alias("tx")
-    )
-    rows = newest.select("session_id", "tx.commit_lsn", "tx.ts_ms")
+        starts = starts.unionByName(earlier)
+    newest = starts.groupBy("session_id").agg(F.max_by(F.struct("commit_lsn", "ts_ms", "seen"), "seen").alias("tx"))
+    rows = newest.select("session_id", "tx.commit_lsn", "tx.ts_ms", "tx.seen")
     return rows.to(StructType.fromDDL(TX_DDL))

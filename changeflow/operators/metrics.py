@@ -19,6 +19,10 @@ RUN = "cdc.run"
 LAG_MS = "cdc.replication.lag_ms"
 FLUSHED = "flushed"
 REASON_LENGTH = 32
+# Messages a batch has taken, the time of its trigger, and the rows it read, each reading counted.
+MESSAGES = "cdc.poll.messages"
+BATCH_MS = "cdc.batch.duration_ms"
+ROWS_READ = "cdc.batch.rows_read"
 
 
 def count_events(changes: DataFrame) -> DataFrame:
@@ -60,6 +64,12 @@ def _minute(c: Column) -> Column:
     return F.unix_date(c.cast("date")).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
 
 
+def ntz_millis(c: Column) -> Column:
+    """Milliseconds since 1970 of a time without zone; no session zone has a part in it."""
+    c = c.cast("timestamp_ntz")
+    return _minute(c) * 60_000 + F.floor(F.extract(F.lit("SECOND"), c) * 1000)
+
+
 def staleness(history: DataFrame, now: Column, by: list[str] | None = None) -> DataFrame:
     """Newest change, minute boundaries between it and `now`, number of history rows."""
     newest = F.max("_CDC_TS")
@@ -142,3 +152,12 @@ def durations(metrics: DataFrame) -> DataFrame:
         F.max("batch_id").alias("batch_id"), F.max("at").alias("at"),
     )
     return times.unionByName(runs.filter("batch_id is not null"))
+
+
+def live_rates(metrics: DataFrame, reports: DataFrame) -> DataFrame:
+    """Messages of every batch and per second of its trigger: what the stream has counted, over the times in
+    the reports of the query. A batch of which there is no report yet has no rate."""
+    taken = metrics.filter(F.col("metric") == MESSAGES).groupBy("batch_id").agg(F.sum("value").alias("messages"))
+    times = reports.filter(F.col("metric") == BATCH_MS).groupBy("batch_id").agg(F.max_by("value", "at").alias("ms"))
+    rate = F.when(F.col("ms") > 0, 1000 * F.col("messages") / F.col("ms"))
+    return taken.join(times, "batch_id", "left").select("batch_id", "messages", "ms", rate.alias("per_s"))

@@ -14,6 +14,7 @@ from changeflow.queries.changelog import (
     FILE_POSITIONS,
     LANDED_BATCHES,
     MAPPED,
+    SESSION_EVENTS,
     SPECS,
     changelog,
     files_per_batch,
@@ -21,15 +22,16 @@ from changeflow.queries.changelog import (
     landing,
     read,
 )
-from changeflow.queries.decoding import MESSAGES, POS, TYPED, typed_columns
-from changeflow.queries.folding import HISTORY_QUERY, STATE_SQL, loaded_at, show_history
+from changeflow.queries.decoding import DEAD_SQL, MESSAGES, POS, TYPED, typed_columns
+from changeflow.queries.folding import HISTORY_QUERY, LOADED_AT, STATE_SQL, loaded_at, show_history
 from changeflow.queries.registry import query
 from changeflow.schema import TableSpec
-from changeflow.session import scratch_path
+from changeflow.session import scratch_path, settle
 from changeflow.sinks.layout import clustered_layout, create_tables, violates_not_null
 from changeflow.sinks.store import TableStore
 from changeflow.sources import scans as S
 from changeflow.streaming import stream as T
+from changeflow.streaming.progress import ProgressLog
 
 ORDERS = TableSpec(
     source="orders",
@@ -275,6 +277,83 @@ def batch_bounds(spark, sf_dir):
     return counts.select("batch_id", "op", "value")
 
 
+@query(
+    "t02_byte_bounds",
+    f"""with {SEGMENTS}, {MAPPED}
+        select ((seq * 20 + 10 - low) // (size // (select per_batch from files)))::bigint as batch_id, count(*)::double as value
+        from mapped, step group by all""",
+)
+def byte_bounds(spark, sf_dir):
+    """Every file is larger than the bound, so each is a batch of its own: the counts of every batch."""
+    store = new_store(spark)
+    T.drain(spark, landing(spark, sf_dir), store, scratch_path(spark, "checkpoint"), max_bytes=1, at=loaded_at())
+    counts = store.metrics().filter(F.col("metric") == M.PROCESSED)
+    return counts.groupBy("batch_id").agg(F.sum("value").alias("value"))
+
+
+@query(
+    "a07_live_rates",
+    f"""with {SEGMENTS} select ((event_id * 20 + k - low) // size)::bigint as batch_id, count(*)::double as rows,
+          true as timed, 0 as restarts from msgs, step group by all""",
+)
+def live_rates(spark, sf_dir):
+    """The messages of each batch of a run, per second of what the listener was told of its time."""
+    log, store = ProgressLog(), new_store(spark)
+    spark.streams.addListener(log)
+    try:
+        files = files_per_batch(spark, sf_dir)
+        reports = T.drain(spark, landing(spark, sf_dir), store, scratch_path(spark, "checkpoint"), max_files=files, at=loaded_at())
+    finally:
+        spark.streams.removeListener(log)
+    for report in reports:  # the last ones may still have been on their way
+        log.add(report)
+    rates = M.live_rates(store.metrics(), log.rows(spark))
+    timed = F.abs(F.col("per_s") * F.col("ms") / 1000 - F.col("messages")) < 0.01
+    return rates.select("batch_id", F.col("messages").alias("rows"), timed.alias("timed"), F.lit(log.restarts).alias("restarts"))
+
+
+NEWEST = "(select max(ts_ms) from mapped)"
+
+
+@query(
+    "a13_stream_metrics",
+    f"""with {CL}, {DEAD_SQL}, mapped as (
+          select cl.* from cl left join dead on dead.seq = cl.seq * 20 + 10 where cl.table_name like 'events_%' and dead.seq is null)
+        select '{M.ERRORS}' as metric, case when table_name is not null then 'events' end as table_name,
+          left(error, 32) as op, count(*)::double as value from dead group by all
+        union all select '{M.LAG_MS}', 'events', null, epoch_ms(timestamp '{LOADED_AT}') - {NEWEST}
+        union all select '{M.RECONNECTS}', null, null, 0
+        union all select '{M.ERRORS}', null, 'none', {LANDED_BATCHES}""",
+)
+def stream_metrics(spark, sf_dir):
+    """Errors, lag and zeros of a batch of the damaged log as the stream wrote them; and the number of
+    batches of the sound log that say they had no error."""
+    store = new_store(spark)
+    T.process_batch(store, landed(spark, sf_dir, damaged=True), "writer", 0, at=loaded_at())
+    kept = F.col("metric").isin(M.ERRORS, M.LAG_MS, M.RECONNECTS)
+    rows = store.metrics().filter(kept).select("metric", "table_name", "op", "value")
+    sound = streamed(spark, sf_dir).metrics().filter((F.col("metric") == M.ERRORS) & (F.col("value") == 0))
+    none = F.lit(None).cast("string")
+    zeros = sound.agg(F.lit(M.ERRORS).alias("metric"), none.alias("table_name"), F.lit("none").alias("op"), F.count("*").cast("double").alias("value"))
+    return rows.unionByName(zeros)
+
+
+@query("t05_two_sessions", HISTORY_QUERY)
+def two_sessions(spark, sf_dir):
+    """Two sessions at a time, their messages in turn, over batches that end within both: every event still
+    has the transaction and the relation of its own session."""
+    span, raw = SESSION_EVENTS * 20, landed(spark, sf_dir)
+    pair, side = F.expr("session_id div 2"), F.col("session_id") % 2
+    place = pair * 2 * span + (F.col("seq") - F.col("session_id") * span) * 2 + side
+    raw = settle(raw.withColumn("seq", place))
+    low, high = raw.agg(F.min("seq"), F.max("seq")).first()
+    store, step = new_store(spark), (high - low) // 4 + 1
+    for batch in range(4):
+        inside = F.col("seq").between(low + batch * step, low + (batch + 1) * step - 1)
+        T.process_batch(store, raw.filter(inside), "writer", batch, at=loaded_at())
+    return show_history(store.history("events"))
+
+
 @query(
     "t03_per_table_fanout",
     f"""with {CL}, named as (select * replace (case when table_name = 'audit_log' then table_name else 'events' end as table_name) from cl),

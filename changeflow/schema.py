@@ -39,7 +39,8 @@ RELATION_DDL = (
     "valid_from bigint, valid_to bigint"
 )
 
-TX_DDL = "session_id bigint, commit_lsn decimal(20,0), ts_ms bigint"
+# `seen` is the position of the begin message.
+TX_DDL = "session_id bigint, commit_lsn decimal(20,0), ts_ms bigint, seen bigint"
 
 # Stored below a folder per batch, which gives it the column batch_id.
 METRIC_DDL = "metric string, table_name string, op string, value double, at timestamp_ntz"

@@ -15,11 +15,15 @@ def wal_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_WAL).parquet(path)
 
 
-def wal_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Landed log messages as a stream, `max_files` files per batch."""
+def wal_stream(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Landed log messages as a stream, so many files or bytes of files per batch (one file at least)."""
     reader = spark.readStream.schema(RAW_WAL)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
 
 

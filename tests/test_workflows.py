@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from changeflow.sinks import files
 from changeflow.sinks.store import TableStore
 from changeflow.sources import scans as S
 from changeflow.streaming import stream as T
+from changeflow.streaming.progress import ProgressLog
 
 SPEC = TableSpec(
     source="t",
@@ -402,3 +405,79 @@ def test_each_chunk_reads_the_source_once(spark, store, monkeypatch):
     assert len(reads) == 4 and reads[0][0] is None and reads[-1][1] is None
     assert sorted(r["error"] for r in store.dead().collect()) == ["key is null", "key is null"]
     assert sorted(k[0] for k in state(store)) == list(range(20))
+
+
+def test_what_bounds_a_batch():
+    assert T.batch_bounds(5)["max_files"] == 5
+    assert T.batch_bounds(max_events=500, events_per_file=100)["max_files"] == 5
+    assert T.batch_bounds(max_events=50, events_per_file=100)["max_files"] == 1
+    assert T.batch_bounds(3, max_events=500, events_per_file=100)["max_files"] == 3
+    assert T.batch_bounds(max_bytes=1 << 30)["max_bytes"] == 1 << 30
+    for wrong in ({"max_events": 5}, {"max_files": 1, "max_bytes": 1}):
+        with pytest.raises(ValueError):
+            T.batch_bounds(**wrong)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """As many files as fit into the bound, one at least."""
+    folder, n = scratch_path(spark, "land"), 0
+    for _ in range(6):
+        n = land(spark, folder, [m.begin(500, 0)] * 50, n)
+    size = max(f.stat().st_size for f in pathlib.Path(folder.removeprefix("file:")).glob("part-*"))
+    taken = []
+    query = (
+        S.wal_stream(spark, folder, max_bytes=2 * size).writeStream.foreachBatch(lambda df, i: taken.append(df.count()))
+        .option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert taken == [100, 100, 100]
+
+
+def test_a_moved_key_keeps_values_of_an_earlier_batch(spark):
+    """The second batch moves the row twice and leaves out its document."""
+    folder, store = scratch_path(spark, "land"), TableStore(spark, scratch_path(spark, "s"), REGISTRY)
+    checkpoint = scratch_path(spark, "checkpoint")
+    head = [m.begin(500, 0), m.relation(1, "customers", CUSTOMER_COLUMNS)]
+    n = land(spark, folder, [*head, m.insert(1, customer(1, "a", '{"k":1}')), m.insert(1, customer(7, "b"))], 0)
+    T.drain(spark, folder, store, checkpoint)
+    key = lambda i: [str(i), "acme", *[None] * 7]
+    moves = [m.update(1, customer(i + 1, m.UNCHANGED if i == 2 else "new", m.UNCHANGED), key(i), b"K") for i in (1, 2)]
+    land(spark, folder, moves, n)
+    T.drain(spark, folder, store, checkpoint)
+    rows = store.current("customers").select("ID", "EMAIL", F.to_json("METADATA").alias("M")).collect()
+    assert sorted((int(r.ID), r.EMAIL, r.M) for r in rows) == [(3, "new", '{"k":1}'), (7, "b", "{}")]
+    assert not files.children(spark, f"{store.root}/_work")
+
+
+def test_sessions_that_are_open_and_one_that_is_over(spark, monkeypatch):
+    """Two sessions go on in the next batch, the one that has been idle is forgotten."""
+    monkeypatch.setattr(T, "SESSION_IDLE", 100)
+    store = TableStore(spark, scratch_path(spark, "s"), REGISTRY)
+
+    def batch(number, rows):
+        df = spark.createDataFrame([(s, q, q, p) for s, q, p in rows], "session_id long, seq long, lsn long, data binary")
+        T.process_batch(store, df.withColumn("lsn", F.col("lsn").cast("decimal(20,0)")), "w", number)
+
+    announced = m.relation(1, "customers", CUSTOMER_COLUMNS)
+    batch(0, [(0, 0, announced), (1, 150, announced), (2, 151, announced), (1, 152, m.begin(10, 0)), (2, 153, m.begin(20, 0))])
+    batch(1, [(2, 160, m.insert(1, customer(2, "b"))), (1, 161, m.insert(1, customer(1, "a"))), (0, 162, m.insert(1, customer(3, "c")))])
+    assert {int(r.ID) for r in store.current("customers").collect()} == {1, 2}
+    assert [(r.seq, r.error) for r in store.dead().collect()] == [(162, "unknown relation")]
+    assert store.position()["confirmed_lsn"] == "20"
+
+
+def test_reports_become_rows(spark):
+    from types import SimpleNamespace
+
+    log = ProgressLog()
+    report = lambda run, batch, rows: SimpleNamespace(
+        runId=run, batchId=batch, numInputRows=rows, durationMs={"triggerExecution": 500}, timestamp="2024-01-01T00:00:00.000Z"
+    )
+    for p in (report("a", 0, 10), report("a", 0, 10), report("a", 1, 0), report("b", 1, 20)):
+        log.add(p)
+    assert log.restarts == 1
+    rows = log.rows(spark)
+    assert sorted((r.metric, r.op, r.batch_id, r.value) for r in rows.collect()) == [
+        (M.BATCH_MS, "a", 0, 500.0), (M.BATCH_MS, "b", 1, 500.0), (M.ROWS_READ, "a", 0, 10.0), (M.ROWS_READ, "b", 1, 20.0)]
+    taken = spark.createDataFrame([(M.MESSAGES, 5.0, 0), (M.MESSAGES, 8.0, 2)], "metric string, value double, batch_id long")
+    assert sorted((r.batch_id, r.messages, r.per_s) for r in M.live_rates(taken, rows).collect()) == [(0, 5.0, 10.0), (2, 8.0, None)]
