@@ -481,3 +481,13 @@ def test_reports_become_rows(spark):
         (M.BATCH_MS, "a", 0, 500.0), (M.BATCH_MS, "b", 1, 500.0), (M.ROWS_READ, "a", 0, 10.0), (M.ROWS_READ, "b", 1, 20.0)]
     taken = spark.createDataFrame([(M.MESSAGES, 5.0, 0), (M.MESSAGES, 8.0, 2)], "metric string, value double, batch_id long")
     assert sorted((r.batch_id, r.messages, r.per_s) for r in M.live_rates(taken, rows).collect()) == [(0, 5.0, 10.0), (2, 8.0, None)]
+
+
+def test_counts_come_from_footers(spark):
+    path = scratch_path(spark, "counted")
+    spark.range(0, 1000, 1, 5).write.parquet(path)
+    found = K.footer_count(spark, path)
+    assert found.first()[0] == 1000
+    assert "PushedAggregation: [COUNT(*)]" in found._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
