@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 from changeflow.llm import arrow
 from changeflow.session import scratch_path, settle
 
-#: Bounds of the fit: examples of each label, and chunks of an example (spread over all of it).
+#: Bound of the fit: examples of each label. Each is learned from whole.
 EXAMPLES = 1500
-EXAMPLE_CHUNKS = 16
 #: Bytes of a chunk, and how far the next one starts after it.
 CHUNK, HOP = 512, 384
 WIDTH, FILTERS, EMBEDDED, HIDDEN = 6, 24, 8, 16
@@ -176,7 +175,6 @@ def _example_chunks(examples: DataFrame) -> DataFrame:
             for i in range(len(batch)):
                 text = _padded(data[offsets[i] : offsets[i + 1]])
                 starts = chunk_starts(len(text))
-                starts = starts[np.unique(np.linspace(0, len(starts) - 1, EXAMPLE_CHUNKS).round().astype(int))]
                 rows = [text[s : s + CHUNK].tobytes() for s in starts]
                 at = pa.array(np.full(len(rows), i))
                 columns = [ids.take(at), labels.take(at), pa.array(starts), pa.array(rows, pa.binary())]
@@ -188,8 +186,8 @@ def _example_chunks(examples: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", examples: int = EXAMPLES) -> tuple[Network | None, float]:
     """The network, or None if the labels lack one of the two values, and the share of label 1.
     `labels` has `doc_id` and the label and holds only rows to learn from; at most `examples` of
-    each value are learned from, taken by a hash of the id, with at most EXAMPLE_CHUNKS chunks
-    each: that much and no more comes to the driver. Examples count by how many they stand for."""
+    each value are learned from, taken by a hash of the id, with all of their chunks: that much and
+    no more comes to the driver. Examples count by how many they stand for."""
     spark = docs.sparkSession
     arrow.ship(spark)
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
