@@ -156,9 +156,11 @@ def typed_changes(changes: DataFrame, spec: TableSpec, strict: bool = True) -> D
     rows = rows.selectExpr("*", *texts).selectExpr("*", *casts)
 
     def names_where(conditions: dict[str, str]) -> str:
+        # Most rows have none: for them no lists are made.
         none = "cast(array() as array<string>)"
-        hits = [f"if({w}, array({literal(target[c])}), {none})" for c, w in conditions.items()]
-        return f"concat({', '.join(hits)})"
+        hits = [f"if({w}, {literal(target[c])}, null)" for c, w in conditions.items()]
+        any_ = " or ".join(f"({w})" for w in conditions.values())
+        return f"if({any_}, array_compact(array({', '.join(hits)})), {none})"
 
     old_key = ", ".join(f"{typed_old[c]} as {ident(target[c])}" for c in spec.pk)
     has_old_key = " and ".join(f"{old[c]} is not null" for c in spec.pk)
@@ -205,12 +207,6 @@ def _reason(broken: list[tuple[str, str]]) -> str:
     return "case " + " ".join(f"when {w} then {literal(r)}" for w, r in broken) + " end"
 
 
-def split_unusable(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Rows of a table that meet its key and NOT NULL rules, and the others with the reason."""
-    reason = F.expr(_reason(_broken(spec)))
-    return rows.filter(reason.isNull()), with_reason(rows, spec).filter("error is not null")
-
-
 def with_reason(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows with `error`, which of the table's rules they break; NULL for those that break none."""
     return rows.withColumn("error", F.expr(_reason(_broken(spec))))
