@@ -34,6 +34,11 @@ FOUND = (
     "fresh long, before long, first_total long, ends_sha256 string, ends binary, parent_conv_id long, up string"
 )
 
+#: Of these the rows of the result are made.
+_RESULT = [
+    "conv_id", "n_convs", "n_children", "n_leaves", "total", "fresh", "before", "first_total", "parent_conv_id", "up", "ends_sha256",
+]
+
 
 def turns(conversations: DataFrame) -> DataFrame:
     """`conv_id`, and its `turns` in order: a key of role and text (128 bits), and the text's code points."""
@@ -343,7 +348,3 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
         "n_leaves", saved.alias("saved_tokens"), "ends_sha256",
     )
 
-
-_RESULT = [
-    "conv_id", "n_convs", "n_children", "n_leaves", "total", "fresh", "before", "first_total", "parent_conv_id", "up", "ends_sha256",
-]

@@ -31,6 +31,8 @@ RANK = 1e-11
 #: Entries up to this are multiplied in 64 bits; others in whole numbers of any length.
 PLAIN = 1 << 20
 ROWS_AT_ONCE = 1 << 14
+#: Sums are added in parts below and from this on.
+BASE = 10**15
 
 
 def grid(vector: Column) -> Column:
@@ -105,9 +107,6 @@ def sums(fit: DataFrame, d: int) -> Sums:
     return Sums(found[0].n, [whole(r, "s") for r in found], sum(whole(r, "q") for r in found)) if found else Sums(0, [], 0)
 
 
-BASE = 10**15
-
-
 def product(fit: DataFrame, d: int, mean: np.ndarray, n: int) -> Callable[[np.ndarray], np.ndarray]:
     """Q -> V Q for the covariance V: one pass, in which each task hands on a row for each dimension."""
 
