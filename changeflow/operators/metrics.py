@@ -19,8 +19,9 @@ RUN = "cdc.run"
 LAG_MS = "cdc.replication.lag_ms"
 FLUSHED = "flushed"
 REASON_LENGTH = 32
-# Messages a batch has taken, the time of its trigger, and the rows it read, each reading counted.
+# Messages a batch has taken, the first keys it merged (key as op, position as value), the time of its trigger, and the rows it read, each reading counted.
 MESSAGES = "cdc.poll.messages"
+FIRST_KEYS = "cdc.merge.first_keys"
 BATCH_MS = "cdc.batch.duration_ms"
 ROWS_READ = "cdc.batch.rows_read"
 

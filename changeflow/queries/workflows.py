@@ -338,6 +338,19 @@ def stream_metrics(spark, sf_dir):
     return rows.unionByName(zeros)
 
 
+@query(
+    "p09_first_keys",
+    f"""with {SEGMENTS}, {MAPPED}
+        select ((seq * 20 + 10 - low) // size)::bigint as batch_id, user_id as USER_ID, seq
+        from mapped, step where op <> 'd' qualify row_number() over (partition by batch_id order by seq) <= {T.SAMPLED}""",
+)
+def first_keys(spark, sf_dir):
+    """The first keys of every batch, as the stream has recorded them."""
+    keys = streamed(spark, sf_dir).metrics().filter(F.col("metric") == M.FIRST_KEYS)
+    seq = ((F.col("value") - 10) / 20).cast("bigint")
+    return keys.select("batch_id", F.col("op").cast("bigint").alias("USER_ID"), seq.alias("seq"))
+
+
 @query("t05_two_sessions", HISTORY_QUERY)
 def two_sessions(spark, sf_dir):
     """Two sessions at a time, their messages in turn, over batches that end within both: every event still
