@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,9 @@ class Source:
 
 def key_range(key: str, low: int | None, high: int | None) -> Column:
     """Half-open range; one without a lower end also has the rows without key, so that ranges side by side
-    cover every row once."""
+    cover every row once. Ends beyond a bigint are decimals."""
     c = F.col(key)
+    low, high = (end if end is None or abs(end) < 1 << 63 else Decimal(end) for end in (low, high))
     if low is None:
         return F.lit(True) if high is None else (c < high) | c.isNull()
     return c >= low if high is None else (c >= low) & (c < high)
