@@ -6,19 +6,16 @@ with a handful of numpy passes over it, never with a loop over words or bytes.""
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-import changeflow
+from changeflow.session import ship  # noqa: F401
 
 #: Bytes of text that are worked on at a time; one longer text is a group of its own.
 GROUP_BYTES = 1 << 20
@@ -174,23 +171,3 @@ def as_lists(values: pa.Array, first: np.ndarray) -> pa.ListArray:
 def renamed(docs: DataFrame, **columns: str | Column) -> DataFrame:
     """Only the named columns, under the operator's own names, so that no other column can clash."""
     return docs.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
-
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers through Spark, once for each application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = os.path.dirname(changeflow.__file__)
-    path = os.path.join(tempfile.mkdtemp(prefix="changeflow-"), "changeflow.zip")
-    with zipfile.ZipFile(path, "w") as package:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    package.write(full, os.path.join("changeflow", os.path.relpath(full, top)))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
