@@ -193,8 +193,10 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     Updates of purchases carry the full old row. With `damaged`, messages of small values lose
     their last three bytes and clicks in the audit table name an oid that was never announced.
     """
-    e = base_events(spark, sf_dir)
-    texts = list(source_texts().values())
+    # What several messages hold is made once, in steps of their own: as one expression they are a method
+    # too large for the JVM to compile.
+    e = base_events(spark, sf_dir).withColumns({f"_{n}": t for n, t in source_texts().items()})
+    texts = [F.col(f"_{n}") for n in source_texts()]
     null = F.lit(None).cast("string")
     oid = F.when(F.col("table_name") == "audit_log", F.lit(AUDIT_OID)).otherwise(
         PARTITION_OID + F.col("user_id") % PARTITIONS
@@ -202,8 +204,16 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     if damaged:
         lost = (F.col("table_name") == "audit_log") & (F.col("event_type") == "click")
         oid = F.when(lost, F.lit(MISSING_OID)).otherwise(oid)
-    oid = _uint(oid, 4)
-    new, key = tuple_bytes(texts), tuple_bytes([texts[0], null, null, null, null])
+    e = e.withColumns(
+        {
+            "_oid": _uint(oid, 4),
+            "_new": tuple_bytes(texts),
+            "_key": tuple_bytes([texts[0], null, null, null, null]),
+            "_commit": _uint(F.col("commit_lsn"), 8),
+            "_micros": _uint(F.col("commit_us") - 946684800000000, 8),
+        }
+    )
+    oid, new, key, commit, micros = (F.col(f"_{n}") for n in ("oid", "new", "key", "commit", "micros"))
     row = (
         F.when(F.col("op") == "c", F.concat(_ascii("I"), oid, _ascii("N"), new))
         .when(F.col("op") == "d", F.concat(_ascii("D"), oid, _ascii("K"), key))
@@ -213,11 +223,10 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
         )
         .otherwise(F.concat(_ascii("U"), oid, _ascii("N"), new))
     )
+    e, row = e.withColumn("_row", row), F.col("_row")
     if damaged:
         cut = F.substring(row, F.lit(1), (F.octet_length(row) - 3).cast("int"))
         row = F.when(F.col("value") < CUT_VALUE, cut).otherwise(row)
-    commit = _uint(F.col("commit_lsn"), 8)
-    micros = _uint(F.col("commit_us") - 946684800000000, 8)
     begin = F.concat(_ascii("B"), commit, micros, _uint(F.col("tx"), 4))
     end = F.concat(_ascii("C"), F.lit(b"\0"), commit, commit, micros)
     tables = [("audit_log", AUDIT_OID)]
