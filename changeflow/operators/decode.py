@@ -290,7 +290,8 @@ def decode_rows(rows: DataFrame) -> DataFrame:
 
 
 def op_of_message() -> Column:
-    return F.coalesce(*[F.when(F.col("msg_type") == k, F.lit(v)) for k, v in OPS.items()])
+    cases = " ".join(f"when '{k}' then '{v}'" for k, v in OPS.items())
+    return F.expr(f"case msg_type {cases} end")
 
 
 def good_changes(rows: DataFrame) -> DataFrame:
