@@ -272,13 +272,23 @@ def align(items: np.ndarray, passages: np.ndarray, lengths: np.ndarray) -> tuple
     return best / (MATCH * np.maximum(lengths, 1)), end
 
 
+def _most(inside: np.ndarray) -> np.ndarray:
+    """The most that an alignment can score over the words of each row, of which those `inside` are known to
+    the other side: a word between its ends that it does not match costs a miss or a gap."""
+    total = np.cumsum(np.where(inside, MATCH, -min(-MISS, GAP)).astype(np.int32), axis=1)
+    return (total - np.minimum(np.minimum.accumulate(total, axis=1), 0)).max(axis=1, initial=0)
+
+
 def _reaching(items: np.ndarray, passages: np.ndarray, lengths: np.ndarray, threshold: float):
-    """Rows whose alignment reaches the threshold, with share and end. Only rows that hold enough of the
-    item's words are aligned: a score is at most that of matching each of them."""
-    held = np.zeros(len(items), np.int64)
-    for i in range(items.shape[1]):
-        held += (passages == items[:, i : i + 1]).any(axis=1) & (i < lengths)
-    rows = np.flatnonzero(held >= threshold * lengths - 1e-9)
+    """Rows whose alignment reaches the threshold, with share and end. Only rows are aligned in which, on
+    either side, a run of words holds so many of the other side's that it can score as much."""
+    held, met = np.zeros(items.shape, dtype=bool), np.zeros(passages.shape, dtype=bool)
+    for i in range(int(lengths.max(initial=0))):
+        equal = passages == items[:, i : i + 1]
+        held[:, i] = equal.any(axis=1) & (i < lengths)
+        met |= equal
+    least = threshold * MATCH * lengths - 1e-9
+    rows = np.flatnonzero((_most(held) >= least) & (_most(met) >= least))
     share, end = align(items[rows], passages[rows], lengths[rows])
     good = share >= threshold
     return rows[good], share[good], end[good]

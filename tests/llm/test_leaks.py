@@ -124,3 +124,27 @@ def test_map_finds_every_seed(spark):
     assert leaks._marked(values.view(np.uint64), bits).all()
     others = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 20_000).view(np.uint64)
     assert leaks._marked(others, bits).mean() < 0.01
+
+
+def test_scattered_words_are_not_aligned(monkeypatch):
+    """Passages with many of an item's words but none in a run, as common words lie, are told by their counts;
+    whatever reaches the threshold is aligned, with the score that it has."""
+    rng, seen, align = np.random.default_rng(5), [], leaks.align
+    monkeypatch.setattr(leaks, "align", lambda *rows: seen.append(len(rows[0])) or align(*rows))
+    lengths = rng.integers(3, 65, 400)
+    items = rng.integers(10, 200, (400, leaks.SEGMENT))
+    items[np.arange(leaks.SEGMENT) >= lengths[:, None]] = 0
+    passages = rng.integers(1000, 9000, (400, leaks.PASSAGE))
+    for k in range(400):
+        own = items[k, : lengths[k]]
+        if k % 2:  # copies with words replaced and put in, from few to too many
+            copy = [x for w in own for x in ([w] if rng.random() > (k % 20) / 20 else [7, w] if rng.random() < 0.5 else [7])]
+            passages[k, 30 : 30 + len(copy)] = copy
+        else:  # six of ten words, far from each other
+            some = rng.permutation(own)[: -(-6 * len(own) // 10)]
+            passages[k, 3 * np.arange(len(some))] = some
+    share, end = align(items, passages, lengths)
+    rows, found, ends = leaks._reaching(items, passages, lengths, 0.5)
+    wanted = np.flatnonzero(share >= 0.5)
+    assert list(rows) == list(wanted) and (found == share[wanted]).all() and (ends == end[wanted]).all()
+    assert 50 < len(wanted) < 200 and sum(seen) < 1.3 * len(wanted)
