@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -107,3 +108,34 @@ def test_rare_words_have_counts_of_their_own(spark, monkeypatch):
                 c, f = (scale * pairs[texts[i][k - 1], w], scale * firsts[texts[i][k - 1]]) if k else (0, 0)
                 wanted -= math.log((c + language.SMOOTH_PAIR * p) / (f + language.SMOOTH_PAIR))
             assert loss == pytest.approx(wanted / len(texts[i]), rel=1e-6)
+
+
+def test_tables_written_are_no_larger_than_the_texts(spark, monkeypatch):
+    """Most pairs of words are met once: what is written must not be a row of hashes and counts for each."""
+    sizes, settle = [], language.settle
+
+    def kept(*args, **named):
+        out = settle(*args, **named)
+        sizes.extend(os.path.getsize(f.split("file:")[-1].replace("//", "")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(language, "settle", kept)
+    rng = random.Random(6)
+    texts = [" ".join(f"word{rng.randrange(3000)}" for _ in range(3000)) for _ in range(20)]
+    docs = documents(spark, [(i, t, "en", "a", None) for i, t in enumerate(texts)]).coalesce(2)
+    chosen = language.target_ids(docs.filter("doc_id < 5"))
+    assert language.score(docs, language.fit(docs, chosen), chosen).count() == 20
+    assert 0 < sum(sizes) < sum(map(len, texts))
+
+
+def test_other_texts_than_those_of_the_models(spark, monkeypatch):
+    """Rows scored by themselves have the losses that they have among all; so do those met in many buckets."""
+    docs = documents(spark, rows())
+    chosen = language.target_ids(docs.filter("doc_id % 3 = 0"))
+    models = language.fit(docs, chosen)
+    whole = {r.doc_id: r for r in language.score(docs, models, chosen).collect()}
+    monkeypatch.setattr(language, "HELD", 20)
+    some = language.score(docs.filter("doc_id in (3, 4, 22)"), models, chosen).collect()
+    assert {r.doc_id for r in some} == {3, 4, 22} and models.buckets() > 20
+    for r in some:
+        assert r[2:] == pytest.approx(whole[r.doc_id][2:])
