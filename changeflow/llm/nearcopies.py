@@ -6,15 +6,18 @@ candidates, and candidates are verified by the exact similarity of their shingle
 Equal texts are one node. In a bucket nobody is paired with everybody: members are first held
 against the member that meets most others, and what those links join is one component. Members of
 a bucket that are still in different components are looked at through the shingles that no other of
-them has: with shares a and b of such shingles two texts are at most (1-a)(1-b)/(1-ab) similar. The
-other shingles are counted by group of their hash: two texts have no more in common than the
-smaller counts add up to. Most pairs are settled by these numbers. What is left is held against the
-member with the fewest of its own, and then compared pair by pair: no link between two components
-is lost, while edited copies of one text that are not linked need not be compared.
+them has: with shares a and b of shingles that the other lacks two texts are at most (1-a)(1-b)/(1-ab)
+similar. The other shingles are counted and weighed by group of their hash: of a group that the other text
+has nothing of all is lacking, else as many shingles as it has fewer. Most pairs are settled by these numbers,
+also where shingles are repeated. What is left is held against the member with the fewest of its own, and
+then compared pair by pair: no link between two components is lost, while edited copies of one text that are
+not linked need not be compared.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,8 +30,10 @@ from changeflow.session import scratch_path, settle
 
 SHINGLE, THRESHOLD = 5, 0.8
 COMPONENTS, BANDS = 80, 20
-#: Groups by which shingles are counted.
-GROUPS = 64
+#: Groups by which shingles are counted and weighed.
+GROUPS = 128
+#: Weights from which on a group has a bit in each of the bit maps.
+LEVELS = (1, 2, 4, 8, 16)
 _STEP, _SLOT = np.uint64(0xD1B54A32D192ED03), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -173,7 +178,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAND
             facts = settle(_facts(own), scratch_path(spark, "facts"))
             here = here.join(facts, "node").filter(F.col("own") <= 1 - threshold + 1e-9)
             here = _open(here.drop("root"), roots)
-            best = here.groupBy("bucket").agg(F.min(F.struct("own", "node", "root", "plain", "size", "shared")).alias("head"))
+            best = here.groupBy("bucket").agg(F.min(F.struct("own", "node", "root", "weight", "has", "shared")).alias("head"))
             pairs = _to_head(here, best, threshold)
         else:
             pairs = _across(here, threshold)
@@ -201,15 +206,34 @@ def _to_head(members: DataFrame, heads: DataFrame, threshold: float | None = Non
 
 
 def _may_link(a: str, b: str, threshold: float) -> Column:
-    """Whether the facts of two texts, under two prefixes of their columns, leave them room to be similar.
-    Counts bound the similarity where no shingle occurs twice in its text."""
+    """Whether the facts of two texts, under two prefixes of their columns, leave them room to be similar."""
+
+    def room(x: Column, y: Column) -> Column:
+        return (1 - x) * (1 - y) >= (threshold - 1e-9) * (1 - x * y)
+
+    def lacking(x: Column, y: Column) -> Column:
+        """The least weight of a group's shingles that the other text does not have."""
+        fewer = x.bitwiseAND(0xFFFF) - y.bitwiseAND(0xFFFF)
+        return F.when(y == 0, F.shiftright(x, 16)).otherwise(F.greatest(fewer, F.lit(0))).cast("long")
+
+    def absent(a: str, b: str) -> Column:
+        """The least weight, to a power of two, of the groups of which the other text has nothing."""
+        steps, places = [1] + [x // 2 for x in LEVELS[1:]], range(GROUPS // 64)
+        none = [F.bitwise_not(F.get(f"{b}has", k)) for k in places]
+        bits = [F.bit_count(F.get(f"{a}has", n * len(places) + k).bitwiseAND(none[k])) * s for n, s in enumerate(steps) for k in places]
+        return reduce(Column.__add__, bits)
+
     own_a, own_b = F.col(f"{a}own"), F.col(f"{b}own")
-    by_own = (1 - own_a) * (1 - own_b) >= (threshold - 1e-9) * (1 - own_a * own_b)
-    least = F.zip_with(f"{a}shared", f"{b}shared", lambda x, y: F.least(x, y))
-    common = F.aggregate(least, F.lit(0), lambda n, x: n + x)
-    whole = F.col(f"{a}size") + F.col(f"{b}size") - common
-    by_count = F.when(F.col(f"{a}plain") & F.col(f"{b}plain"), common >= (threshold - 1e-9) * whole).otherwise(True)
-    return by_own & by_count
+    by_bits = room(own_a + absent(a, b) / F.col(f"{a}weight"), own_b + absent(b, a) / F.col(f"{b}weight"))
+    both = F.zip_with(f"{a}shared", f"{b}shared", lambda x, y: lacking(x, y) + F.shiftleft(lacking(y, x), 32))
+
+    def enough(total: Column) -> Column:
+        more_a = total.bitwiseAND((1 << 32) - 1) / F.col(f"{a}weight")
+        return room(own_a + more_a, own_b + F.shiftright(total, 32) / F.col(f"{b}weight"))
+
+    # The sum is there once: what a condition has twice is made ahead of it, for every pair.
+    by_weight = F.aggregate(both, F.lit(0).cast("long"), lambda n, x: n + x, enough)
+    return room(own_a, own_b) & by_bits & by_weight
 
 
 def _linked(pairs: DataFrame, links: DataFrame | None, texts: DataFrame, threshold: float):
@@ -223,8 +247,9 @@ def _linked(pairs: DataFrame, links: DataFrame | None, texts: DataFrame, thresho
 
 
 def _facts(texts: DataFrame) -> DataFrame:
-    """Of each text: `own`, the share of its shingles, by weight, that no other of the texts has; `size`, its
-    different shingles; `plain`, whether none occurs twice; `shared`, by group, how many others have too."""
+    """Of each text: `own`, the share of its shingles, by weight, that no other of the texts has; `weight`, that
+    of all; `shared`, by group, the weight (from bit 16 on) and number of those that others have too; `has`, bit maps of
+    the groups that weigh as much as each of LEVELS."""
 
     def sets(batch):
         data, offsets = arrow.texts(batch.column(1), lower=True)
@@ -233,35 +258,45 @@ def _facts(texts: DataFrame) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            for low, high, doc, element, weight in sets(batch):
-                total = np.bincount(doc, weight, minlength=high - low)
-                columns = [batch.column(0).take(pa.array(low + doc)), pa.array(arrow.signed(element)), pa.array(weight / total[doc])]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "element", "part"])
+            for low, _, doc, element, weight in sets(batch):
+                columns = [batch.column(0).take(pa.array(low + doc)), pa.array(arrow.signed(element)), pa.array(weight.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "element", "weight"])
 
     def counted(batches):
         for batch in batches:
             for low, high, doc, element, weight in sets(batch):
                 n = high - low
-                by_group = np.bincount(doc * GROUPS + (element % np.uint64(GROUPS)).astype(np.int64), minlength=n * GROUPS)
-                plain = np.bincount(doc, weight > 1, minlength=n) == 0
-                values = pa.array(by_group.astype(np.int32))
-                columns = [batch.column(0).slice(low, n), pa.array(plain), pa.array(np.bincount(doc, minlength=n).astype(np.int32)),
-                           arrow.as_lists(values, np.arange(0, n * GROUPS + 1, GROUPS))]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "plain", "size", "every"])
+                place = doc * GROUPS + (element % np.uint64(GROUPS)).astype(np.int64)
+                one, all_ = (np.bincount(place, w, minlength=n * GROUPS).astype(np.int64) for w in (None, weight))
+                columns = [batch.column(0).slice(low, n), pa.array(np.bincount(doc, weight, minlength=n).astype(np.int64)),
+                           arrow.as_lists(pa.array(one + (all_ << 32)), np.arange(0, n * GROUPS + 1, GROUPS))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "weight", "every"])
 
     rows = texts.select("node", "text")
-    once = rows.mapInArrow(each, "node binary, element long, part double").groupBy("element")
-    once = once.agg(F.count("*").alias("n"), F.min(F.struct("node", "part")).alias("of")).filter("n = 1")
+    once = rows.mapInArrow(each, "node binary, element long, weight long").groupBy("element")
+    once = once.agg(F.count("*").alias("n"), F.min(F.struct("node", "weight")).alias("of")).filter("n = 1")
     group = F.pmod("element", F.lit(GROUPS)).cast("int")
-    own = once.groupBy("of.node", group.alias("g")).agg(F.sum("of.part").alias("part"), F.count("*").cast("int").alias("n"))
+    own = once.groupBy("of.node", group.alias("g")).agg(F.sum("of.weight").alias("weight"), F.count("*").alias("n"))
     own = own.groupBy("node").agg(
-        F.sum("part").alias("own"), F.map_from_entries(F.collect_list(F.struct("g", "n"))).alias("own_by_group")
-    )
-    every = rows.mapInArrow(counted, "node binary, plain boolean, size int, every array<int>")
-    minus = lambda n, g: n - F.coalesce(F.try_element_at("own_by_group", g), F.lit(0))
-    return every.join(own, "node", "left").select(
-        "node", F.coalesce("own", F.lit(0.0)).alias("own"), "plain", "size", F.transform("every", minus).alias("shared")
+        F.sum("weight").alias("own_weight"),
+        F.map_from_entries(F.collect_list(F.struct("g", F.col("n") + F.shiftleft("weight", 32)))).alias("own_by_group"),
     )
+    every = rows.mapInArrow(counted, "node binary, weight long, every array<long>")
+
+    def shared(x: Column, g: Column) -> Column:
+        left = x - F.coalesce(F.try_element_at("own_by_group", g), F.lit(0))
+        weight, n = F.least(F.shiftright(left, 32), F.lit(0x7FFF)), F.least(left.bitwiseAND((1 << 32) - 1), F.lit(0xFFFF))
+        return (F.shiftleft(weight, 16) + n).cast("int")
+
+    own_share = F.coalesce(F.col("own_weight"), F.lit(0)) / F.col("weight")
+    rows = every.join(own, "node", "left").select("node", own_share.alias("own"), "weight", F.transform("every", shared).alias("shared"))
+
+    def has(level: int, k: int) -> Column:
+        heavy = lambda x: F.when(F.shiftright(x, 16) >= level, F.lit(1)).otherwise(0).cast("long")
+        # Bits move up by one for each further group.
+        return F.aggregate(F.slice("shared", 64 * k + 1, 64), F.lit(0).cast("long"), lambda n, x: F.shiftleft(n, 1).bitwiseOR(heavy(x)))
+
+    return rows.withColumn("has", F.array(*[has(level, k) for level in LEVELS for k in range(GROUPS // 64)]))
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -278,13 +313,13 @@ def _across(members: DataFrame, threshold: float) -> DataFrame:
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"))
     keys = members.groupBy("node").agg(F.collect_set("bucket").alias("keys"))
     members = members.join(keys, "node").join(largest, "bucket").withColumn("few", F.col("root") != F.col("most.root"))
-    of = lambda s: members.select("bucket", "few", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "root", "keys", "own", "plain", "size", "shared")])
+    of = lambda s: members.select("bucket", "few", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "root", "keys", "own", "weight", "has", "shared")])
     one, two = of("a").filter("few").withColumnRenamed("few", "a_few"), of("b").withColumnRenamed("few", "b_few")
     # Of two members outside the largest component the pair would come twice.
     once = (~F.col("b_few")) | (F.col("a_node") < F.col("b_node"))
     first = F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("o.bucket")
     meet = (F.col("o.bucket") == F.col("t.bucket")) & (F.col("a_root") != F.col("b_root")) & once
-    pairs = one.alias("o").join(two.alias("t"), meet & first & _may_link("a_", "b_", threshold))
+    pairs = one.alias("o").join(two.alias("t"), meet & _may_link("a_", "b_", threshold) & first)
     return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
 

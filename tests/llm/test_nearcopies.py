@@ -131,5 +131,38 @@ def test_one_of_each(spark):
     assert ids.count("None") == 1
 
 
+def test_copies_of_a_text_with_repeats_are_not_all_compared(spark, monkeypatch):
+    """Each with three words of its own, too many for a link, beside words that all repeat: shingles of
+    their own leave room for links, the others that they lack do not."""
+    base, rows = prose(5000, 140).split() + ["la"] * 12 + prose(5001, 20).split(), []
+    for i in range(60):
+        words = list(base)
+        for k in range(3):
+            words[random.Random(3 * i + k).randrange(12 + 40 * k, 42 + 40 * k)] = f"odd{i}x{k}"
+        rows.append((i, " ".join(words), "en", "a", None))
+    linked = len(rows) - len(set(classes(rows).values()))
+    compared, verified = [], nearcopies._verified
+    monkeypatch.setattr(nearcopies, "_verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    got = {r.doc_id: r.class_id for r in nearcopies.near_copies(documents(spark, rows)).collect()}
+    assert got == classes(rows)
+    assert linked < 30 and sum(compared) < 60 * 59 / 2 / 3
+
+
+def test_facts_leave_room_for_every_link(spark):
+    """No pair from the threshold on is settled by the facts of its texts, whatever is repeated or added."""
+    rng, texts = random.Random(8), [""]
+    for g in range(6):
+        base = [w for w in prose(6000 + g, 60).split() for _ in range(rng.choice([1, 1, 1, 2, 9]))]
+        texts += [edited(g * 50 + i, " ".join(base), [0.005, 0.01, 0.02, 0.04][i % 4]) for i in range(20)]
+    rows = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts) if t], "node binary, text string")
+    facts = nearcopies._facts(rows)
+    one, two = (facts.select(*[facts[c].alias(f"{s}_{c}") for c in facts.columns]) for s in "ab")
+    pairs = one.crossJoin(two).filter("a_node < b_node").filter(nearcopies._may_link("a_", "b_", 0.8))
+    room = {(r.a_node[0], r.b_node[0]) for r in pairs.select("a_node", "b_node").collect()}
+    sets = [shingle_counts(t) for t in texts]
+    links = {(i, j) for i in range(1, len(texts)) for j in range(i + 1, len(texts)) if similar(sets[i], sets[j]) >= 0.8}
+    assert len(links) > 100 and links <= room and len(room) < 2 * len(links)
+
+
 def test_empty(spark):
     assert nearcopies.near_copies(empty(spark)).count() == 0 and nearcopies.one_of_each(empty(spark)).count() == 0
