@@ -19,7 +19,7 @@ from changeflow.functions import tuples, wire
 from changeflow.functions.scalars import pg_micros_to_ms
 from changeflow.operators.fill import BLOCK, FAN_IN, block_of, fill_forward
 from changeflow.schema import RELATION_DDL, TX_DDL
-from changeflow.session import settle, ship
+from changeflow.session import settle, ship, tasks_for
 
 ROW_TYPES = ("I", "U", "D")
 OPS = {"I": "c", "U": "u", "D": "d"}
@@ -172,20 +172,23 @@ def carry_transactions(
             earlier.select("session_id", F.lit(-1).cast("bigint").alias("seq"), context.alias("tx"))
         )
     empty = F.lit(None).cast(starts.schema["tx"].dataType).alias("tx")
+    # Positions are counted before begins join them: tasks count by hashing, the newest begin takes a sort.
+    counted = positions.groupBy("session_id", by_block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
     ends = (
-        positions.select("session_id", "seq", empty)
-        .unionByName(starts)
-        .groupBy("session_id", by_block.alias("block"))
-        .agg(F.max_by("tx", F.when(F.col("tx").isNotNull(), F.col("seq"))).alias("tx"))
+        counted.unionByName(starts.withColumn("block", by_block), allowMissingColumns=True)
+        .groupBy("session_id", "block")
+        .agg(F.max_by("tx", F.when(F.col("tx").isNotNull(), F.col("seq"))).alias("tx"), F.sum("n").alias("n"))
     )
     events = rows.withColumn("tx", empty).unionByName(starts, allowMissingColumns=True)
     # The ends of the blocks are read on two levels: written once, not computed twice.
     seen = Observation()
-    ends = settle(ends, folder, seen=seen, totals=[F.count(F.lit(1)).alias("blocks")])
+    totals = [F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("messages")]
+    ends = settle(ends, folder, seen=seen, totals=totals).drop("n")
     few = seen.get["blocks"] <= fan_in
-    filled = fill_forward(
-        events.withColumn("block", by_block), ends, "session_id", "seq", "tx", fan_in, few
-    )
+    # What follows takes the messages apart in the same tasks.
+    tasks = tasks_for(rows.sparkSession, seen.get["messages"] or 0)
+    events = events.withColumn("block", by_block).repartition(tasks, "session_id", "block")
+    filled = fill_forward(events, ends, "session_id", "seq", "tx", fan_in, few)
     return (
         filled.filter(F.col("msg_type").isNotNull())
         .withColumn("commit_lsn", F.coalesce("tx.commit_lsn", F.lit(0).cast("decimal(20,0)")))

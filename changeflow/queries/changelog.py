@@ -7,11 +7,11 @@ the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.schema import TableSpec
-from changeflow.session import scratch_path, settle
+from changeflow.session import scratch_path, tasks_for
 from changeflow.sinks import files
 from changeflow.sources.scans import wal_scan
 
@@ -46,6 +46,7 @@ BOTH_SPECS = SPECS | {"audit_log": AUDIT}
 
 TX_EVENTS = 7  # events per transaction
 SESSION_EVENTS = 700  # events per connection lifetime
+EVENT_POSITIONS = 20  # positions of the log per event
 AUDIT_VALUE = 120.0  # events from this value on belong to a table that is not replicated
 CUT_VALUE = 1.0  # in the damaged log, messages below this value lose their last bytes
 PARTITIONS = 4
@@ -70,14 +71,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` with the columns of the change log, before any image is made."""
+def base_events(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
+    """`events` with the columns of the change log, before any image is made; if wanted only those given, which
+    are whole transactions, and in so many tasks."""
     tx = F.call_function("div", F.col("event_id"), F.lit(TX_EVENTS))
     # A commit time belongs to a transaction: the time of its first event.
     first = F.min_by("ts", "event_id").over(Window.partitionBy("tx"))
+    rows = (read(spark, sf_dir, "events") if events is None else events).withColumn("tx", tx)
     return (
-        read(spark, sf_dir, "events")
-        .withColumn("tx", tx)
+        (rows.repartition(tasks, "tx") if tasks else rows)
         .withColumn("commit_ts", first)
         .select(
             F.col("event_id").alias("seq"),
@@ -187,7 +191,9 @@ PARTITION_OID = 100
 MISSING_OID = 77
 
 
-def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+def wal(
+    spark: SparkSession, sf_dir: str, damaged: bool = False, events: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
     """The change log as raw messages: begin, relations at the start of a session, row, commit.
 
     Updates of purchases carry the full old row. With `damaged`, messages of small values lose
@@ -195,7 +201,7 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     """
     # What several messages hold is made once, in steps of their own: as one expression they are a method
     # too large for the JVM to compile.
-    e = base_events(spark, sf_dir).withColumns({f"_{n}": t for n, t in source_texts().items()})
+    e = base_events(spark, sf_dir, events, tasks).withColumns({f"_{n}": t for n, t in source_texts().items()})
     texts = [F.col(f"_{n}") for n in source_texts()]
     null = F.lit(None).cast("string")
     oid = F.when(F.col("table_name") == "audit_log", F.lit(AUDIT_OID)).otherwise(
@@ -247,7 +253,7 @@ def wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
         .filter(F.col("m.data").isNotNull())
         .select(
             "session_id",
-            (F.col("seq") * 20 + F.col("m.k")).alias("seq"),
+            (F.col("seq") * EVENT_POSITIONS + F.col("m.k")).alias("seq"),
             "lsn",
             F.col("m.data").alias("data"),
         )
@@ -258,19 +264,39 @@ LANDED_BATCHES = 4
 FILE_POSITIONS = 250_000  # positions a landed file spans at most
 
 
+def _span(spark: SparkSession, sf_dir: str, damaged: bool, ids: Row) -> tuple[int, int]:
+    """First and last position of the messages. Positions rise with the events, so those of the first and the last
+    transaction tell, unless its event has no message."""
+    tx = lambda event_id: F.call_function("div", event_id, F.lit(TX_EVENTS))
+    outer = F.lit(False)
+    for end in (ids["low"], ids["high"]):
+        outer |= tx(F.col("event_id")) == tx(F.lit(end))
+    ends = (F.min("seq"), F.max("seq"))
+    low, high = wal(spark, sf_dir, damaged, read(spark, sf_dir, "events").filter(outer)).agg(*ends).first()
+    if low is None or (low // EVENT_POSITIONS, high // EVENT_POSITIONS) != (ids["low"], ids["high"]):
+        low, high = wal(spark, sf_dir, damaged).agg(*ends).first()
+    return low, high
+
+
 def landed_wal(spark: SparkSession, sf_dir: str, damaged: bool = False) -> tuple[str, int]:
     """Land the messages as a log writer does: one file after the other, in arrival order.
     Returns the folder and the number of files per batch that makes four batches."""
     path, parts = scratch_path(spark, "landing"), scratch_path(spark, "parts")
-    messages = settle(wal(spark, sf_dir, damaged))
-    low, high = messages.agg(F.min("seq"), F.max("seq")).first()
+    events, event_id = read(spark, sf_dir, "events"), F.col("event_id")
+    ids = events.agg(F.min(event_id).alias("low"), F.max(event_id).alias("high"), F.count("*").alias("n")).first()
+    low, high = _span(spark, sf_dir, damaged, ids)
     per_batch = -(-(high - low + 1) // (LANDED_BATCHES * FILE_POSITIONS))
     step = (high - low) // (LANDED_BATCHES * per_batch) + 1
-    # One job reads the messages once and writes every file; a span without messages is a file without rows.
+    number = (high - low) // step + 1
+    # One job makes the messages and writes every file, without a copy of them in between; a span without messages
+    # is a file without rows.
+    tasks = tasks_for(spark, ids["n"])
+    messages = wal(spark, sf_dir, damaged, tasks=tasks)
     numbered = messages.withColumn("file", F.call_function("div", F.col("seq") - low, F.lit(step)))
-    numbered.repartition("file").write.option("maxRecordsPerFile", 0).partitionBy("file").parquet(parts)
+    numbered = numbered.repartition(min(tasks, number), "file")
+    numbered.write.option("maxRecordsPerFile", 0).partitionBy("file").parquet(parts)
     messages.filter("false").coalesce(1).write.parquet(f"{parts}/empty")
-    files.land(spark, parts, "file", (high - low) // step + 1, path)
+    files.land(spark, parts, "file", number, path)
     return path, per_batch
 
 

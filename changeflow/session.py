@@ -72,6 +72,14 @@ def settle(
     return kept.select(*df.columns)
 
 
+def tasks_for(spark: SparkSession, rows: int, most: int = 200_000, least: int = 10_000) -> int:
+    """Partitions for a step that costs much for each row: two for each core, with no less than `least` and, where
+    there are many rows, no more than `most` in each. Sized by the bytes of the shuffle there would be about one for
+    each core, and a few beyond that make all wait for a second turn."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, -(-rows // most), min(2 * cores, rows // least))
+
+
 def one_line(spark: SparkSession, text: str) -> DataFrame:
     """A single line of text, for records written next to the data."""
     return spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
