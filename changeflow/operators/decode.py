@@ -337,13 +337,15 @@ def decode_wal(
     broadcast_bytes: int = RELATION_BROADCAST_BYTES,
     folder: str | None = None,
     wanted: Callable[[Column], Column] | None = None,
+    keep: bool = True,
 ) -> Decoded:
     """Decode a batch. `relations` and `transactions` are what earlier batches left open. `wanted` says
     of a table name whether its rows are decoded at all.
 
     The decoded rows are kept in the shared folder, one folder per table: whoever needs the
     changes of one table reads only those, and nothing is decoded twice. With `folder` the
-    intermediate data goes there, for the caller to remove.
+    intermediate data goes there, for the caller to remove. A caller that reads the rows once
+    needs no copy of them: without `keep` they are decoded as they are read.
     """
     place = lambda name: f"{folder}/{name}" if folder else None
     messages = classify(raw)
@@ -367,8 +369,9 @@ def decode_wal(
     resolved = resolve_relation(stamped, versions, small, block, row_messages)
     if wanted is not None:
         resolved = resolved.filter(F.col("table_name").isNull() | wanted(F.col("table_name")))
-    decoded = decode_rows(resolved)
-    rows = settle(decoded, place("rows"), by="table_name")
+    rows = decode_rows(resolved)
+    if keep:
+        rows = settle(rows, place("rows"), by="table_name")
     control_dead = dead_rows(begins).unionByName(dead_rows(announced))
     return Decoded(rows, control_dead, found["errors"], versions, _open_transactions(begins, transactions))
 

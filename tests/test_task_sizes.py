@@ -46,3 +46,19 @@ def test_last_event_without_a_message(spark):
     found = seqs(spark.read.parquet(folder))
     assert found == seqs(C.wal(spark, place)) and found[-1] // C.EVENT_POSITIONS == 998
     assert len(files_of(folder)) == C.LANDED_BATCHES * per_batch
+
+
+def test_rows_that_are_read_once_are_not_kept(spark):
+    """The same rows, decoded as they are read, with no copy of them in the shared folder."""
+    begin, relation = m.begin(500, 0), m.relation(1, "boats", [("id", 23, True), ("name", 25, False)])
+    payloads = [begin, relation, m.insert(1, ["1", "Anna"]), m.insert(1, ["2", None]), m.insert(1, ["3", "Carla"])[:-2], m.insert(9, ["4"])]
+    rows = [(1, k, k, p) for k, p in enumerate(payloads, start=100)]
+    raw = spark.createDataFrame(rows, "session_id long, seq long, lsn long, data binary").withColumn(
+        "lsn", F.col("lsn").cast("decimal(20,0)")
+    )
+    kept, passing = (D.decode_wal(raw, folder=scratch_path(spark, "once"), keep=k) for k in (True, False))
+    assert any("/rows/" in f for f in kept.rows.inputFiles())
+    assert not any("/rows/" in f for f in passing.rows.inputFiles())
+    for part in ("changes", "dead"):
+        ordered = [getattr(d, part).orderBy("seq").collect() for d in (kept, passing)]
+        assert len(ordered[0]) == 2 and ordered[0] == ordered[1]
