@@ -254,10 +254,11 @@ def decode_rows(rows: DataFrame) -> DataFrame:
     then_new = has_old & (kind == "U")
 
     ship(rows.sparkSession)
-    # Not moved or repeated by the optimizer, so that a message is taken apart once.
-    images = F.arrow_udf(tuples.images, tuples.IMAGES_DDL).asNondeterministic()
+    # Not moved or repeated by the optimizer, so that a message is taken apart once. Its names are sent as one text.
+    images = F.arrow_udf(tuples.named_images, tuples.IMAGES_DDL).asNondeterministic()
+    ended = F.when(F.size("names") > 0, F.concat(F.array_join("names", "\0", ""), F.lit("\0")))
     rows = rows.withColumn("_tag", F.expr(wire.tag("data", "6")))
-    rows = rows.withColumn("_images", images("data", "names", known & (has_old | has_new), then_new))
+    rows = rows.withColumn("_images", images("data", ended, known & (has_old | has_new), then_new))
     rows = rows.withColumn("_one", F.col("_images.one")).withColumn("_two", F.col("_images.two"))
 
     length = F.octet_length("data")

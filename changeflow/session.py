@@ -80,6 +80,17 @@ def tasks_for(spark: SparkSession, rows: int, most: int = 200_000, least: int =
     return max(1, -(-rows // most), min(2 * cores, rows // least))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that are read, in tasks of like size where a few would have most of them: a row group of a Parquet file is
+    read by one task, however many rows it has."""
+    sizes = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("rows"))
+    rows, largest = sizes.agg(F.sum("rows"), F.max("rows")).first()
+    spark = df.sparkSession
+    if not rows or largest <= 2 * rows / spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(tasks_for(spark, rows), *df.columns)
+
+
 def one_line(spark: SparkSession, text: str) -> DataFrame:
     """A single line of text, for records written next to the data."""
     return spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))

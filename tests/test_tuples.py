@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 import messages as m
 from changeflow.functions import tuples
 from changeflow.operators import decode as D
+from changeflow.queries.decoding import joined_texts, wide_bytes
+from changeflow.session import settle, spread
 
 
 def model(data, start, names):
@@ -90,3 +92,38 @@ def test_a_filter_does_not_read_the_tuples_again(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("images(") == 1 and "aggregate(" not in plan
     assert rows.count() == 1
+
+
+def test_names_as_one_text_read_as_a_list_of_them():
+    """Also with the empty name, and for messages without names or a batch that is a slice."""
+    rng = random.Random(7)
+    data, lists = list(random_messages(rng, 500)), [None, ["a"], [""], ["", "b"], [f"n{k}" for k in range(20)]]
+    names = [rng.choice(lists) for _ in data]
+    texts = [n and "".join(f"{name}\0" for name in n) for n in names]
+    every = pa.array([True] * len(data))
+    one, two = (
+        f(*[c.slice(7) for c in (pa.array(data, pa.binary()), pa.array(n, t), every, every)]).to_pylist()
+        for f, n, t in ((tuples.images, names, pa.list_(pa.string())), (tuples.named_images, texts, pa.string()))
+    )
+    assert one == two and len(one) == 493
+
+
+def test_names_are_sent_as_one_text(spark):
+    rows = D.decode_rows(row_messages(spark, [m.insert(1, ["7", "Anna", "x"])]))
+    assert [v["name"] for v in rows.first()["after"]] == ["a", "b", "col_2"]
+    assert "array_join(names" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_joined_texts_of_every_kind(spark):
+    images = [[("t", "a"), ("n", None), ("t", "")], [("u", None), ("n", None), ("t", "a")], [("b", None), ("t", "b")], [("n", None)], []]
+    kinds = "after array<struct<kind:string,text:string>>"
+    found = spark.createDataFrame([(i,) for i in images], kinds).select(joined_texts("after").alias("t"))
+    assert [r["t"] for r in found.collect()] == ["a|-|", "-|a", "b", "-", ""]
+
+
+def test_a_large_row_group_is_no_single_task(spark):
+    """All lines are one row group, which one task reads: messages are made and decoded by several."""
+    rows = settle(wide_bytes(spark, "/root/testdata/sf0.01"))
+    assert rows.count() == 60_000 and len(rows.inputFiles()) >= 5
+    few = spark.read.parquet("/root/testdata/sf0.01/region.parquet")
+    assert spread(few.limit(0)).count() == 0
