@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 import messages as m
 from changeflow.operators import decode as D
 from changeflow.queries import changelog as C
-from changeflow.session import scratch_path, shared_dir
+from changeflow.schema import TableSpec
+from changeflow.session import scratch_path, settle, shared_dir
+from changeflow.sinks.store import TableStore
+from changeflow.streaming import stream as T
 from test_landing import SF_DIR, files_of
 
 
@@ -62,3 +65,38 @@ def test_rows_that_are_read_once_are_not_kept(spark):
     for part in ("changes", "dead"):
         ordered = [getattr(d, part).orderBy("seq").collect() for d in (kept, passing)]
         assert len(ordered[0]) == 2 and ordered[0] == ordered[1]
+
+
+def stream_of(spark, sessions, first=100):
+    """Messages of some sessions, one after the other: a begin, a relation and rows, some of them damaged."""
+    rows = []
+    for s in range(sessions):
+        payloads = [m.begin(500 + s, 0), m.relation(1, "boats", [("id", 23, True), ("name", 25, False)])]
+        payloads += [m.insert(1, [str(k), f"n{s}"]) for k in range(20)] + [m.insert(1, ["3", "Carla"])[:-2], m.insert(9, ["4"])]
+        rows += [(s, first + s * 40 + k, k, p) for k, p in enumerate(payloads)]
+    raw = spark.createDataFrame(rows, "session_id long, seq long, lsn long, data binary")
+    return settle(raw.repartition(3).withColumn("lsn", F.col("lsn").cast("decimal(20,0)")))
+
+
+def test_messages_behind_the_position_are_passed_over_and_counted(spark):
+    raw = stream_of(spark, 4, 1000)
+    for taken, behind in ((None, 0), (999, 0), (1050, 35)):
+        decoded = D.decode_wal(raw, taken=taken)
+        assert decoded.behind == behind and decoded.rows.filter(F.col("seq") <= (taken or 0)).count() == 0
+        assert decoded.rows.count() == raw.filter((F.col("seq") > (taken or 0)) & (F.col("lsn") > 1)).count()
+    assert D.decode_wal(raw.filter("seq < 0"), taken=5).rows.count() == 0
+
+
+def test_a_batch_behind_nothing_does_not_ask_what_was_taken(spark, monkeypatch):
+    """Folders of all earlier batches were listed for every batch, and dead letters without any were written."""
+    spec = TableSpec(source="boats", current="BOATS", columns={"id": "bigint", "name": "string"}, pk=("id",), not_null=("id",))
+    store = TableStore(spark, scratch_path(spark, "store"), {"boats": spec})
+    raw = stream_of(spark, 3, 0)
+    good = raw.filter("seq % 40 < 22")
+    assert T.process_batch(store, good.filter("seq < 80"), "w", 0)
+    monkeypatch.setattr(store, "taken", lambda: 1 / 0)
+    assert T.process_batch(store, good.filter("seq >= 80"), "w", 1)
+    assert store.head()["state_bytes"] > 0 and store.history("boats").count() == 60 and store.dead().count() == 0
+    monkeypatch.undo()
+    assert T.process_batch(store, raw.filter("seq = 62"), "w", 2)  # a damaged message of an earlier session
+    assert [r["error"] for r in store.dead().collect()] == [T.LATE]
